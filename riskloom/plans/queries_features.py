@@ -189,10 +189,10 @@ SELECT c_custkey,
        round(CASE WHEN x >= 0 THEN ln(1 + x) ELSE -(pow(1 - x, 2) - 1) / 2 END, 6) AS zero,
        round(CASE WHEN x >= 0 THEN (pow(x + 1, 2) - 1) / 2 ELSE -ln(1 - x) END, 6) AS two,
        round(CASE WHEN x >= 0 THEN (pow(x + 1, -0.7) - 1) / -0.7 ELSE -(pow(1 - x, 2.7) - 1) / 2.7 END, 6) AS negative
-FROM (SELECT c_custkey, c_acctbal / 1000 AS x FROM customer)""")
+FROM (SELECT c_custkey, c_acctbal / 937 AS x FROM customer)""")
 def yeo_johnson_apply(spark, d):
     powers = {"half": 0.5, "zero": 0.0, "two": 2.0, "negative": -0.7}
-    x = F.col("c_acctbal") / 1000
+    x = F.col("c_acctbal") / 937
     return table(spark, d, "customer").select(
         "c_custkey", *[F.round(state.yeo_johnson(x, p), 6).alias(name) for name, p in powers.items()]
     )
@@ -200,7 +200,7 @@ def yeo_johnson_apply(spark, d):
 
 # A power is best where the likelihood on either side is lower; three decimals of it can be checked on a grid.
 @query("yeo_johnson_fit", """
-WITH x AS (SELECT c_acctbal / 1000 AS x FROM customer),
+WITH x AS (SELECT c_acctbal / 937 AS x FROM customer),
 grid AS (SELECT i / 100.0::DOUBLE AS p FROM range(-300, 501) t(i)),
 t AS (SELECT p, x, CASE WHEN x >= 0 THEN CASE WHEN abs(p) < 1e-9 THEN ln(1 + x) ELSE (pow(x + 1, p) - 1) / p END
                         ELSE CASE WHEN abs(p - 2) < 1e-9 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - p) - 1) / (2 - p) END
@@ -209,7 +209,7 @@ t AS (SELECT p, x, CASE WHEN x >= 0 THEN CASE WHEN abs(p) < 1e-9 THEN ln(1 + x)
 l AS (SELECT p, -0.5 * ln(var_pop(y)) + (p - 1) * avg(sign(x) * ln(1 + abs(x))) AS likelihood FROM t GROUP BY p)
 SELECT 'acctbal' AS feature, round(arg_max(p, likelihood), 2) AS power FROM l""")
 def yeo_johnson_fit(spark, d):
-    rows = table(spark, d, "customer").select((F.col("c_acctbal") / 1000).alias("acctbal"))
+    rows = table(spark, d, "customer").select((F.col("c_acctbal") / 937).alias("acctbal"))
     fitted = state.fit_yeo_johnson(rows, ["acctbal"])
     return spark.createDataFrame([(c, round(p, 2)) for c, p in fitted.items()], "feature string, power double")
 

@@ -166,7 +166,7 @@ _VALUES = """
 SELECT l_orderkey, l_linenumber AS line, l_quantity, l_discount + 0.0 AS l_discount, l_tax + 0.0 AS l_tax,
        CAST(l_linenumber AS DOUBLE) AS l_linenumber, l_extendedprice / l_quantity AS unit_price, l_partkey, l_suppkey
 FROM lineitem"""
-_ATTRIBUTIONS = ", ".join(f"{w}::DOUBLE * ({f} - round((SELECT avg({f}) FROM v), 4)) AS a_{f}" for f, w in _WEIGHTS.items())
+_ATTRIBUTIONS = ", ".join(f"{w}::DOUBLE * ({f} - round((SELECT avg({f}) FROM v), 9)) AS a_{f}" for f, w in _WEIGHTS.items())
 
 
 def _linear(spark, d):
@@ -176,7 +176,7 @@ def _linear(spark, d):
         F.col("l_linenumber").cast("double").alias("l_linenumber"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
     )
-    means = {c: round(m, 4) for c, (m, _) in fit_standard(rows, list(_WEIGHTS)).items()}
+    means = {c: round(m, 9) for c, (m, _) in fit_standard(rows, list(_WEIGHTS)).items()}
     return rows, explain.linear_attributions(_WEIGHTS, means)
 
 
