@@ -35,12 +35,14 @@ def psi_status(psi: Column) -> Column:
 
 
 def _stack(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Both sides as ``feature, value, is_reference``; the feature is its number in the list."""
+
     def melt(df: DataFrame, is_reference: int) -> DataFrame:
+        coded = df.select(*[F.col(c).cast("double").alias(str(i)) for i, c in enumerate(features)])
         return (
-            df.select(*[F.col(c).cast("double").alias(c) for c in features])
-            .unpivot([], list(features), "feature", "value")
+            coded.unpivot([], coded.columns, "feature", "value")
             .where(F.col("value").isNotNull() & ~F.isnan("value"))
-            .withColumn("is_reference", F.lit(is_reference))
+            .select(F.col("feature").cast("int").alias("feature"), "value", F.lit(is_reference).alias("is_reference"))
         )
 
     return melt(reference, 1).unionByName(melt(current, 0))
@@ -126,33 +128,31 @@ def two_sample_distances(reference: DataFrame, current: DataFrame, features: Seq
     largest gap, and the gap summed over the step to the next value.
     """
     stacked = _stack(reference, current, features)
-    return _distances(stacked, ["feature"])
-
-
-def _distances(stacked: DataFrame, keys: Sequence[str]) -> DataFrame:
-    bucketed = with_buckets(_value_counts(stacked), "value", keys, sketch_from=stacked)
+    bucketed = with_buckets(_value_counts(stacked), "value", ["feature"], sketch_from=stacked)
     ranked = running(
-        bucketed, ["value"], {"cum_ref": F.col("ref"), "cum_cur": F.col("cur")}, keys, following=["value"]
+        bucketed, ["value"], {"cum_ref": F.col("ref"), "cum_cur": F.col("cur")}, ["feature"], following=["value"]
     )
-    totals = bucketed.groupBy(*keys).agg(F.sum("ref").alias("_ref"), F.sum("cur").alias("_cur"))
-    gap = F.abs(F.col("cum_ref") / F.nullif(F.col("_ref"), F.lit(0)) - F.col("cum_cur") / F.nullif(F.col("_cur"), F.lit(0)))
+    sizes = [df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in features]).first() for df in (reference, current)]
+    totals = reference.sparkSession.createDataFrame(
+        [(i, c, float(sizes[0][c]), float(sizes[1][c])) for i, c in enumerate(features)],
+        "feature int, name string, _ref double, _cur double",
+    )
+    ref, cur = F.col("_ref"), F.col("_cur")
+    gap = F.abs(F.col("cum_ref") / F.nullif(ref, F.lit(0.0)) - F.col("cum_cur") / F.nullif(cur, F.lit(0.0)))
+    # one row per feature, whatever the size of the data
     summed = (
-        ranked.join(F.broadcast(totals), list(keys))
-        .groupBy(*keys, "_ref", "_cur")
-        .agg(
-            F.max(gap).alias("_d"),
-            F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("_w"),
-        )
+        ranked.join(F.broadcast(totals), "feature")
+        .groupBy("feature")
+        .agg(F.max(gap).alias("_d"), F.sum(gap * (F.col("next_value") - F.col("value"))).alias("_w"))
     )
-    enough = (F.col("_ref") >= 2) & (F.col("_cur") >= 2)
-    ref, cur = F.col("_ref").cast("double"), F.col("_cur").cast("double")
+    enough = (ref >= 2) & (cur >= 2)
     p = kolmogorov_tail(F.col("_d") * F.sqrt(ref * cur / (ref + cur)))
-    return summed.select(
-        *keys,
+    return totals.join(F.broadcast(summed), "feature", "left").select(
+        F.col("name").alias("feature"),
         F.when(enough, F.col("_d")).alias("ks_statistic"),
         F.when(enough, p).alias("ks_p_value_asymptotic"),
         F.coalesce(enough & (p < SIGNIFICANCE), F.lit(False)).alias("ks_significant"),
-        F.when((F.col("_ref") > 0) & (F.col("_cur") > 0), F.col("_w")).alias("wasserstein_distance"),
+        F.when((ref > 0) & (cur > 0), F.coalesce("_w", F.lit(0.0))).alias("wasserstein_distance"),
     )
 
 

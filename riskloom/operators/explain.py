@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from itertools import combinations
 from math import factorial
 
 import numpy as np
@@ -66,20 +65,21 @@ def _leaf_table(value: float, path: list) -> tuple[list, np.ndarray]:
         merged[f] = [max(box[0], low), min(box[1], high), box[2] * share]
     boxes = [(f, *box) for f, box in merged.items()]
     m = len(boxes)
-    table = np.zeros((1 << m, m))
-    for pattern in range(1 << m):
-        hit = [(pattern >> i) & 1 for i in range(m)]
-        for i in range(m):
-            others = [j for j in range(m) if j != i]
-            total = 0.0
-            for size in range(m):
-                weight = factorial(size) * factorial(m - size - 1) / factorial(m)
-                for known in combinations(others, size):
-                    part = 1.0
-                    for j in others:
-                        part *= hit[j] if j in known else boxes[j][3]
-                    total += weight * part
-            table[pattern, i] = total * (hit[i] - boxes[i][3]) * value
+    patterns = np.arange(1 << m)
+    hits = (patterns[:, None] >> np.arange(m)) & 1
+    shares = np.array([box[3] for box in boxes])
+    weights = np.array([factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)])
+    table = np.zeros((len(patterns), m))
+    for i in range(m):
+        # by_size[:, k]: summed products over the subsets of k other features that are known
+        by_size = np.zeros((len(patterns), m))
+        by_size[:, 0] = 1.0
+        for j in range(m):
+            if j != i:
+                grown = np.roll(by_size, 1, axis=1) * hits[:, [j]]
+                grown[:, 0] = 0.0
+                by_size = by_size * shares[j] + grown
+        table[:, i] = (by_size @ weights) * (hits[:, i] - shares[i]) * value
     return boxes, table
 
 

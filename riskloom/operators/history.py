@@ -35,8 +35,16 @@ def attach(applications: DataFrame, features: DataFrame, key: str) -> DataFrame:
 
 
 def attach_target(child: DataFrame, applications: DataFrame, key: str, target: str) -> DataFrame:
-    """Every application with its child rows (one-to-many) and the target."""
-    return applications.select(key, target).join(child, key, "left")
+    """Every application with its child rows (one-to-many) and the target.
+
+    One applicant may own a large share of the child rows. An outer join cannot
+    split that side at run time, an inner join can, so the applications without
+    children are added by an anti join against the distinct child keys.
+    """
+    parents = applications.select(key, target)
+    matched = parents.join(child, key)
+    alone = parents.join(child.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def until(df: DataFrame, offset: str, limit: float = 0) -> DataFrame:

@@ -15,7 +15,7 @@ from riskloom.operators.split import train_valid_test
 from riskloom.operators.state import Preprocessor, fit_standard
 from riskloom.functions.scalars import predicted_class, risk_band
 from riskloom.plans.catalog import query, rounded, table
-from riskloom.session import cut_lineage
+from riskloom.session import stage
 
 _LINE_STATS = RollupSpec("l_orderkey", "LINE", {
     "l_quantity": ["count", "mean", "max"],
@@ -43,12 +43,12 @@ def applications(spark, d) -> DataFrame:
     return base.join(lines, _KEY, "left")
 
 
-def prepared(spark, d, label_split: bool = True) -> tuple[DataFrame, list[str]]:
-    """Split, preprocessed and materialised rows: fits read them many times."""
-    rows = train_valid_test(applications(spark, d), _KEY, "label")
+def prepared(spark, d) -> tuple[DataFrame, list[str]]:
+    """Split and preprocessed rows. Fits read them many times, so both steps are staged."""
+    rows = train_valid_test(stage(applications(spark, d)), _KEY, "label")
     pre = Preprocessor(_NUMERIC, _CATEGORICAL).fit(rows.where(F.col("part") == "train"))
     matrix = pre.transform(rows, keep=[_KEY, "label", "part"])
-    return cut_lineage(matrix), pre.outputs
+    return stage(matrix), pre.outputs
 
 
 def _parts(matrix: DataFrame, features: list[str]) -> dict[str, DataFrame]:
@@ -58,7 +58,7 @@ def _parts(matrix: DataFrame, features: list[str]) -> dict[str, DataFrame]:
 
 @query("preprocessed_matrix")
 def preprocessed_matrix(spark, d):
-    rows = applications(spark, d)
+    rows = stage(applications(spark, d))
     return Preprocessor(_NUMERIC, _CATEGORICAL).fit(rows).transform(rows, keep=[_KEY])
 
 
@@ -123,7 +123,7 @@ def _scored_parts(spark, d) -> tuple[DataFrame, DataFrame]:
     matrix, features = prepared(spark, d)
     parts = _parts(matrix, features)
     fitted = model.fit_logistic(parts["train"], "label", inverse_penalty=0.01)
-    scored = cut_lineage(model.with_probability(fitted, parts["valid"], [_KEY, "label"]))
+    scored = stage(model.with_probability(fitted, parts["valid"], [_KEY, "label"]))
     half = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(_KEY).cast("string"), F.lit("half"))), 1, 1), 16, 10).cast("int") < 8
     return scored.where(half), scored.where(~half)
 
@@ -161,7 +161,7 @@ def tree_attribution(spark, d):
 # --------------------------------------------------------------------------
 # explanations of a linear score with given weights
 
-_WEIGHTS = {"l_quantity": 0.05, "l_discount": -12.0, "l_tax": 7.5, "l_linenumber": -0.2, "unit_price": 0.0}
+_WEIGHTS = {"l_quantity": 0.0503, "l_discount": -12.1, "l_tax": 7.53, "l_linenumber": -0.207, "unit_price": 0.0}
 _VALUES = """
 SELECT l_orderkey, l_linenumber AS line, l_quantity, l_discount + 0.0 AS l_discount, l_tax + 0.0 AS l_tax,
        CAST(l_linenumber AS DOUBLE) AS l_linenumber, l_extendedprice / l_quantity AS unit_price, l_partkey, l_suppkey

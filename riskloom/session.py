@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,13 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read on from there.
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read on from there.
 
-    Used before iterative work (model fits, searches) so that a lost executor
-    costs a re-read instead of a rebuild of all upstream rollups and joins.
+    Used before iterative work (fits, searches). A lost executor then costs a
+    re-read instead of a rebuild of all upstream rollups and joins, and every
+    pass reads only the columns it needs.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/riskloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
