@@ -80,8 +80,12 @@ def fit_quantile_edges(df: DataFrame, columns: Sequence[str], bins: int = 5) ->
 
 def quantile_bins(df: DataFrame, outputs: Mapping[str, str], edges: Mapping[str, Sequence[float]],
                   labels: Sequence[str] | None = None) -> DataFrame:
-    """Add ``outputs[name] -> bin of column`` with fitted edges; nothing is refitted."""
-    added = [cut(F.col(c), edges[c], labels).alias(name) for name, c in outputs.items() if c in edges]
+    """Add ``outputs[name] -> bin of column`` with fitted edges; nothing is refitted.
+
+    Columns without edges, or absent from this table, get no bin column.
+    """
+    present = set(df.columns) & set(edges)
+    added = [cut(F.col(c), edges[c], labels).alias(name) for name, c in outputs.items() if c in present]
     return df.select("*", *added)
 
 

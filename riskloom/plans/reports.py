@@ -7,13 +7,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from riskloom.operators import drift, evaluate
+from riskloom.session import stage
 from riskloom.sources.sinks import write_json
 
 
 def evaluation_report(
     scored: DataFrame, label: str, score: str, candidates: Mapping[str, float], out: str
 ) -> dict[str, DataFrame]:
-    """Curves, calibration, threshold table and metrics; one folder each."""
+    """Curves, calibration, threshold table and metrics; one folder each.
+
+    Every table reads the scores again, so they are staged first.
+    """
+    scored = stage(scored.select(label, score))
     threshold = candidates.get("f1_optimal", 0.5)
     tables = {
         "roc_curve": evaluate.roc_points(scored, label, score),
@@ -32,7 +37,9 @@ def drift_report(
     reference: DataFrame, current: DataFrame, features: Sequence[str], out: str, score: str | None = None
 ) -> dict[str, DataFrame]:
     """Feature drift, alerts and, if a score is named, its drift."""
-    report = drift.drift_report(reference, current, features)
+    wanted = list(dict.fromkeys([*features, *([score] if score else [])]))
+    reference, current = (stage(df.select(*[c for c in wanted if c in df.columns])) for df in (reference, current))
+    report = stage(drift.drift_report(reference, current, features))
     tables = {"features": report, "alerts": drift.drift_alerts(report)}
     if score:
         tables["predictions"] = drift.prediction_drift(reference, current, score)
