@@ -130,24 +130,22 @@ def two_sample_distances(reference: DataFrame, current: DataFrame, features: Seq
     stacked = _stack(reference, current, features)
     bucketed = with_buckets(_value_counts(stacked), "value", ["feature"], sketch_from=stacked)
     ranked = running(
-        bucketed, ["value"], {"cum_ref": F.col("ref"), "cum_cur": F.col("cur")}, ["feature"], following=["value"]
+        bucketed, ["value"], {"cum_ref": F.col("ref"), "cum_cur": F.col("cur")}, ["feature"], following=["value"], whole=True
     )
-    sizes = [df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in features]).first() for df in (reference, current)]
-    totals = reference.sparkSession.createDataFrame(
-        [(i, c, float(sizes[0][c]), float(sizes[1][c])) for i, c in enumerate(features)],
-        "feature int, name string, _ref double, _cur double",
+    ref, cur = F.col("all_cum_ref"), F.col("all_cum_cur")
+    gap = F.abs(F.col("cum_ref") / F.nullif(ref, F.lit(0)) - F.col("cum_cur") / F.nullif(cur, F.lit(0)))
+    summed = ranked.groupBy("feature").agg(
+        F.max(gap).alias("_d"),
+        F.sum(gap * (F.col("next_value") - F.col("value"))).alias("_w"),
+        F.max(ref).cast("double").alias("_ref"),
+        F.max(cur).cast("double").alias("_cur"),
     )
+    names = reference.sparkSession.createDataFrame(list(enumerate(features)), "feature int, name string")
     ref, cur = F.col("_ref"), F.col("_cur")
-    gap = F.abs(F.col("cum_ref") / F.nullif(ref, F.lit(0.0)) - F.col("cum_cur") / F.nullif(cur, F.lit(0.0)))
-    # one row per feature, whatever the size of the data
-    summed = (
-        ranked.join(F.broadcast(totals), "feature")
-        .groupBy("feature")
-        .agg(F.max(gap).alias("_d"), F.sum(gap * (F.col("next_value") - F.col("value"))).alias("_w"))
-    )
     enough = (ref >= 2) & (cur >= 2)
     p = kolmogorov_tail(F.col("_d") * F.sqrt(ref * cur / (ref + cur)))
-    return totals.join(F.broadcast(summed), "feature", "left").select(
+    # one row per feature on both sides
+    return names.join(F.broadcast(summed), "feature", "left").select(
         F.col("name").alias("feature"),
         F.when(enough, F.col("_d")).alias("ks_statistic"),
         F.when(enough, p).alias("ks_p_value_asymptotic"),

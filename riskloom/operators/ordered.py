@@ -81,10 +81,12 @@ def running(
     descending: bool = False,
     following: Sequence[str] = (),
     preceding: Sequence[str] = (),
+    whole: bool = False,
 ) -> DataFrame:
     """Running totals in global order over a frame that carries ``_bucket``.
 
-    ``totals`` maps output name to the summed expression (inclusive of the row).
+    ``totals`` maps output name to the summed expression (inclusive of the row);
+    ``whole`` adds ``all_<name>`` with the total per key.
     ``following``/``preceding`` add ``next_<c>``/``prev_<c>`` of the neighbour
     in global order, across bucket borders.
     """
@@ -103,6 +105,8 @@ def running(
     across = W.partitionBy(*keys).orderBy(BUCKET)
     before = across.rowsBetween(W.unboundedPreceding, -1)
     carry = [F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in names]
+    if whole:
+        carry += [F.sum(f"_sum_{n}").over(W.partitionBy(*keys)).alias(f"all_{n}") for n in names]
     if following:
         carry.append(F.lead("_head").over(across).alias("_next_head"))
     if preceding:
@@ -120,6 +124,7 @@ def running(
     joined = ranked.join(F.broadcast(offsets), [*keys, BUCKET])
     out = [F.col(c) for c in df.columns]
     out += [(F.col(f"_run_{n}") + F.col(f"_off_{n}")).alias(n) for n in names]
+    out += [F.col(f"all_{n}") for n in names] if whole else []
     out += [F.coalesce(F.col(f"_lead.{c}"), F.col(f"_next_head.{c}")).alias(f"next_{c}") for c in following]
     out += [F.coalesce(F.col(f"_lag.{c}"), F.col(f"_prev_tail.{c}")).alias(f"prev_{c}") for c in preceding]
     return joined.select(*out)

@@ -39,8 +39,18 @@ class RollupSpec:
         return replace(self, levels=levels, fills=fills or {})
 
 
-def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
+# Above this many level columns one wide aggregate leaves generated code, and narrow groups win.
+WIDE_LIMIT = 100
+
+
+def rollup(df: DataFrame, spec: RollupSpec, wide_limit: int = WIDE_LIMIT) -> DataFrame:
     """One row per non-NULL key with all numeric and level outputs of the spec."""
+    if sum(len(v) for v in spec.levels.values()) > wide_limit:
+        counts = category_rollup_long(df, spec.key, spec.levels, spec.fills)
+        if not spec.stats:
+            return counts
+        # both sides end partitioned by the key, so this join needs no exchange
+        return rollup(df, replace(spec, levels={}, fills={})).join(counts, spec.key)
     aggs: list[Column] = []
     outputs: list[Column] = [F.col(spec.key)]
     for column, stats in spec.stats.items():
@@ -115,17 +125,20 @@ def category_rollup_long(df: DataFrame, key: str, levels: Mapping[str, Sequence[
         .groupBy(key, "_column", "_level")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    names = [f"{c}_{level}" for c in columns for level in levels[c]]
+    entries = {f"{c}:{level}": f"{c}_{level}" for c in columns for level in levels[c]}
     wide = (
-        long.withColumn("_name", F.concat_ws("_", "_column", "_level"))
+        long.withColumn("_name", F.concat_ws(":", "_column", "_level"))
         .groupBy(key)
         .agg(
             F.sum(F.when(F.col("_column") == columns[0], F.col("_n"))).alias("_rows"),
-            F.map_from_entries(F.collect_list(F.struct("_name", "_n"))).alias("_counts"),
+            # at most one entry per contract level
+            F.map_from_entries(
+                F.collect_list(F.when(F.col("_name").isin(list(entries)), F.struct("_name", "_n")))
+            ).alias("_counts"),
         )
     )
     out = [F.col(key)]
-    for name in names:
-        count = F.coalesce(F.try_element_at("_counts", F.lit(name)), F.lit(0))
+    for entry, name in entries.items():
+        count = F.coalesce(F.try_element_at("_counts", F.lit(entry)), F.lit(0))
         out += [(count / F.col("_rows")).alias(f"{name}_MEAN"), count.alias(f"{name}_SUM")]
     return wide.select(*out)

@@ -46,6 +46,12 @@ def test_level_rollups_agree_and_match_pandas(spark):
     wide = rollup(df, RollupSpec(c.KEY, "", {}, levels, fills)).toPandas().set_index(c.KEY).sort_index()
     long = category_rollup_long(df, c.KEY, levels, fills).toPandas().set_index(c.KEY).sort_index()
     pd.testing.assert_frame_equal(wide, long[wide.columns], check_dtype=False)
+    # levels outside the contract count in the denominator only
+    fewer = {"CREDIT_ACTIVE": ["Active"]}
+    spec = RollupSpec(c.KEY, "B", {"CREDIT_DAY_OVERDUE": ["sum"]}, fewer)
+    narrow = rollup(df, spec, wide_limit=0).toPandas().set_index(c.KEY).sort_index()
+    plain = rollup(df, spec).toPandas().set_index(c.KEY).sort_index()
+    pd.testing.assert_frame_equal(plain, narrow[plain.columns], check_dtype=False)
     filled = bureau.assign(CREDIT_ACTIVE=bureau.CREDIT_ACTIVE.fillna("Closed"))
     want = filled.groupby(c.KEY).CREDIT_ACTIVE.apply(lambda s: (s == "Active").mean())
     np.testing.assert_allclose(wide["CREDIT_ACTIVE_Active_MEAN"], want.sort_index())
