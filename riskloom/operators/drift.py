@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.functions.binning import histogram_bin, histogram_edges
 from riskloom.functions.scalars import numeric_columns
@@ -89,21 +89,20 @@ def population_stability(
 
     # a feature without reference values still gets its row
     shell = spark.createDataFrame([(c, b) for c in features for b in range(bins)], "feature string, bin int")
-    table = F.broadcast(shell)
     if edges:
-        table = shell.join(counts(reference, "ref"), ["feature", "bin"], "left").join(
-            counts(current, "cur"), ["feature", "bin"], "left"
-        ).na.fill(0, ["ref", "cur"])
+        on = ["feature", "bin"]
+        table = shell.join(F.broadcast(counts(reference, "ref")), on, "left")
+        table = table.join(F.broadcast(counts(current, "cur")), on, "left").na.fill(0, ["ref", "cur"])
     else:
         table = shell.select("*", F.lit(0).alias("ref"), F.lit(0).alias("cur"))
-    totals = table.groupBy("feature").agg(F.sum("ref").alias("reference_n"), F.sum("cur").alias("current_n"))
+    # (features x bins) rows, so the totals can be a window over each feature
+    per_feature = W.partitionBy("feature")
+    table = table.select(
+        "*", F.sum("ref").over(per_feature).alias("reference_n"), F.sum("cur").over(per_feature).alias("current_n")
+    )
     term = _psi_terms(F.col("ref"), F.col("cur"), F.col("reference_n"), F.col("current_n"), bins, epsilon)
     both = (F.col("reference_n") > 0) & (F.col("current_n") > 0)
-    psi = (
-        table.join(F.broadcast(totals), "feature")
-        .groupBy("feature", "reference_n", "current_n")
-        .agg(F.sum(F.when(both, term)).alias("psi"))
-    )
+    psi = table.groupBy("feature", "reference_n", "current_n").agg(F.sum(F.when(both, term)).alias("psi"))
     return psi.select("feature", "psi", psi_status(F.col("psi")).alias("psi_status"), "reference_n", "current_n")
 
 

@@ -96,28 +96,26 @@ def running(
 
     # one row per bucket: its totals and its outermost rows
     edge = [F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in names]
+    # plain numbers as place and value keep these in a hash aggregate
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     first, last = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)
-    if following:
-        edge.append(first(F.struct(*following), F.struct(*order)).alias("_head"))
-    if preceding:
-        edge.append(last(F.struct(*preceding), F.struct(*order)).alias("_tail"))
+    edge += [first(c, place).alias(f"_head_{c}") for c in following]
+    edge += [last(c, place).alias(f"_tail_{c}") for c in preceding]
     small = inputs.groupBy(*keys, BUCKET).agg(*edge)
     across = W.partitionBy(*keys).orderBy(BUCKET)
     before = across.rowsBetween(W.unboundedPreceding, -1)
     carry = [F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in names]
     if whole:
         carry += [F.sum(f"_sum_{n}").over(W.partitionBy(*keys)).alias(f"all_{n}") for n in names]
-    if following:
-        carry.append(F.lead("_head").over(across).alias("_next_head"))
-    if preceding:
-        carry.append(F.lag("_tail").over(across).alias("_prev_tail"))
+    carry += [F.lead(f"_head_{c}").over(across).alias(f"_next_{c}") for c in following]
+    carry += [F.lag(f"_tail_{c}").over(across).alias(f"_prev_{c}") for c in preceding]
     offsets = small.select(*keys, BUCKET, *carry)
 
     within = W.partitionBy(*keys, BUCKET).orderBy(*[F.desc(o) if descending else F.asc(o) for o in order])
     upto = within.rowsBetween(W.unboundedPreceding, W.currentRow)
     inner = [F.sum(f"_in_{n}").over(upto).alias(f"_run_{n}") for n in names]
-    inner += [F.lead(F.struct(*following)).over(within).alias("_lead")] if following else []
-    inner += [F.lag(F.struct(*preceding)).over(within).alias("_lag")] if preceding else []
+    inner += [F.lead(c).over(within).alias(f"_lead_{c}") for c in following]
+    inner += [F.lag(c).over(within).alias(f"_lag_{c}") for c in preceding]
     ranked = inputs.select("*", *inner)
 
     # (keys x buckets) rows whatever the size of the data, hence the broadcast
@@ -125,8 +123,8 @@ def running(
     out = [F.col(c) for c in df.columns]
     out += [(F.col(f"_run_{n}") + F.col(f"_off_{n}")).alias(n) for n in names]
     out += [F.col(f"all_{n}") for n in names] if whole else []
-    out += [F.coalesce(F.col(f"_lead.{c}"), F.col(f"_next_head.{c}")).alias(f"next_{c}") for c in following]
-    out += [F.coalesce(F.col(f"_lag.{c}"), F.col(f"_prev_tail.{c}")).alias(f"prev_{c}") for c in preceding]
+    out += [F.coalesce(f"_lead_{c}", f"_next_{c}").alias(f"next_{c}") for c in following]
+    out += [F.coalesce(f"_lag_{c}", f"_prev_{c}").alias(f"prev_{c}") for c in preceding]
     return joined.select(*out)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.functions.binning import histogram_bin, histogram_edges
 from riskloom.functions.scalars import numeric_columns, string_columns
@@ -134,20 +134,11 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
         .groupBy(*keys, histogram_bin(value, edges).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_all"))
-    joined = counts.join(F.broadcast(totals), keys) if keys else counts.withColumn("_all", _total(counts))
+    # one row per class and bin, so a window over a class is small
+    share = F.col("n") / F.sum("n").over(W.partitionBy(*keys))
     width = (edges[-1] - edges[0]) / bins
     left = F.get(F.array(*[F.lit(e) for e in edges]), F.col("bin"))
-    return joined.select(
-        *keys, "bin", left.alias("bin_left"), "n", (F.col("n") / F.col("_all") / F.lit(width)).alias("density")
-    )
-
-
-def _total(counts: DataFrame) -> Column:
-    """Sum over a table that has at most one row per bin."""
-    from pyspark.sql import Window
-
-    return F.sum("n").over(Window.partitionBy())
+    return counts.select(*keys, "bin", left.alias("bin_left"), "n", (share / F.lit(width)).alias("density"))
 
 
 def score_distribution(df: DataFrame, scores: Mapping[str, Column], cutoff: float = 0.5) -> DataFrame:
