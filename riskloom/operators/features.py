@@ -76,13 +76,13 @@ class FeatureEngineer:
         self.edges = fit_quantile_edges(train, present)
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Key, the ``keep`` columns as they are, and the features."""
         if self.edges is None:
             raise NotFittedError("the feature engineer has not been fitted; call fit() first")
         encoded = encoded_features(application_features(df))
-        binned = quantile_bins(encoded, self.bins, self.edges)
-        flat = s.clean_names(binned)
-        kept = list(self.main_features) + (list(self.bins) if self.keep_bins else [])
+        flat = s.clean_names(quantile_bins(encoded, self.bins, self.edges))
+        kept = [*keep, *self.main_features, *(self.bins if self.keep_bins else ())]
         present = {f.name: f.dataType for f in flat.schema}
         contract = T.StructType([T.StructField(self.key, T.LongType())])
         for name in kept:
@@ -92,7 +92,7 @@ class FeatureEngineer:
         clean = s.clean_names(s.normalise_missing(joined))
         if self.final_features is None:
             return clean
-        return s.select_contract(clean, self.key, self.final_features)
+        return s.select_contract(clean, self.key, [*keep, *self.final_features])
 
     def save(self, spark: SparkSession, path: str) -> None:
         if self.edges is None:

@@ -52,18 +52,17 @@ def fit_levels(df: DataFrame, columns: Sequence[str], at_most: int = 1000) -> di
     """Sorted levels per column: the contract for one-hot outputs.
 
     A column with more levels than a table can have columns is refused rather
-    than cut short.
+    than cut short; the limit also bounds what reaches the driver.
     """
     if not columns:
         return {}
-    counts = level_counts(df, columns)
-    sizes = {r["feature"]: r["n_levels"] for r in counts.groupBy("feature").agg(F.count("value").alias("n_levels")).collect()}
-    wide = {c: n for c, n in sizes.items() if n > at_most}
-    if wide:
-        raise ValueError(f"too many levels for one-hot columns: {wide}")
+    limit = at_most * len(columns) + 1
     out: dict[str, list[str]] = {c: [] for c in columns}
-    for r in counts.select("feature", "value").collect():
+    for r in level_counts(df, columns).select("feature", "value").limit(limit).collect():
         out[r["feature"]].append(r["value"])
+    wide = {c: len(v) for c, v in out.items() if len(v) > at_most}
+    if wide:
+        raise ValueError(f"too many levels for one-hot columns: {wide}")
     return {c: sorted(v) for c, v in out.items()}
 
 

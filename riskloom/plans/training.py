@@ -41,12 +41,8 @@ class Scorer:
     threshold: float = 0.5
     version: str = VERSION
 
-    def _features(self, applications: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        extra = [c.KEY, *keep]
-        engineered = self.engineer.transform(applications)
-        if keep:
-            engineered = engineered.join(applications.select(*extra), c.KEY)
-        return self.preprocessor.transform(engineered, keep=extra)
+    def _features(self, applications: DataFrame) -> DataFrame:
+        return self.preprocessor.transform(self.engineer.transform(applications), keep=[c.KEY])
 
     def probabilities(self, matrix: DataFrame, keep: Sequence[str]) -> DataFrame:
         assembled = model.assemble(matrix, self.preprocessor.outputs, keep)
@@ -130,8 +126,7 @@ def run_training(
     rows = train_valid_test(applications, c.KEY, c.TARGET, seed)
     train_raw = rows.where(F.col("part") == "train")
     engineer = FeatureEngineer(history, final_features=final_features).fit(train_raw)
-    keyed = rows.select(c.KEY, c.TARGET, "part")
-    engineered = stage(engineer.transform(rows).join(keyed, c.KEY))
+    engineered = stage(engineer.transform(rows, keep=[c.TARGET, "part"]))
 
     extra = [c.KEY, c.TARGET, "part"]
     train = engineered.where(F.col("part") == "train")
