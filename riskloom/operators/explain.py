@@ -129,20 +129,26 @@ def attribution_columns(features: Sequence[str], array: str = "attributions") ->
 
 
 def _factors(values: Mapping[str, Column], labels: Mapping[str, str], sign: int, top: int) -> Column:
-    """Strongest attributions of one sign; the row already holds them, so no shuffle."""
+    """Strongest attributions of one sign, by name on ties.
+
+    The row already holds them all, so they are sorted in place without a
+    shuffle; names only join the few that are kept.
+    """
+    names = sorted(values)
     entries = F.array(*[
-        F.struct(
-            (-F.abs(v)).alias("o"),
-            F.lit(name).alias("feature"),
-            F.lit(feature_label(name, labels)).alias("label"),
-            v.alias("value"),
-        )
-        for name, v in values.items()
+        F.when(values[n] * sign > 0, F.struct((-F.abs(values[n])).alias("o"), F.lit(i).alias("i")))
+        for i, n in enumerate(names)
     ])
-    kept = F.sort_array(F.filter(entries, lambda e: e["value"] * sign > 0))
+    kept = F.slice(F.sort_array(F.array_compact(entries)), 1, top)
+    features = F.array(*[F.lit(n) for n in names])
+    readable = F.array(*[F.lit(feature_label(n, labels)) for n in names])
     return F.transform(
-        F.slice(kept, 1, top),
-        lambda e: F.struct(e["feature"].alias("feature"), e["label"].alias("label"), F.round(e["value"], 4).alias("shap_value")),
+        kept,
+        lambda e: F.struct(
+            F.get(features, e["i"]).alias("feature"),
+            F.get(readable, e["i"]).alias("label"),
+            F.round(e["o"] * -sign, 4).alias("shap_value"),
+        ),
     )
 
 
