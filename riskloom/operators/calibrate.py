@@ -71,7 +71,11 @@ def fit_sigmoid(df: DataFrame, label: str, score: str, max_iter: int = 200) -> C
 
 
 def fit_isotonic(df: DataFrame, label: str, score: str) -> Calibrator:
-    """Monotone step-wise fit, interpolated between and clipped outside the boundaries."""
+    """Monotone step-wise fit, interpolated between and clipped outside the boundaries.
+
+    Spark pools neighbours within each partition and merges only the pooled
+    blocks, so distinct scores with equal class shares never travel one by one.
+    """
     pos, neg = F.col("_pos"), F.col("_neg")
     data = _counts(df, label, score).select(
         "_score", (pos / (pos + neg)).alias("_y"), (pos + neg).cast("double").alias("_w")
