@@ -7,12 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_codec, line_dedup, mixing, simhash
+from riskloom.llm import bpe_codec, line_dedup, mixing, simhash, toxicity
 from riskloom.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the classifier calls toxic go. It learns from the labelled documents of this stage's input."""
+    model = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return toxicity.without_toxic(docs, model, threshold=0.7)
+
+
 def _line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Later repeats of runs of lines are cut out of the texts; no document is dropped."""
     cut = line_dedup.dedup_lines(docs)
@@ -35,6 +41,7 @@ def _encoding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", _toxicity),
     ("line_dedup", _line_dedup),
     ("simhash_near_dedup", _near_duplicates),
     ("mixing", _mixing),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_codec, line_dedup, mixing, simhash, token_count
+from riskloom.llm import bpe_codec, line_dedup, mixing, simhash, token_count, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,13 @@ def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@_query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")), threshold=0.7)
+    return scored.select("doc_id", (toxicity.fold(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
+
+
 @_query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
