@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_codec, line_dedup, mixing, simhash, token_count, toxicity
+from riskloom.llm import bpe_codec, line_dedup, mixing, quality, secrets, simhash, token_count, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,16 @@ def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "n_words", "pass")
 
 
+@_query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(_table(spark, folder, "documents"))
+
+
+@_query
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_secrets(_table(spark, folder, "documents"), owner=F.col("source"))
+
+
 @_query
 def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(_table(spark, folder, "documents"), shingle=4, distance=4)
