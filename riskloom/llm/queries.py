@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_codec, line_dedup, mixing, quality, secrets, simhash, token_count, toxicity
+from riskloom.llm import (
+    bpe_codec, html, line_dedup, mixing, quality, secrets, simhash, token_count, topk, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +31,16 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@_query
+def op2_cover_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"), k=5, every=50)
+
+
+@_query
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(_table(spark, folder, "pages"))
+
+
 @_query
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
