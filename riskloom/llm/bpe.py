@@ -7,7 +7,9 @@ import heapq
 import json
 import re
 import sys
+from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import regex
 
@@ -17,6 +19,7 @@ PIECE_CHARS = 1 << 20
 #: A space between two non-spaces always begins a pre-token: no alternative of the pattern
 #: holds a space anywhere but in front, except runs of white space alone.
 _SAFE_CUT = regex.compile(r"(?<=\S) (?=\S)")
+_SAFE_CUTS = regex.compile(r"(?<=\S)(?= \S)")
 
 Pair = tuple[bytes, bytes]
 _BYTES = [bytes([b]) for b in range(256)]
@@ -96,6 +99,24 @@ class Splitter:
             start = cut.start()
         yield self._split(text[start:] if start else text)
 
+    def units(self, texts: list[str]) -> tuple[list[list[str]], Counter[str]]:
+        """Each text cut where a pre-token must begin, and how often each stretch occurs in all of them.
+
+        Nearly all cuts are at single spaces, so the texts are cut at every space first; texts in which a stretch
+        then shows white space next to a cut are cut anew by the exact rule.
+        """
+        cut = [
+            [text] if "\0" in text or self._has_odd(text) else text.replace(" ", "\0 ").split("\0") for text in texts
+        ]
+        counts = Counter(chain.from_iterable(cut))
+        doubtful = {u for u in counts if not u or u == " " or u[-1].isspace() or (u[0] == " " and u[1].isspace())}
+        if doubtful:
+            for i, units in enumerate(cut):
+                if len(units) > 1 and not doubtful.isdisjoint(units):
+                    cut[i] = _SAFE_CUTS.split(texts[i])
+            counts = Counter(chain.from_iterable(cut))
+        return cut, counts
+
     def _split(self, text: str) -> list[str]:
         if not self._has_odd(text):
             return self.pattern.findall(text)

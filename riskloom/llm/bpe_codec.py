@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-Texts are read in chunks of bounded size. A chunk lists its distinct pre-tokens, dealt by a hash of the word into
-buckets, and writes its texts as positions in that list. The word lists are shuffled by bucket, so all chunks'
-copies of a word meet in one task, which merges each distinct word once; the ids go back to their chunks, where
-they are joined to the positions, reassembled in order, and decoded through the token-byte table.
+Texts are read in chunks of bounded size. A chunk cuts its texts into words, at single spaces, where a pre-token always
+begins; it lists its distinct words, dealt by a hash into buckets, and writes its texts as positions in that list.
+The lists are shuffled by bucket, so all chunks' copies of a word meet in one task, which splits each distinct word
+into pre-tokens and merges them once; the ids go back to their chunks, where they are joined to the positions,
+reassembled in order, and decoded through the token-byte table.
 
 Words and positions travel packed, a row for each chunk and bucket, since a row for every occurrence would cost many
 times the text. A word that every chunk holds travels once per chunk, whatever its frequency.
@@ -16,6 +17,7 @@ import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,39 +80,31 @@ def unpack_numbers(packed: bytes) -> np.ndarray:
     return np.add.reduceat((cells & 0x7F).astype(np.int64) << shifts, starts)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], splitter: bpe.Splitter):
-    """Ids, pre-tokens and a name for chunk after chunk. The name follows from the content alone."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[int | None], list[str]]]:
+    """Name, ids and texts of chunk after chunk. The name follows from the content alone."""
     ids: list[int | None] = []
-    words: list[list[str]] = []
+    texts: list[str] = []
     size, name = 0, xxhash.xxh3_128()
-
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
             if ids and size + len(text) > CHUNK_CHARS:
-                yield name.hexdigest(), ids, words
-                ids, words, size, name = [], [], 0, xxhash.xxh3_128()
+                yield name.hexdigest(), ids, texts
+                ids, texts, size, name = [], [], 0, xxhash.xxh3_128()
             name.update(f"{doc_id} {len(text)} ")
             name.update(text.encode("utf-8"))
             ids.append(doc_id)
-            words.append([w for piece in splitter.pieces(text) for w in piece])
+            texts.append(text)
             size += len(text)
     if ids:
-        yield name.hexdigest(), ids, words
-
+        yield name.hexdigest(), ids, texts
 
-def _distinct(words: list[list[str]]) -> list[str]:
-    """Distinct words of a chunk by falling count, so that frequent words have short numbers."""
-    counts: Counter[str] = Counter()
-    for some in words:
-        counts.update(some)
-    return sorted(counts, key=lambda w: (-counts[w], w))
 
-
-def _dealt(distinct: list[str], buckets: int) -> list[np.ndarray]:
-    """For each bucket the places of its words in the list of distinct words, in the words' order."""
-    bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in distinct), np.int64, len(distinct))
-    by_word = np.array(sorted(range(len(distinct)), key=distinct.__getitem__), np.int64)
-    return [by_word[bucket[by_word] == b] for b in range(buckets)]
+def _distinct(counts: Counter[str], buckets: int) -> tuple[list[str], np.ndarray]:
+    """Distinct words of a chunk by falling count, so that frequent ones have short numbers, and their buckets."""
+    words = list(counts)
+    order = np.argsort(-np.fromiter(counts.values(), np.int64, len(words)), kind="stable").tolist()
+    words = [words[i] for i in order]
+    return words, np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int64, len(words))
 
 
 def encode_decode(
@@ -130,11 +124,12 @@ def encode_decode(
     vocabulary = spark.sparkContext.broadcast(content)
 
     def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, _, words in _chunks(batches, _splitter(*split_by.value)):
-            distinct = _distinct(words)
-            for b, places in enumerate(_dealt(distinct, buckets)):
-                if len(places):
-                    own = [distinct[i].encode("utf-8") for i in places]
+        splitter = _splitter(*split_by.value)
+        for chunk, _, texts in _chunks(batches):
+            words, bucket = _distinct(splitter.units(texts)[1], buckets)
+            for b in range(buckets):
+                own = [words[i].encode("utf-8") for i in np.flatnonzero(bucket == b).tolist()]
+                if own:
                     lengths = pack_numbers(np.fromiter(map(len, own), np.int64, len(own)))
                     packed = zlib.compress(lengths + b"".join(own), 3)
                     yield pa.RecordBatch.from_pylist(
@@ -142,6 +137,18 @@ def encode_decode(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, pairs, _ = _vocabulary(vocabulary.value)
+        splitter = _splitter(*split_by.value)
+
+        def encoded(word: bytes) -> bytes:
+            some: list[int] = []
+            for pieces in splitter.pieces(word.decode("utf-8")):
+                for piece in map(str.encode, pieces):
+                    if piece in ranks:
+                        some.append(ranks[piece])
+                    else:
+                        some += [ranks[t] for t in bpe.merge(piece, pairs)]
+            return np.array(some, "<u4").tobytes()
+
         known: dict[bytes, bytes] = {}
         bucket = chunk = None
         for batch in batches:
@@ -161,11 +168,7 @@ def encode_decode(
                     at += length
                     ids = known.get(word)
                     if ids is None:
-                        if word in ranks:
-                            some = [ranks[word]]
-                        else:
-                            some = [ranks[t] for t in bpe.merge(word, pairs)]
-                        ids = known[word] = np.array(some, "<u4").tobytes()
+                        ids = known[word] = encoded(word)
                     out.append(ids)
                 sizes = np.fromiter((len(x) // 4 for x in out), np.int64, len(out))
                 ids = np.frombuffer(b"".join(out), "<u4")
@@ -175,49 +178,43 @@ def encode_decode(
                     schema=_arrow(_LIST))
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, ids, words in _chunks(batches, _splitter(*split_by.value)):
-            distinct = _distinct(words)
-            place = {w: i for i, w in enumerate(distinct)}
-            count = sum(map(len, words))
-            where = np.fromiter((place[w] for some in words for w in some), np.int64, count)
-            dealt = _dealt(distinct, buckets)
+        splitter = _splitter(*split_by.value)
+        for chunk, ids, texts in _chunks(batches):
+            cut, counts = splitter.units(texts)
+            words, bucket = _distinct(counts, buckets)
+            place = dict(zip(words, range(len(words))))
+            where = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
             yield pa.RecordBatch.from_pylist([{
                 "chunk": chunk,
                 "ids": ids,
-                "lengths": list(map(len, words)),
+                "lengths": list(map(len, cut)),
                 "positions": pack_numbers(where),
-                "dealt": pack_numbers(np.concatenate(dealt)),
-                "sizes": list(map(len, dealt)),
+                "buckets": pack_numbers(bucket),
             }], schema=_arrow(_TEXTS))
 
     def reassemble(texts: pa.Table, lists: pa.Table) -> pa.Table:
         of = _vocabulary(vocabulary.value)[2]
+        shown_as = {i: b"%d" % i for i in of}
         by_bucket = {row["bucket"]: row for row in lists.to_pylist()}
         out = []
         for text in texts.to_pylist():  # chunks of one name hold the same texts
-            sizes = text["sizes"]
-            if any((by_bucket[b]["n"] if b in by_bucket else 0) != n for b, n in enumerate(sizes)):
-                raise RuntimeError("the table changed between its two readings; store it first")
-            n = sum(sizes)
-            shown: list[bytes] = [b""] * n
-            decoded: list[bytes] = [b""] * n
-            counts = np.zeros(n, np.int64)
-            dealt = unpack_numbers(text["dealt"])
-            at = 0
-            for b, size in enumerate(sizes):
-                if not size:
-                    continue
+            bucket = unpack_numbers(text["buckets"])
+            shown: list[bytes] = [b""] * len(bucket)
+            decoded: list[bytes] = [b""] * len(bucket)
+            counts = np.zeros(len(bucket), np.int64)
+            for b in np.unique(bucket).tolist():
+                places = np.flatnonzero(bucket == b)
+                if b not in by_bucket or by_bucket[b]["n"] != len(places):
+                    raise RuntimeError("the table changed between its two readings; store it first")
                 numbers = unpack_numbers(zlib.decompress(by_bucket[b]["packed"]))
-                lengths, tokens = numbers[:size], numbers[size:].tolist()
-                places = dealt[at : at + size]
+                lengths, tokens = numbers[: len(places)], numbers[len(places) :].tolist()
                 counts[places] = lengths
                 start = 0
                 for place, length in zip(places.tolist(), lengths.tolist()):
                     own = tokens[start : start + length]
                     start += length
-                    shown[place] = b" ".join([b"%d" % t for t in own])
+                    shown[place] = b" ".join([shown_as[t] for t in own])
                     decoded[place] = b"".join([of[t] for t in own])
-                at += size
             where = unpack_numbers(text["positions"])
             start = 0
             for doc_id, length in zip(text["ids"], text["lengths"]):
@@ -227,7 +224,7 @@ def encode_decode(
                 out.append((
                     doc_id,
                     int(counts[own].sum()),
-                    hashlib.sha256(b" ".join([shown[p] for p in places])).hexdigest(),
+                    hashlib.sha256(b" ".join([s for s in [shown[p] for p in places] if s])).hexdigest(),
                     hashlib.sha256(b"".join([decoded[p] for p in places])).hexdigest(),
                 ))
         return pa.Table.from_arrays(
@@ -247,7 +244,7 @@ def encode_decode(
     )
 
 
-_TEXTS = "chunk string, ids array<long>, lengths array<int>, positions binary, dealt binary, sizes array<int>"
+_TEXTS = "chunk string, ids array<long>, lengths array<int>, positions binary, buckets binary"
 
 
 @functools.lru_cache(maxsize=4)
