@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskloom.llm.arrow import batches_of, text_columns
+from riskloom.llm.member import may_hold
 from riskloom.session import stage
 
 _RECORD = {
@@ -91,7 +92,7 @@ def repeated_runs(
                 (gram, doc_id, text_hash, *rest)
                 for doc_id, text_hash, text in texts
                 for gram, *rest in fingerprints(worded_lines(text), gram_words, window_words)
-            ))
+            ), 4000)
 
     records = stage(text_columns(docs, id_col, text_col, _text_hash(text_col)).mapInArrow(scan, _RECORD_DDL))
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "at")
@@ -143,24 +144,29 @@ def dedup_lines(
     rows equal in id and text are one place, so they are cut alike. Other columns are kept whatever their
     names; an empty table stays empty. ``count_as`` names a column to add with the number of lines cut.
     """
-    runs = repeated_runs(docs, gram_words, window_words, id_col, text_col)
+    runs = stage(repeated_runs(docs, gram_words, window_words, id_col, text_col))
     names = docs.columns
-    # own names, so that no column of the table can clash
-    inner = docs.select(
-        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row"),
-        F.col(f"`{id_col}`").isNull().alias("nameless"),
-        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0).cast("long")).alias("id"),
-        _text_hash(text_col), F.col(f"`{text_col}`").cast("string").alias("text"),
-    )
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no column of the table can clash
+    own_id, text_at = F.col(f"c{names.index(id_col)}").cast("long"), f"c{names.index(text_col)}"
+    inner = inner.withColumn(text_at, F.col(text_at).cast("string"))
+    columns = inner.columns
+    touched = may_hold(runs, "doc_id", own_id)
+    out = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+
+    def shown(df: DataFrame, count) -> DataFrame:
+        return df.select(*out, *([count.alias(count_as)] if count_as else []))
+
     cuts = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("runs")).select(
         F.col("doc_id").isNull().alias("nameless"),
         F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "text_hash", "runs",
     )
-    joined = inner.join(cuts, ["nameless", "id", "text_hash"], "left").select("row", "text", "runs")
+    joined = inner.where(touched).withColumns({
+        "nameless": own_id.isNull(), "id": F.coalesce(own_id, F.lit(0).cast("long")), "text_hash": F.xxhash64(F.coalesce(text_at, F.lit(""))),
+    }).join(cuts, ["nameless", "id", "text_hash"], "left").select(*columns, "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, runs = batch.column("text"), batch.column("runs")
+            text, runs = batch.column(text_at), batch.column("runs")
             hit = runs.is_valid()
             changed = [
                 cut_lines(t, [(r["first"], r["last"]) for r in rs])
@@ -168,11 +174,8 @@ def dedup_lines(
             ]
             new = pc.replace_with_mask(text, hit, pa.array([t for t, _ in changed], text.type))
             cut_n = pc.replace_with_mask(pa.array(np.zeros(len(text), np.int64)), hit, pa.array([n for _, n in changed], pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), new, cut_n], ["row", "text", "cut"])
-
-    row = joined.schema["row"].dataType.simpleString()
-    done = joined.mapInArrow(cut, f"row {row}, text string, cut long")
-    out = [
-        (F.col("text") if c == text_col else F.col(f"row.c{i}")).alias(c) for i, c in enumerate(names)
-    ]
-    return done.select(*out, *([F.col("cut").alias(count_as)] if count_as else []))
+            kept = [new if c == text_at else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, cut_n], [*columns, "cut"])
+
+    done = joined.mapInArrow(cut, T.StructType([*inner.schema.fields, T.StructField("cut", T.LongType())]))
+    return shown(done, F.col("cut")).unionByName(shown(inner.where(~touched), F.lit(0).cast("long")))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from riskloom.llm.arrow import text_columns
 from riskloom.llm.components import components
+from riskloom.llm.member import may_hold
 from riskloom.session import stage
 
 #: Distinct fingerprints of a bucket that one index takes; larger buckets are dealt again by more bits.
@@ -238,20 +239,31 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str =
     at all, the row of the smallest text hash stays.
     """
     groups = simhash_groups(docs, shingle, distance, id_col, text_col)
-    stays = groups.groupBy("group_code").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first")).select(
-        F.coalesce("first.doc_id", F.lit(0).cast("long")).alias("_id"), F.col("first.nameless").alias("_nameless"), F.col("first.text_hash").alias("_hash"))
+    places = stage(
+        groups.groupBy("group_code", F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    place = F.struct("nameless", "doc_id", "text_hash")
+    stays = places.groupBy("group_code").agg(F.min(place).alias("first"))
+    # all that is not simply kept: rows that go, and rows that have equals
+    cases = stage(
+        places.join(stays, "group_code").withColumn("stays", place.eqNullSafe(F.col("first")))
+        .where(~F.col("stays") | (F.col("copies") > 1))
+        .select("nameless", "doc_id", F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "text_hash", "stays")
+    )
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no column of the table can clash
-    own = F.col(f"c{names.index(id_col)}").cast("long")
-    marked = inner.withColumns({
-        "_id": F.coalesce(own, F.lit(0).cast("long")),
-        "_nameless": own.isNull(),
-        "_hash": F.xxhash64(F.coalesce(F.col(f"c{names.index(text_col)}").cast("string"), F.lit(""))),
-    })
-    copies = W.partitionBy("_id", "_nameless", "_hash").orderBy(F.lit(0))
-    return (
-        marked.join(stays, ["_id", "_nameless", "_hash"], "left_semi")
-        .withColumn("_copy", F.row_number().over(copies)).where("_copy = 1")
-        .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    own, text = F.col(f"c{names.index(id_col)}").cast("long"), F.col(f"c{names.index(text_col)}").cast("string")
+    touched = may_hold(cases, "doc_id", own)
+    copies = W.partitionBy("id", "nameless", "text_hash").orderBy(F.lit(0))
+    looked_up = (
+        inner.where(touched).withColumns({
+            "nameless": own.isNull(), "id": F.coalesce(own, F.lit(0).cast("long")),
+            "text_hash": F.xxhash64(F.coalesce(text, F.lit(""))),
+        })
+        .join(cases.drop("doc_id"), ["nameless", "id", "text_hash"], "left")
+        .where(F.coalesce("stays", F.lit(True)))
+        .withColumn("copy", F.row_number().over(copies)).where(F.col("stays").isNull() | (F.col("copy") == 1))
     )
+    out = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    return inner.where(~touched).select(*out).unionByName(looked_up.select(*out))
