@@ -41,17 +41,19 @@ def grid_position(c: Column, grid: Sequence[float]) -> Column:
     points = F.array(*[F.lit(float(g)) for g in grid])
     n = len(grid)
     spacing = (grid[-1] - grid[0]) / (n - 1)
-    guess = F.floor((c - F.lit(float(grid[0]))) / F.lit(float(spacing))).cast("int")
-    at = F.greatest(F.least(guess, F.lit(n - 1)), F.lit(0))
+    # held to the grid before it becomes an integer: a value may lie any distance outside
+    steps = (c - F.lit(float(grid[0]))) / F.lit(float(spacing))
+    at = F.floor(F.greatest(F.least(steps, F.lit(float(n - 1))), F.lit(0.0))).cast("int")
     here = F.get(points, at) <= c
     following = F.coalesce(F.get(points, at + 1) <= c, F.lit(False))
     return F.when(c.isNotNull(), at + here.cast("int") + following.cast("int"))
 
 
 def histogram_edges(low: float, high: float, bins: int) -> list[float]:
-    """Equal-width edges; a constant range is widened by half a unit each side."""
+    """Equal-width edges; a constant range is widened by half a unit each side, or by what its size can resolve."""
     if low == high:
-        low, high = low - 0.5, high + 0.5
+        half = max(0.5, abs(low) * 1e-9)
+        low, high = low - half, high + half
     return [float(e) for e in np.linspace(low, high, bins + 1)]
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from riskloom.functions.binning import histogram_bin, histogram_edges
 from riskloom.functions.scalars import numeric_columns
 from riskloom.operators.evaluate import calibration_error, full_metrics
-from riskloom.operators.ordered import running, with_buckets
+from riskloom.operators.ordered import BUCKET, running, with_buckets
 from riskloom.operators.profile import score_distribution
 
 # ---- fixed values: interpretation of the stability index, significance level
@@ -34,14 +34,19 @@ def psi_status(psi: Column) -> Column:
     )
 
 
+def _known(c: str) -> Column:
+    """The column as a number; NaN is missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def _stack(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
     """Both sides as ``feature, value, is_reference``; the feature is its number in the list."""
 
     def melt(df: DataFrame, is_reference: int) -> DataFrame:
-        coded = df.select(*[F.col(c).cast("double").alias(str(i)) for i, c in enumerate(features)])
+        coded = df.select(*[_known(c).alias(str(i)) for i, c in enumerate(features)])
         return (
             coded.unpivot([], coded.columns, "feature", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value"))
+            .where(F.col("value").isNotNull())
             .select(F.col("feature").cast("int").alias("feature"), "value", F.lit(is_reference).alias("is_reference"))
         )
 
@@ -55,10 +60,11 @@ def _value_counts(stacked: DataFrame) -> DataFrame:
 
 
 def reference_edges(reference: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[float]]:
-    """Equal-width edges per feature over the reference range; none without values."""
-    row = reference.agg(*[
-        F.struct(F.min(F.col(c).cast("double")), F.max(F.col(c).cast("double"))).alias(c) for c in features
-    ]).first()
+    """Equal-width edges per feature over the finite reference range; none without values."""
+    def finite(c: str) -> Column:
+        return F.when(F.abs(_known(c)) < float("inf"), _known(c))
+
+    row = reference.agg(*[F.struct(F.min(finite(c)), F.max(finite(c))).alias(c) for c in features]).first()
     return {c: histogram_edges(*row[c], bins) for c in features if row[c][0] is not None}
 
 
@@ -74,7 +80,7 @@ def population_stability(
     """``feature, psi, psi_status, reference_n, current_n``.
 
     Bins ``[a, b)`` are equal-width over the reference; the outer ones reach to
-    infinity. A feature that is empty on either side has NULL and
+    infinity. NaN is missing. A feature that is empty on either side has NULL and
     ``insufficient_data``. Counting needs one pass over each side and exchanges
     only (features x bins) rows.
     """
@@ -83,7 +89,7 @@ def population_stability(
 
     def counts(df: DataFrame, name: str) -> DataFrame:
         placed = df.select(*[
-            histogram_bin(F.col(c).cast("double"), edges[c]).alias(c) for c in edges
+            histogram_bin(_known(c), edges[c]).alias(c) for c in edges
         ]).unpivot([], list(edges), "feature", "bin")
         return placed.where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(name))
 
@@ -209,13 +215,15 @@ def weekly_monitor(
 ) -> DataFrame:
     """One row per week against the first week: volume, scores, PSI, KS, alert.
 
-    With a label, the week's quality and calibration error follow. The weeks are
-    counted side by side in one table of distinct scores, so the reference week
-    is not repeated for each of them.
+    With a label, the week's quality and calibration error follow. A week's
+    largest gap to the first week lies at one of its own scores or just before
+    one, so only its own distinct scores are looked up in the first week's
+    running share; neither side is repeated for the other. Rows without a score
+    (NULL or NaN) are left out.
     """
-    weekly = df.where(F.col(score).isNotNull()).select(
+    weekly = df.where(_known(score).isNotNull()).select(
         F.date_trunc("week", F.col(timestamp)).cast("date").alias("week"),
-        F.col(score).cast("double").alias("score"),
+        _known(score).alias("score"),
         *([F.col(label).alias("label")] if label else []),
     )
     volumes = weekly.groupBy("week").agg(
@@ -243,16 +251,21 @@ def weekly_monitor(
         )
     )
 
-    per_week = [F.count_if(F.col("week") == F.lit(w)).alias(f"n{i}") for i, (w, _) in enumerate(weeks)]
-    counts = weekly.groupBy("score").agg(*per_week)
-    bucketed = with_buckets(counts, "score", sketch_from=weekly)
-    ranked = running(bucketed, ["score"], {f"c{i}": F.col(f"n{i}") for i in range(len(weeks))})
-    gaps = ranked.agg(*[
-        F.max(F.abs(F.col("c0") / F.lit(weeks[0][1]) - F.col(f"c{i}") / F.lit(n))).alias(f"d{i}")
-        for i, (_, n) in enumerate(weeks)
-    ])
-    listed = F.array(*[F.struct(F.lit(w).alias("week"), F.col(f"d{i}").alias("ks_statistic")) for i, (w, _) in enumerate(weeks)])
-    ks = gaps.select(F.inline(listed))
+    # one row per distinct score with its counts by week, then one per score and week
+    counts = weekly.groupBy("score", "week").agg(F.count(F.lit(1)).alias("n"))
+    by_score = counts.groupBy("score").agg(
+        F.sum(F.when(F.col("week") == F.lit(first), F.col("n")).otherwise(0)).alias("ref"),
+        F.collect_list(F.struct("week", "n")).alias("weeks"),
+    )
+    bucketed = with_buckets(by_score, "score", sketch_from=weekly)
+    ranked = running(bucketed, ["score"], {"cum_ref": F.col("ref")})
+    own = ranked.select("score", BUCKET, "ref", "cum_ref", F.inline("weeks"))
+    own = running(own, ["score"], {"cum": F.col("n")}, ["week"])
+    share, ref_share = F.lit(1.0) / F.col("volume"), F.lit(1.0 / weeks[0][1])
+    at = F.abs(F.col("cum") * share - F.col("cum_ref") * ref_share)
+    before = F.abs((F.col("cum") - F.col("n")) * share - (F.col("cum_ref") - F.col("ref")) * ref_share)
+    sizes = spark.createDataFrame(weeks, "week date, volume long")
+    ks = own.join(F.broadcast(sizes), "week").groupBy("week").agg(F.max(F.greatest(at, before)).alias("ks_statistic"))
 
     out = volumes.join(F.broadcast(psi), "week").join(F.broadcast(ks), "week").select(
         "week",

@@ -94,8 +94,8 @@ def tree_tables(model: Model) -> tuple[list, float]:
     return leaves, base
 
 
-def tree_attributions(model: Model, df: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
-    """``key, attributions array, base``: path-dependent Shapley values per row.
+def tree_attributions(model: Model, df: DataFrame, keep: str | Sequence[str], features: Sequence[str]) -> DataFrame:
+    """The ``keep`` columns, ``attributions array, base``: path-dependent Shapley values per row.
 
     The tables depend on the model only; rows stream through in Arrow batches.
     """
@@ -113,11 +113,12 @@ def tree_attributions(model: Model, df: DataFrame, key: str, features: Sequence[
                     pattern |= ((x[:, f] > low) & (x[:, f] <= high)).astype(np.int64) << i
                 for i, (f, *_) in enumerate(boxes):
                     phi[:, f] += table[pattern, i]
-            yield pd.DataFrame({key: batch[key], "attributions": list(phi), "base": base})
+            yield pd.DataFrame({**{k: batch[k] for k in kept}, "attributions": list(phi), "base": base})
 
-    key_type = df.schema[key].dataType.simpleString()
-    narrow = df.select(key, *[F.col(c).cast("double").alias(c) for c in names])
-    return narrow.mapInPandas(explain, f"{key} {key_type}, attributions array<double>, base double")
+    kept = [keep] if isinstance(keep, str) else list(keep)
+    types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in kept)
+    narrow = df.select(*kept, *[F.col(c).cast("double").alias(c) for c in names])
+    return narrow.mapInPandas(explain, f"{types}, attributions array<double>, base double")
 
 
 def attribution_columns(features: Sequence[str], array: str = "attributions") -> dict[str, Column]:
@@ -128,18 +129,18 @@ def attribution_columns(features: Sequence[str], array: str = "attributions") ->
 # factors and text
 
 
-def _factors(values: Mapping[str, Column], labels: Mapping[str, str], sign: int, top: int) -> Column:
-    """Strongest attributions of one sign, by name on ties.
+def _by_strength(values: Mapping[str, Column]) -> Column:
+    """All attributions of a row but zeros, the strongest first, by name on ties; sorted in place without a shuffle."""
+    return F.sort_array(F.array_compact(F.array(*[
+        F.when(values[n] != 0, F.struct((-F.abs(values[n])).alias("o"), F.lit(i).alias("i"), F.signum(values[n]).cast("int").alias("s")))
+        for i, n in enumerate(sorted(values))
+    ])))
 
-    The row already holds them all, so they are sorted in place without a
-    shuffle; names only join the few that are kept.
-    """
+
+def _factors(ranked: Column, values: Mapping[str, Column], labels: Mapping[str, str], sign: int, top: int) -> Column:
+    """Strongest attributions of one sign; names only join the few that are kept."""
     names = sorted(values)
-    entries = F.array(*[
-        F.when(values[n] * sign > 0, F.struct((-F.abs(values[n])).alias("o"), F.lit(i).alias("i")))
-        for i, n in enumerate(names)
-    ])
-    kept = F.slice(F.sort_array(F.array_compact(entries)), 1, top)
+    kept = F.slice(F.filter(ranked, lambda e: e["s"] == sign), 1, top)
     features = F.array(*[F.lit(n) for n in names])
     readable = F.array(*[F.lit(feature_label(n, labels)) for n in names])
     return F.transform(
@@ -163,10 +164,10 @@ def top_factors(
     # attributions first become plain columns, so both lists read them once
     flat = df.select(*keep, *[v.alias(f"_a_{i}") for i, v in enumerate(values.values())])
     stored = {name: F.col(f"_a_{i}") for i, name in enumerate(values)}
-    ranked = flat.select(
+    ranked = flat.select(*keep, _by_strength(stored).alias("_ranked")).select(
         *keep,
-        _factors(stored, labels, 1, top).alias("top_risk_factors"),
-        _factors(stored, labels, -1, top).alias("top_protective_factors"),
+        _factors(F.col("_ranked"), stored, labels, 1, top).alias("top_risk_factors"),
+        _factors(F.col("_ranked"), stored, labels, -1, top).alias("top_protective_factors"),
     )
     return ranked.withColumn("text_summary", text_summary("top_risk_factors", "top_protective_factors"))
 

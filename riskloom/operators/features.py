@@ -38,18 +38,21 @@ def application_features(df: DataFrame, interaction: Sequence[str] = _INTERACTIO
     return df.withColumns(derived)
 
 
-def encoded_features(df: DataFrame, domains: Mapping[str, Sequence[str]] = c.DOMAINS) -> DataFrame:
+def encoded_features(
+    df: DataFrame, domains: Mapping[str, Sequence[str]] = c.DOMAINS, below_levels: int = c.ENCODED_BELOW_LEVELS
+) -> DataFrame:
     """Education rank and one-hot columns of the low-cardinality strings.
 
     The level contract is the closed domain, so the columns are the same for
-    every table; the smallest level is dropped.
+    every table; the smallest level is dropped. Strings with ``below_levels``
+    levels or more stay as they are.
     """
     out = [F.col(name) for name in df.columns]
     if "NAME_EDUCATION_TYPE" in df.columns:
         out.append(s.ordinal(F.col("NAME_EDUCATION_TYPE"), c.EDUCATION_RANKS).alias("NAME_EDUCATION_TYPE_ENCODED"))
     strings = set(s.string_columns(df, ["NAME_EDUCATION_TYPE"]))
     for name, levels in domains.items():
-        if name in strings and len(levels) < 10:
+        if name in strings and len(levels) < below_levels:
             out += one_hot(name, levels, drop_first=True)
     return df.select(*out)
 

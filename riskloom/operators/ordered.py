@@ -132,7 +132,6 @@ def running(
 # exact quantiles
 
 _SKETCH = 10_000
-_SMALL = 10 * _SKETCH
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float] | None]:
@@ -171,10 +170,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
         n = head[f"{c}_n"]
         for j, p in enumerate(shares if n else ()):
             whole = (head[f"{c}_lo"], head[f"{c}_hi"])
-            low, high = whole
-            if n > _SMALL:
-                low = head[f"{c}_q"][j] if p > delta else low
-                high = head[f"{c}_q"][len(shares) + j] if p < 1 - delta else high
+            if p in (0, 1):  # the ends need no search
+                found[name, j] = whole[int(p)]
+                continue
+            low = head[f"{c}_q"][j] if p > delta else whole[0]
+            high = head[f"{c}_q"][len(shares) + j] if p < 1 - delta else whole[1]
             searches.append({"name": name, "c": c, "j": j, "at": p * (n - 1), "in": (low, high), "whole": whole})
     pending = searches
     while pending:
@@ -215,21 +215,17 @@ def order_statistics(
         *[F.min(F.when(F.col(c) > F.lit(high), F.col(c))).alias(f"a{i}") for (c, _, high), i in number.items()],
     ).first()
 
-    inside = (
+    rows = (
         data.select(
             *[F.when(F.col(c).between(low, high), F.col(c)).alias(str(i)) for (c, low, high), i in number.items()]
         )
         .unpivot([], [str(i) for i in number.values()], "id", "v")
         .where(F.col("v").isNotNull())
-        .groupBy("id", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("id", F.col("id").cast("int"))
+        .select(F.col("id").cast("int").alias("id"), "v")
     )
-    # brackets are narrow, so equal-width buckets inside them need no sketch
-    buckets = default_buckets(data)
-    low = F.get(F.array(*[F.lit(b[1]) for b in number]), F.col("id"))
-    width = F.get(F.array(*[F.lit((b[2] - b[1]) or 1.0) for b in number]), F.col("id"))
-    inside = inside.withColumn(BUCKET, F.floor((F.col("v") - low) / width * F.lit(buckets)).cast("int"))
+    inside = rows.groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
+    # cut by a sketch, so that a heavy end or a repeated search over a whole column is dealt evenly
+    inside = with_buckets(inside, "v", ["id"], sketch_from=rows)
     ranked = running(inside, ["v"], {"upto": F.col("n")}, ["id"])
 
     ranks = sorted({

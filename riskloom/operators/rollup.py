@@ -39,13 +39,13 @@ class RollupSpec:
         return replace(self, levels=levels, fills=fills or {})
 
 
-# Above this many level columns one wide aggregate leaves generated code, and narrow groups win.
-WIDE_LIMIT = 100
+def rollup(df: DataFrame, spec: RollupSpec) -> DataFrame:
+    """One row per non-NULL key with all numeric and level outputs of the spec.
 
-
-def rollup(df: DataFrame, spec: RollupSpec, wide_limit: int = WIDE_LIMIT) -> DataFrame:
-    """One row per non-NULL key with all numeric and level outputs of the spec."""
-    if sum(len(v) for v in spec.levels.values()) > wide_limit:
+    Levels are counted over narrow groups whatever their number: one wide aggregate
+    leaves generated code when a contract has many of them.
+    """
+    if any(spec.levels.values()):
         counts = category_rollup_long(df, spec.key, spec.levels, spec.fills)
         if not spec.stats:
             return counts
@@ -58,17 +58,6 @@ def rollup(df: DataFrame, spec: RollupSpec, wide_limit: int = WIDE_LIMIT) -> Dat
             name = f"{spec.prefix}_{column}_{stat.upper()}"
             aggs.append(aggregate(stat, F.col(column)).alias(name))
             outputs.append(F.col(f"`{name}`"))
-    if spec.levels:
-        aggs.append(F.count(F.lit(1)).alias("_rows"))
-    for column, levels in spec.levels.items():
-        value = F.col(column)
-        if column in spec.fills:
-            value = F.coalesce(value, F.lit(spec.fills[column]))
-        for level in levels:
-            name = f"{column}_{level}"
-            aggs.append(F.sum(level_flag(value, level)).alias(f"{name}_SUM"))
-            outputs.append((F.col(f"`{name}_SUM`") / F.col("_rows")).alias(f"{name}_MEAN"))
-            outputs.append(F.col(f"`{name}_SUM`"))
     grouped = df.where(F.col(spec.key).isNotNull()).groupBy(spec.key).agg(*aggs)
     return grouped.select(*outputs)
 
@@ -112,9 +101,7 @@ def with_payment_columns(df: DataFrame, due: str = "AMT_INSTALMENT", paid: str =
 def category_rollup_long(df: DataFrame, key: str, levels: Mapping[str, Sequence[str]], fills: Mapping[str, str]) -> DataFrame:
     """Level counts per key through (key, column, level) groups and a pivot.
 
-    Same ``_MEAN``/``_SUM`` columns as :func:`rollup`. It aggregates narrow rows and only
-    widens at the end, for contracts with so many levels that one wide
-    aggregate would leave generated code.
+    It aggregates narrow rows and only widens at the end.
     """
     columns = list(levels)
     filled = [F.coalesce(F.col(c), F.lit(fills[c])).alias(c) if c in fills else F.col(c) for c in columns]

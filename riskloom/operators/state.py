@@ -48,11 +48,11 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {r["feature"]: r["mode"] for r in best.collect()}
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str], at_most: int = 1000) -> dict[str, list[str]]:
+def fit_levels(df: DataFrame, columns: Sequence[str], at_most: int) -> dict[str, list[str]]:
     """Sorted levels per column: the contract for one-hot outputs.
 
-    A column with more levels than a table can have columns is refused rather
-    than cut short; the limit also bounds what reaches the driver.
+    Every level becomes output columns, so the caller says how many a column may
+    have; a column with more is refused, never cut short.
     """
     if not columns:
         return {}
@@ -140,8 +140,9 @@ def fit_yeo_johnson(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     The likelihood is first maximised on a fine histogram of ``sign(x) * log1p|x|``
     (2048 cells per column with their own means, so its size depends on the
     schema only). An exact pass over the rows at the optimum and on both sides
-    of it then corrects the rest. Three scans in all, whatever the number of
-    columns.
+    of it then corrects the rest; it is repeated, with wider and then closer
+    points, for columns whose maximum it does not bracket, as beside far
+    outliers. Three scans for most columns, whatever their number.
     """
     columns = list(columns)
     if not columns:
@@ -167,27 +168,48 @@ def fit_yeo_johnson(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
         by_feature[r["feature"]].append((r["n"], r["s"]))
     rough = {c: _likeliest_power(np.array(v, dtype=float)) for c, v in by_feature.items()}
 
-    step = 0.002
-    start = spark.createDataFrame(list(rough.items()), "feature string, p double")
-    x, p = F.col("x"), F.col("p")
-    exact = (
-        long.join(F.broadcast(start), "feature")
-        .groupBy("feature")
-        .agg(
-            F.avg(F.signum(x) * F.log1p(F.abs(x))).alias("j"),
-            *[F.var_pop(yeo_johnson(x, p + F.lit(k * step))).alias(f"v{k + 1}") for k in (-1, 0, 1)],
+    at = dict(rough)
+    step = dict.fromkeys(at, _STEP)
+    x, p, h = F.col("x"), F.col("p"), F.col("h")
+    while at:
+        start = spark.createDataFrame([(c, at[c], step[c]) for c in at], "feature string, p double, h double")
+        exact = (
+            long.join(F.broadcast(start), "feature")
+            .groupBy("feature")
+            .agg(
+                F.avg(F.signum(x) * F.log1p(F.abs(x))).alias("j"),
+                *[F.var_pop(yeo_johnson(x, p + F.lit(k) * h)).alias(f"v{k + _REACH}") for k in range(-_REACH, _REACH + 1)],
+            )
+            .collect()
         )
-        .collect()
-    )
-    for r in exact:
-        c = r["feature"]
-        around = [-0.5 * math.log(r[f"v{k + 1}"]) + (rough[c] + k * step - 1) * r["j"] for k in (-1, 0, 1)]
-        bend = around[0] - 2 * around[1] + around[2]
-        shift = 0.5 * (around[0] - around[2]) / bend if bend < 0 else 0.0
-        powers[c] = rough[c] + step * max(-1.0, min(1.0, shift))
+        for r in exact:
+            c = r["feature"]
+            around = [_log_likelihood(r[f"v{k + _REACH}"], at[c] + k * step[c], r["j"]) for k in range(-_REACH, _REACH + 1)]
+            best = int(np.argmax(around))
+            if best in (0, 2 * _REACH) and around[best] > -math.inf:  # not bracketed yet: go on, in longer steps
+                at[c] += (best - _REACH) * step[c]
+                step[c] *= 4
+            elif step[c] > _STEP and around[best] > -math.inf:  # bracketed: look closer
+                at[c] += (best - _REACH) * step[c]
+                step[c] = max(_STEP, step[c] / _REACH)
+            else:
+                left, middle, right = around[max(best - 1, 0) : best + 2] if 0 < best < 2 * _REACH else (0.0, 0.0, 0.0)
+                bend = left - 2 * middle + right
+                shift = 0.5 * (left - right) / bend if -math.inf < bend < 0 else 0.0
+                powers[c] = at.pop(c) + (best - _REACH + shift) * step.pop(c)
     return powers
 
 
+#: Distance of the points at which the exact likelihood is taken last, and how many lie on each side.
+_STEP, _REACH = 0.002, 3
+
+
+def _log_likelihood(variance: float | None, power: float, jacobian: float) -> float:
+    if variance is None or not 0 < variance < math.inf:
+        return -math.inf
+    return -0.5 * math.log(variance) + (power - 1) * jacobian
+
+
 def _signed_log(x: float) -> float:
     return math.copysign(math.log1p(abs(x)), x)
 
@@ -206,11 +228,13 @@ def _likeliest_power(cells: np.ndarray) -> float:
         return -0.5 * math.log(spread) + (power - 1) * jacobian if 0 < spread < math.inf else -math.inf
 
     low, high = -3.0, 5.0
+    known = -math.inf
     while True:
         grid = np.linspace(low, high, 81)
         i = int(np.argmax([likelihood(float(g)) for g in grid]))
-        if 0 < i < 80 or high - low > 100:
-            break
+        if 0 < i < 80 or likelihood(float(grid[i])) <= known:
+            break  # bracketed, or no further gain from going on
+        known = likelihood(float(grid[i]))
         low, high = low - (high - low) * (i == 0), high + (high - low) * (i == 80)
     width = float(grid[1] - grid[0])
     low, high = float(grid[i]) - width, float(grid[i]) + width
@@ -243,6 +267,7 @@ class Preprocessor:
     modes: dict[str, str] = field(default_factory=dict)
     levels: dict[str, list[str]] = field(default_factory=dict)
     fitted: bool = False
+    max_levels: int = 1000
 
     def fit(self, train: DataFrame) -> Preprocessor:
         middle = exact_quantiles(train, self.numeric, [0.5])
@@ -253,7 +278,7 @@ class Preprocessor:
         powered = filled.select(*[yeo_johnson(F.col(c), self.powers[c]).alias(c) for c in names])
         self.scales = fit_standard(powered, names) if names else {}
         self.modes = fit_modes(train, self.categorical)
-        self.levels = fit_levels(train, self.categorical)
+        self.levels = fit_levels(train, self.categorical, self.max_levels)
         self.fitted = True
         return self
 

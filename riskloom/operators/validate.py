@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskloom.functions.scalars import numeric_columns, string_columns
+from riskloom.sources.contracts import MIN_ROWS
 from riskloom.sources.tables import schema_of
 
 _CHECK = "check string, violations long"
@@ -22,6 +23,12 @@ def schema_check(df: DataFrame, required: Sequence[str], numeric: Sequence[str]
     return df.sparkSession.createDataFrame(rows, _CHECK)
 
 
+def size_check(df: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """``check, violations``: 1 if the table has fewer rows than a delivery must have."""
+    return df.agg((F.count(F.lit(1)) < min_rows).cast("long").alias("violations")).select(
+        F.lit("min_rows").alias("check"), "violations")
+
+
 def key_check(df: DataFrame, key: str) -> DataFrame:
     """``rows, null_keys, duplicated_keys, extra_rows``; counts combine before the shuffle."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -115,8 +122,8 @@ def _reason(c: str, kind: str, domains: Mapping[str, Sequence[str]]) -> Column:
     if c in domains:
         return F.when(~value.isin([str(v) for v in domains[c]]), F.lit("unknown_level"))
     number = value.try_cast("double")
-    if kind == "float64":
-        return F.when(value.isNotNull() & number.isNull(), F.lit("not_a_number"))
+    if kind == "float64":  # neither text nor infinity is one; NaN means missing
+        return F.when(value.isNotNull() & (number.isNull() | (F.abs(number) == float("inf"))), F.lit("not_a_number"))
     if kind == "int64":
         whole = value.try_cast("bigint").isNotNull() | F.coalesce(number == F.floor(number), F.lit(False))
         return F.when(value.isNotNull() & ~whole, F.lit("not_an_integer"))
@@ -152,6 +159,8 @@ def valid_records(checked: DataFrame, types: Mapping[str, str]) -> DataFrame:
         c = F.col(f.name)
         if isinstance(f.dataType, T.LongType):
             c = F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+        elif isinstance(f.dataType, T.DoubleType):
+            c = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
         out.append(c.cast(f.dataType).alias(f.name))
     return checked.where(F.size("_reasons") == 0).select(*out)
 

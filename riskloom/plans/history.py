@@ -32,10 +32,13 @@ def balance_rollup(balance: DataFrame) -> DataFrame:
     return status_rollup(balance, LOAN_KEY, "STATUS", c.STATUS_LEVELS, numeric)
 
 
-def with_level_contract(spec: RollupSpec, df: DataFrame) -> RollupSpec:
-    """The spec with the levels and modes of all string columns of the table."""
+def with_level_contract(spec: RollupSpec, df: DataFrame, max_levels: int = 1000) -> RollupSpec:
+    """The spec with the levels and modes of all string columns of the table.
+
+    Each level becomes two output columns; a column with more than ``max_levels`` is refused.
+    """
     names = string_columns(df, [spec.key])
-    return spec.with_levels(fit_levels(df, names), fit_modes(df, names))
+    return spec.with_levels(fit_levels(df, names, max_levels), fit_modes(df, names))
 
 
 def bureau_rollup(bureau: DataFrame, balance: DataFrame, balance_stats: Sequence[str] = ("mean",)) -> DataFrame:

@@ -223,7 +223,7 @@ SELECT o_custkey, {", ".join(_level_sql(c, v) for c, v in _LEVELS)} FROM filled
 def hist_categorical_rollup(spark, d):
     child = orders(spark, d)
     columns = ["o_orderstatus", "o_orderpriority"]
-    spec = RollupSpec("o_custkey", "", {}, fit_levels(child, columns), fit_modes(child, columns))
+    spec = RollupSpec("o_custkey", "", {}, fit_levels(child, columns, at_most=100), fit_modes(child, columns))
     return clean_names(rollup(child, spec))
 
 

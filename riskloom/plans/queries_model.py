@@ -43,20 +43,11 @@ def applications(spark, d) -> DataFrame:
     return base.join(lines, _KEY, "left")
 
 
-_PREPARED: dict[tuple[str, str], tuple[DataFrame, list[str]]] = {}
-
-
 def prepared(spark, d) -> tuple[DataFrame, list[str]]:
-    """Split and preprocessed rows. Fits read them many times, so both steps are staged.
-
-    The staged matrix serves all model queries of the application on that folder.
-    """
-    known = (spark.sparkContext.applicationId, d)
-    if known not in _PREPARED:
-        rows = train_valid_test(stage(applications(spark, d)), _KEY, "label")
-        pre = Preprocessor(_NUMERIC, _CATEGORICAL).fit(rows.where(F.col("part") == "train"))
-        _PREPARED[known] = stage(pre.transform(rows, keep=[_KEY, "label", "part"])), pre.outputs
-    return _PREPARED[known]
+    """Split and preprocessed rows. Fits read them many times, so both steps are staged."""
+    rows = train_valid_test(stage(applications(spark, d)), _KEY, "label")
+    pre = Preprocessor(_NUMERIC, _CATEGORICAL).fit(rows.where(F.col("part") == "train"))
+    return stage(pre.transform(rows, keep=[_KEY, "label", "part"])), pre.outputs
 
 
 def _parts(matrix: DataFrame, features: list[str]) -> dict[str, DataFrame]:
@@ -66,8 +57,8 @@ def _parts(matrix: DataFrame, features: list[str]) -> dict[str, DataFrame]:
 
 @query("preprocessed_matrix")
 def preprocessed_matrix(spark, d):
-    rows = stage(applications(spark, d))
-    return Preprocessor(_NUMERIC, _CATEGORICAL).fit(rows).transform(rows, keep=[_KEY])
+    matrix, _ = prepared(spark, d)
+    return matrix.drop("label", "part")
 
 
 @query("model_scores")

@@ -23,9 +23,7 @@ def score_records(records: DataFrame, scorer: Scorer, with_factors: bool = False
     """Text records to scores; records that break a type or a domain are listed with the reason."""
     checked = check_records(records, c.APPLICATION_TYPES, c.DOMAINS)
     valid = valid_records(checked, c.APPLICATION_TYPES)
-    scores = scorer.score(valid)
-    if with_factors:
-        scores = scores.join(scorer.explain(valid), c.KEY)
+    scores = scorer.score_with_factors(valid) if with_factors else scorer.score(valid)
     return Batch(scores, rejected_records(checked, c.KEY))
 
 

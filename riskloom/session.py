@@ -29,16 +29,30 @@ def local_session(cores: int | str = "*", app: str = "riskloom") -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session does not name one (tests on a single machine) is a
-    temporary folder used.
+    Only a session on a single machine may leave it unset; it then gets a
+    temporary folder. On a cluster every executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="riskloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/riskloom/{spark.sparkContext.applicationId}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove all tables this application staged; frames that read them end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read on from there.
 
@@ -47,6 +61,6 @@ def stage(df: DataFrame) -> DataFrame:
     pass reads only the columns it needs.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/riskloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{_stages(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.functions.scalars import normalise_missing
 from riskloom.sources.sinks import write_parquet
 from riskloom.sources.tables import path_exists, read_parquet
 
@@ -21,5 +22,5 @@ def load_or_build(
     if fingerprint:
         path = f"{path.rstrip('/')}/inputs={fingerprint}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_parquet(build(), path)
+        write_parquet(normalise_missing(build()), path)
     return read_parquet(spark, path)

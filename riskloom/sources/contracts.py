@@ -190,6 +190,8 @@ REQUIRED_COLUMNS = [
     "DAYS_BIRTH", "DAYS_EMPLOYED", "NAME_EDUCATION_TYPE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3",
 ]
 MIN_ROWS = 1000
+#: strings with fewer levels than this are encoded one by one
+ENCODED_BELOW_LEVELS = 10
 MIN_COLUMNS = 101
 DEFAULT_RATE_RANGE = (0.05, 0.35)
 

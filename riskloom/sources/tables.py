@@ -31,11 +31,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def read_parquet(spark: SparkSession, path: str, build_hint: str = "build it first") -> DataFrame:
-    """Parquet stage table; a missing one names the step that makes it."""
+def read_parquet(
+    spark: SparkSession, path: str, build_hint: str = "build it first", normalise: bool = False
+) -> DataFrame:
+    """Parquet table; a missing one names the step that makes it.
+
+    Tables this library wrote hold one notion of missing already, and reading them
+    as they are lets filters reach the scan; ``normalise`` is for tables from elsewhere.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no table at {path}: {build_hint}")
-    return normalise_missing(spark.read.parquet(path))
+    found = spark.read.parquet(path)
+    return normalise_missing(found) if normalise else found
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -114,3 +114,35 @@ def test_weekly_monitor(spark):
     assert [r["alert"] for r in out] == [("drift_detected" if r["psi"] > 0.1 else None) for r in out]
     assert out[0]["alert"] is None and out[3]["alert"] == "drift_detected"
     assert all(r["roc_auc"] > 0.4 and r["ece"] >= 0 for r in out)
+
+
+def test_stability_ignores_nan_and_survives_far_values(spark):
+    base = [(float(i % 20) / 20,) for i in range(200)]
+    reference = spark.createDataFrame(base + [(float("nan"),), (None,)], "x double")
+    same = {r.feature: r for r in drift.population_stability(reference, spark.createDataFrame(base, "x double"), ["x"]).collect()}["x"]
+    assert (same.psi, same.reference_n, same.current_n) == (0.0, 200, 200)
+    far = spark.createDataFrame(base + [(1e12,), (-1e300,), (float("inf"),)], "x double")
+    shifted = drift.population_stability(reference, far, ["x"]).first()
+    assert shifted.current_n == 203 and 0 < shifted.psi < 0.1
+
+
+def test_stability_of_a_constant_reference(spark):
+    for value in (3.0, 1e20):
+        reference = spark.createDataFrame([(value,)] * 50, "x double")
+        moved = spark.createDataFrame([(value,)] * 25 + [(value * 1e9,)] * 25, "x double")
+        assert drift.population_stability(reference, reference, ["x"]).first().psi == 0.0
+        assert drift.population_stability(reference, moved, ["x"]).first().psi > 1
+
+
+def test_weekly_gap_matches_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"2024-01-{1 + 7 * w + d:02d} 10:00:00", float(np.round(rng.beta(2, 3 + w), 2))) for w in range(4) for d in range(5) for _ in range(40)]
+    df = spark.createDataFrame(rows, "t string, s double").withColumn("t", F.col("t").cast("timestamp"))
+    got = {str(r.week): r.ks_statistic for r in drift.weekly_monitor(df, "t", "s").collect()}
+    weeks = {}
+    for t, s in rows:
+        weeks.setdefault((int(t[8:10]) - 1) // 7, []).append(s)
+    for w, values in weeks.items():
+        grid = np.unique(np.concatenate([weeks[0], values]))
+        share = lambda v: np.searchsorted(np.sort(v), grid, side="right") / len(v)
+        assert got[f"2024-01-{1 + 7 * w:02d}"] == pytest.approx(np.abs(share(weeks[0]) - share(values)).max())

@@ -39,9 +39,8 @@ def test_quantiles_match_numpy(spark, n):
     assert got["c"] is None
 
 
-def test_quantiles_through_brackets(spark, monkeypatch):
-    """Columns too large for the direct way use sketch brackets; a third of the rows share one value."""
-    monkeypatch.setattr(ordered, "_SMALL", 100)
+def test_quantiles_through_brackets(spark):
+    """A third of the rows share one value."""
     rng = np.random.default_rng(9)
     values = np.concatenate([np.full(20_000, 3.0), rng.exponential(5, 40_000)])
     df = spark.createDataFrame([(float(v),) for v in values], "a double").repartition(6)
@@ -50,7 +49,6 @@ def test_quantiles_through_brackets(spark, monkeypatch):
 
 
 def test_missed_bracket_is_searched_again(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "_SMALL", 10)
     real = ordered.order_statistics
     calls = []
 
@@ -63,3 +61,14 @@ def test_missed_bracket_is_searched_again(spark, monkeypatch):
     df = spark.range(101).select(F.col("id").cast("double").alias("a"))
     assert ordered.exact_quantiles(df, ["a"], [0.5]) == {"a": [50.0]}
     assert len(calls) == 2
+
+
+def test_heavy_tail_is_dealt_evenly(spark):
+    rng = np.random.default_rng(5)
+    values = rng.lognormal(0, 2.5, 20_000)
+    df = spark.createDataFrame([(float(v),) for v in values], "a double")
+    bucketed = ordered.with_buckets(df, "a", buckets=8)
+    sizes = [r["count"] for r in bucketed.groupBy(ordered.BUCKET).count().collect()]
+    assert max(sizes) < 2 * len(values) / 8
+    shares = [0.0, 0.0001, 0.5, 0.9999, 1.0]
+    assert ordered.exact_quantiles(df, ["a"], shares)["a"] == np.quantile(values, shares).tolist()
