@@ -145,7 +145,7 @@ def mix(
     text = F.col(f"c{names.index(text_col)}").cast("string")
     inner = inner.withColumns({
         # the id and the text make the name; a mark keeps NULL apart from any source name
-        "name": F.concat_ws(":", F.coalesce(doc_id, F.lit("")), F.xxhash64(text).cast("string")),
+        "name": F.concat_ws(":", F.coalesce(doc_id, F.lit("")), F.md5(text)),
         "source": F.concat(F.when(source.isNull(), F.lit("0")).otherwise(F.lit("1")), F.coalesce(source, F.lit(""))),
     })
     sized = stage(

@@ -104,14 +104,14 @@ def measure(text: str, bin_of: dict[bytes, int]) -> tuple:
 
 def _share(counts: Column) -> Column:
     total = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
-    return F.transform(counts, lambda x: F.when(total > 0, x / total).otherwise(F.lit(0.0)))
+    return F.transform(counts, lambda x: F.coalesce(x / F.nullif(total, F.lit(0.0)), F.lit(0.0)))
 
 
 def jensen_shannon(one: Column, two: Column) -> Column:
     """Distance of two histograms, 0 to 1: the root of the divergence in bits. Empty ones are at distance 0."""
     def term(p: Column, q: Column) -> Column:
         middle = (p + q) / 2
-        return F.when(p > 0, p * F.log2(p / middle)).otherwise(F.lit(0.0))
+        return F.when(p > 0, p * F.log2(p / F.nullif(middle, F.lit(0.0)))).otherwise(F.lit(0.0))
 
     parts = F.zip_with(_share(one), _share(two), lambda p, q: (term(p, q) + term(q, p)) / 2)
     some = (F.aggregate(one, F.lit(0.0), lambda s, x: s + x) > 0) & (F.aggregate(two, F.lit(0.0), lambda s, x: s + x) > 0)
@@ -119,7 +119,7 @@ def jensen_shannon(one: Column, two: Column) -> Column:
 
 
 def _far() -> Column:
-    allowed = F.lit(1.0) + F.lit(MORE_FOR_SHORT) / F.sqrt(F.col("n_words"))
+    allowed = F.lit(1.0) + F.lit(MORE_FOR_SHORT) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     return (F.col("n_words") >= MIN_WORDS) & (
         (F.col("class_distance") > MAX_CLASS_DISTANCE * allowed) | (F.col("word_distance") > MAX_WORD_DISTANCE * allowed))
 

@@ -15,69 +15,120 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def _query(build):
-    QUERIES[build.__name__] = build
-    return build
+def _query(sql: str | None = None):
+    def register(build):
+        QUERIES[build.__name__] = build
+        if sql:
+            ORACLES[build.__name__] = sql
+        return build
+
+    return register
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@_query
+@_query()
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_count.count_tokens(
         _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
-@_query
+@_query("""
+WITH v AS (SELECT vec_id, unnest(range(0, len(embedding))) AS i, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+           FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, sum(q.x * d.x) AS score
+      FROM v q JOIN v d ON q.i = d.i AND q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE k <= 5""")
 def op2_cover_tree_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_table(spark, folder, "embeddings"), k=5, every=50)
 
 
-@_query
+@_query()
 def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(_table(spark, folder, "pages"))
 
 
-@_query
+def _crossing(name: str, keeps: str) -> str:
+    """The exponent in [0, 1] up to which a condition holds, by three grids of a thousand points each."""
+    steps = []
+    for k, width in enumerate((1e-3, 1e-6, 1e-9)):
+        low = f"(SELECT a FROM {name}{k - 1})" if k else "0.0"
+        steps.append(f"""{name}{k} AS (
+    SELECT coalesce(max(a), {low}) AS a FROM (
+        SELECT g.a, sum(pow(p, g.a)) AS z, sum(pow(p, g.a) * ln(p)) AS s, min(p) AS least
+        FROM p CROSS JOIN (SELECT {low} + i * {width:.9f} AS a FROM range(0, 1000) r(i)) g GROUP BY 1)
+    WHERE {keeps})""")
+    return ",\n".join(steps)
+
+
+_TARGET = mixing.Target()
+_MIX_SQL = f"""
+WITH d AS (SELECT doc_id, source, concat_ws(':', CAST(doc_id AS VARCHAR), md5(text)) AS name,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words FROM documents),
+t AS (SELECT source, sum(words) AS tokens, count(*) AS docs FROM d GROUP BY 1 HAVING sum(words) > 0),
+c AS (SELECT sum(tokens) AS whole, count(*) AS n FROM t),
+p AS (SELECT source, tokens, docs, CAST(tokens AS DOUBLE) / whole AS p FROM t, c),
+own AS (SELECT -sum(p * ln(p)) AS h FROM p),
+{_crossing("e", f"ln(z) - a * s / z > {_TARGET.entropy} * ln((SELECT n FROM c))")},
+{_crossing("m", f"pow(least, a - 1) / z > {_TARGET.max_repeats}")},
+x AS (SELECT CASE WHEN h >= {_TARGET.entropy} * ln((SELECT n FROM c)) THEN 1.0
+                  ELSE greatest(round((SELECT a FROM e2), 6), round((SELECT a FROM m2), 6)) END AS a FROM own),
+w AS (SELECT source, tokens, docs, pow(p, a) AS q FROM p, x),
+b AS (SELECT source, tokens, CAST(ceil(docs / {float(mixing.BLOCK_DOCS)}) AS BIGINT) AS blocks,
+             CAST(round(q / (SELECT sum(q) FROM w) * whole) AS BIGINT) AS budget FROM w, c),
+plan AS (SELECT source, blocks, CAST(floor(budget / tokens) AS BIGINT) AS whole, budget - CAST(floor(budget / tokens) AS BIGINT) * tokens AS rest FROM b),
+dealt AS (SELECT d.*, plan.whole, plan.rest,
+                 CAST('0x' || substr(md5('1:block:' || name), 1, 7) AS BIGINT) % blocks AS block FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source),
+sizes AS (SELECT source, block, sum(words) AS size FROM dealt GROUP BY 1, 2),
+starts AS (SELECT source, block,
+                  sum(size) OVER (PARTITION BY source ORDER BY md5('1:order:1' || source || ':' || CAST(block AS VARCHAR)), block) - size AS start FROM sizes),
+placed AS (SELECT dealt.*, start + sum(words) OVER (PARTITION BY dealt.source, dealt.block ORDER BY md5('1:row:' || name), name) - words AS before
+           FROM dealt JOIN starts ON dealt.source = starts.source AND dealt.block = starts.block),
+passes AS (SELECT doc_id, source, words, whole + CASE WHEN before < rest THEN 1 ELSE 0 END AS passes FROM placed)
+SELECT doc_id, source, CAST(words AS BIGINT) AS n_words, CAST(i AS BIGINT) AS "pass" FROM passes JOIN range(0, 10) r(i) ON i < passes"""
+
+
+@_query(_MIX_SQL)
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     mixed = mixing.mix(docs.select("doc_id", "source", "text"), pass_as="pass", tokens_as="n_words")
     return mixed.select("doc_id", "source", "n_words", "pass")
 
 
-@_query
+@_query()
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(_table(spark, folder, "documents"))
 
 
-@_query
+@_query()
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, folder, "documents"), owner=F.col("source"))
 
 
-@_query
+@_query()
 def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(_table(spark, folder, "documents"), shingle=4, distance=4)
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
-@_query
+@_query()
 def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.encode_decode(
         _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-@_query
+@_query()
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")), threshold=0.7)
     return scored.select("doc_id", (toxicity.fold(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
 
 
-@_query
+@_query()
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, count_as="n_cut")

@@ -191,7 +191,7 @@ def top_k(
 
     Queries are the rows whose id ``every`` divides; all rows but the query's own are candidates. NULL vectors, vectors with
     NULL or non-finite components and rows without an id take no part. Vectors of unequal length are compared over the
-    components both have. Of several rows of one id the one with the smallest vector counts. Queries without
+    components both have. Scores have to fit a long. Of several rows of one id the one with the smallest vector counts. Queries without
     a candidate, and empty tables, give no rows.
     """
     spark = vectors.sparkSession
