@@ -52,54 +52,56 @@ def _leaves(node, path: list) -> Iterator[tuple[float, list]]:
         yield from _leaves(child, [*path, (f, low, high, share)])
 
 
-def _leaf_table(value: float, path: list) -> tuple[list, np.ndarray]:
-    """Per-feature intervals of a leaf and its attributions for every hit pattern.
-
-    A row either follows the path on a feature or not. For each of the 2^m
-    patterns the Shapley share of each of the m features is tabulated once, so
-    explaining a row is a lookup.
-    """
+def _boxes(path: list) -> list[tuple[int, float, float, float]]:
+    """``feature, low, high, share`` once for each feature on the path of a leaf."""
     merged: dict[int, list[float]] = {}
     for f, low, high, share in path:
         box = merged.setdefault(f, [-np.inf, np.inf, 1.0])
         merged[f] = [max(box[0], low), min(box[1], high), box[2] * share]
-    boxes = [(f, *box) for f, box in merged.items()]
-    m = len(boxes)
-    patterns = np.arange(1 << m)
-    hits = (patterns[:, None] >> np.arange(m)) & 1
-    shares = np.array([box[3] for box in boxes])
+    return [(f, *box) for f, box in merged.items()]
+
+
+def _leaf_shares(value: float, shares: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """Shapley shares of the features on a leaf's path for each row of ``hits``.
+
+    A row either follows the path on a feature or not. With ``m`` features the sums
+    over subsets are polynomials of degree ``m - 1``, so this takes time in the cube of ``m``.
+    """
+    n, m = hits.shape
     weights = np.array([factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)])
-    table = np.zeros((len(patterns), m))
+    out = np.zeros((n, m))
     for i in range(m):
         # by_size[:, k]: summed products over the subsets of k other features that are known
-        by_size = np.zeros((len(patterns), m))
+        by_size = np.zeros((n, m))
         by_size[:, 0] = 1.0
         for j in range(m):
             if j != i:
                 grown = np.roll(by_size, 1, axis=1) * hits[:, [j]]
                 grown[:, 0] = 0.0
                 by_size = by_size * shares[j] + grown
-        table[:, i] = (by_size @ weights) * (hits[:, i] - shares[i]) * value
-    return boxes, table
+        out[:, i] = (by_size @ weights) * (hits[:, i] - shares[i]) * value
+    return out
 
 
-def tree_tables(model: Model) -> tuple[list, float]:
-    """Leaf tables of a boosted model and its base value, both on the margin scale."""
+def tree_leaves(model: Model) -> tuple[list, float]:
+    """Weighted leaf values with their boxes, and the base value, on the margin scale. As large as the model."""
     leaves, base = [], 0.0
     for tree, weight in zip(model._java_obj.trees(), model.treeWeights):
         for value, path in _leaves(tree.rootNode(), []):
             base += weight * value * float(np.prod([p[3] for p in path]))
             if path:
-                leaves.append(_leaf_table(weight * value, path))
+                leaves.append((weight * value, _boxes(path)))
     return leaves, base
 
 
 def tree_attributions(model: Model, df: DataFrame, keep: str | Sequence[str], features: Sequence[str]) -> DataFrame:
     """The ``keep`` columns, ``attributions array, base``: path-dependent Shapley values per row.
 
-    The tables depend on the model only; rows stream through in Arrow batches.
+    Rows stream through in Arrow batches. Of each leaf only the patterns of
+    followed splits that a batch really has are worked out, so memory stays
+    bounded by the batch however deep the trees are.
     """
-    leaves, base = tree_tables(model)
+    leaves, base = tree_leaves(model)
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     names = list(features)
 
@@ -107,12 +109,11 @@ def tree_attributions(model: Model, df: DataFrame, keep: str | Sequence[str], fe
         for batch in batches:
             x = batch[names].to_numpy(dtype=float)
             phi = np.zeros_like(x)
-            for boxes, table in shared.value:
-                pattern = np.zeros(len(x), dtype=np.int64)
-                for i, (f, low, high, _) in enumerate(boxes):
-                    pattern |= ((x[:, f] > low) & (x[:, f] <= high)).astype(np.int64) << i
-                for i, (f, *_) in enumerate(boxes):
-                    phi[:, f] += table[pattern, i]
+            for value, boxes in shared.value:
+                used = [f for f, *_ in boxes]
+                low, high, shares = (np.array(column) for column in list(zip(*boxes))[1:])
+                hits, place = np.unique((x[:, used] > low) & (x[:, used] <= high), axis=0, return_inverse=True)
+                phi[:, used] += _leaf_shares(value, shares, hits.astype(float))[place.ravel()]
             yield pd.DataFrame({**{k: batch[k] for k in kept}, "attributions": list(phi), "base": base})
 
     kept = [keep] if isinstance(keep, str) else list(keep)
