@@ -23,7 +23,7 @@ LOAN_KEY = "SK_ID_BUREAU"
 
 
 def read_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    return {name: read_csv(spark, paths[name]) for name in TABLES}
+    return {name: read_csv(spark, paths[name], types=c.HISTORY_TYPES[name]) for name in TABLES}
 
 
 def balance_rollup(balance: DataFrame) -> DataFrame:

@@ -70,6 +70,28 @@ def psi(spark, d):
     return rounded(drift.population_stability(*_sides(spark, d), _FEATURES), {"psi": 6})
 
 
+_FAR = ["spiked", "gappy"]
+_FAR_SIDES = """
+SELECT l_shipdate < TIMESTAMP '1999-01-01' AS is_ref,
+       CASE WHEN l_linenumber = 7 AND l_shipdate >= TIMESTAMP '1999-01-01' THEN l_extendedprice * 1e15 ELSE l_extendedprice END AS spiked,
+       CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity END AS gappy
+FROM lineitem"""
+
+
+@query("psi_far_values", f"""
+WITH x AS (SELECT * FROM ({_long_sql(_FAR_SIDES, _FAR)}) WHERE v IS NOT NULL), {_PSI}
+SELECT feature, round(psi, 6) AS psi, {_STATUS} AS psi_status, rn AS reference_n, cn AS current_n FROM psi""")
+def psi_far_values(spark, d):
+    """Current values that lie any distance outside the reference, and NaN on both sides."""
+    is_ref = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    rows = table(spark, d, "lineitem").select(
+        is_ref.alias("is_ref"),
+        F.when((F.col("l_linenumber") == 7) & ~is_ref, F.col("l_extendedprice") * 1e15).otherwise(F.col("l_extendedprice")).alias("spiked"),
+        F.when(F.col("l_linenumber") == 1, float("nan")).otherwise(F.col("l_quantity").cast("double")).alias("gappy"),
+    )
+    return rounded(drift.population_stability(rows.where("is_ref"), rows.where(~F.col("is_ref")), _FAR), {"psi": 6})
+
+
 @query("ks", f"""
 WITH x AS ({_long_sql(_SIDES, _FEATURES)}), {_CDF}
 SELECT feature, round(d, 6) AS ks_statistic, round(p, 6) AS ks_p_value_asymptotic, p < 0.05 AS ks_significant FROM ks""")

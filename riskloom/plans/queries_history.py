@@ -227,6 +227,19 @@ def hist_categorical_rollup(spark, d):
     return clean_names(rollup(child, spec))
 
 
+_ORDER_NUMBERS = ", ".join(
+    f'{sql} AS "ORD_cents_{stat}"' for stat, sql in {"COUNT": "count(cents)", "MAX": "max(cents)", "SUM": "sum(cents)"}.items()
+)
+
+
+@query("hist_combined_rollup", f"""
+WITH o AS ({_ORDERS})
+SELECT o_custkey, {_ORDER_NUMBERS}, {", ".join(_level_sql("o_orderstatus", v) for v in "FOP")} FROM o GROUP BY o_custkey""")
+def hist_combined_rollup(spark, d):
+    spec = RollupSpec("o_custkey", "ORD", {"cents": ["count", "max", "sum"]}, {"o_orderstatus": list("FOP")})
+    return rollup(orders(spark, d), spec)
+
+
 # --------------------------------------------------------------------------
 # joins on the applicant key
 

@@ -130,6 +130,7 @@ def run_training(
 ) -> tuple[Scorer, dict]:
     """Split, fit on train only, calibrate and pick the threshold on validation, report test once.
 
+    ``final_features`` is the contract after the history join, for example a list read by ``read_names``.
     The calibrator is fitted on one half of the validation rows and judged on
     the other; the threshold is chosen on the scores that will be published.
     """

@@ -184,6 +184,48 @@ PREVIOUS = RollupSpec(KEY, "PREV", {
     "DAYS_DECISION": ["mean", "max", "min"],
 })
 
+# ---- fixed values: column types of the six history tables
+HISTORY_TYPES = {
+    "bureau": {
+        "SK_ID_CURR": "int64", "SK_ID_BUREAU": "int64", "CREDIT_ACTIVE": "object", "CREDIT_CURRENCY": "object",
+        "DAYS_CREDIT": "int64", "CREDIT_DAY_OVERDUE": "int64", "DAYS_CREDIT_ENDDATE": "float64",
+        "DAYS_ENDDATE_FACT": "float64", "AMT_CREDIT_MAX_OVERDUE": "float64", "CNT_CREDIT_PROLONG": "int64",
+        "AMT_CREDIT_SUM": "float64", "AMT_CREDIT_SUM_DEBT": "float64", "AMT_CREDIT_SUM_LIMIT": "float64",
+        "AMT_CREDIT_SUM_OVERDUE": "float64", "CREDIT_TYPE": "object", "DAYS_CREDIT_UPDATE": "int64", "AMT_ANNUITY": "float64",
+    },
+    "bureau_balance": {"SK_ID_BUREAU": "int64", "MONTHS_BALANCE": "int64", "STATUS": "object"},
+    "installments_payments": {
+        "SK_ID_PREV": "int64", "SK_ID_CURR": "int64", "NUM_INSTALMENT_VERSION": "float64", "NUM_INSTALMENT_NUMBER": "int64",
+        "DAYS_INSTALMENT": "float64", "DAYS_ENTRY_PAYMENT": "float64", "AMT_INSTALMENT": "float64", "AMT_PAYMENT": "float64",
+    },
+    "POS_CASH_balance": {
+        "SK_ID_PREV": "int64", "SK_ID_CURR": "int64", "MONTHS_BALANCE": "int64", "CNT_INSTALMENT": "float64",
+        "CNT_INSTALMENT_FUTURE": "float64", "NAME_CONTRACT_STATUS": "object", "SK_DPD": "int64", "SK_DPD_DEF": "int64",
+    },
+    "credit_card_balance": {
+        "SK_ID_PREV": "int64", "SK_ID_CURR": "int64", "MONTHS_BALANCE": "int64", "AMT_BALANCE": "float64",
+        "AMT_CREDIT_LIMIT_ACTUAL": "int64", "AMT_DRAWINGS_ATM_CURRENT": "float64", "AMT_DRAWINGS_CURRENT": "float64",
+        "AMT_DRAWINGS_OTHER_CURRENT": "float64", "AMT_DRAWINGS_POS_CURRENT": "float64", "AMT_INST_MIN_REGULARITY": "float64",
+        "AMT_PAYMENT_CURRENT": "float64", "AMT_PAYMENT_TOTAL_CURRENT": "float64", "AMT_RECEIVABLE_PRINCIPAL": "float64",
+        "AMT_RECIVABLE": "float64", "AMT_TOTAL_RECEIVABLE": "float64", "CNT_DRAWINGS_ATM_CURRENT": "float64",
+        "CNT_DRAWINGS_CURRENT": "int64", "CNT_DRAWINGS_OTHER_CURRENT": "float64", "CNT_DRAWINGS_POS_CURRENT": "float64",
+        "CNT_INSTALMENT_MATURE_CUM": "float64", "NAME_CONTRACT_STATUS": "object", "SK_DPD": "int64", "SK_DPD_DEF": "int64",
+    },
+    "previous_application": {
+        "SK_ID_PREV": "int64", "SK_ID_CURR": "int64", "NAME_CONTRACT_TYPE": "object", "AMT_ANNUITY": "float64",
+        "AMT_APPLICATION": "float64", "AMT_CREDIT": "float64", "AMT_DOWN_PAYMENT": "float64", "AMT_GOODS_PRICE": "float64",
+        "WEEKDAY_APPR_PROCESS_START": "object", "HOUR_APPR_PROCESS_START": "int64", "FLAG_LAST_APPL_PER_CONTRACT": "object",
+        "NFLAG_LAST_APPL_IN_DAY": "int64", "RATE_DOWN_PAYMENT": "float64", "RATE_INTEREST_PRIMARY": "float64",
+        "RATE_INTEREST_PRIVILEGED": "float64", "NAME_CASH_LOAN_PURPOSE": "object", "NAME_CONTRACT_STATUS": "object",
+        "DAYS_DECISION": "int64", "NAME_PAYMENT_TYPE": "object", "CODE_REJECT_REASON": "object", "NAME_TYPE_SUITE": "object",
+        "NAME_CLIENT_TYPE": "object", "NAME_GOODS_CATEGORY": "object", "NAME_PORTFOLIO": "object", "NAME_PRODUCT_TYPE": "object",
+        "CHANNEL_TYPE": "object", "SELLERPLACE_AREA": "int64", "NAME_SELLER_INDUSTRY": "object", "CNT_PAYMENT": "float64",
+        "NAME_YIELD_GROUP": "object", "PRODUCT_COMBINATION": "object", "DAYS_FIRST_DRAWING": "float64", "DAYS_FIRST_DUE": "float64",
+        "DAYS_LAST_DUE_1ST_VERSION": "float64", "DAYS_LAST_DUE": "float64", "DAYS_TERMINATION": "float64",
+        "NFLAG_INSURED_ON_APPROVAL": "float64",
+    },
+}
+
 # ---- fixed values: rules on the application table
 REQUIRED_COLUMNS = [
     "SK_ID_CURR", "TARGET", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CODE_GENDER",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.functions.scalars import normalise_missing
@@ -19,13 +22,31 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     encoding: str = "UTF-8",
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """CSV with a header row. A schema avoids the extra pass that inference costs."""
+    """CSV with a header row.
+
+    A schema fixes the columns and their order; ``types`` (``name -> int64|float64|object``)
+    fixes the types of whatever columns the header names, the others being text. Either
+    avoids the extra pass that inference costs, and types that change with the delivery.
+    """
     reader = spark.read.option("header", True).option("encoding", encoding)
+    if types is not None:
+        raw = reader.csv(path)
+        typed = {c: _SPARK_TYPES.get(types.get(c, "object"), T.StringType()) for c in raw.columns}
+        return normalise_missing(raw.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in typed.items()]))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return normalise_missing(reader.csv(path))
 
 
+def read_names(spark: SparkSession, path: str) -> list[str]:
+    """A contract kept as a file: one JSON list of column names, such as the features after the history join."""
+    names = json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
+    if not isinstance(names, list) or not all(isinstance(n, str) for n in names):
+        raise ValueError(f"{path} is not a list of names")
+    return names
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -1,4 +1,3 @@
-import json
 import os
 
 import credit
@@ -77,3 +76,33 @@ def test_contracts():
 def test_synthetic_tables_are_normalised(spark):
     df = credit.to_spark(spark, credit.applications(50))
     assert df.where(F.isnan("OWN_CAR_AGE")).count() == 0 and df.where("OWN_CAR_AGE is null").count() > 0
+
+
+def test_typed_csv_follows_its_header(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("STATUS,SK_ID_BUREAU,EXTRA\nC,7,x\n,8,\n")
+    df = tables.read_csv(spark, str(tmp_path / "b.csv"), types=c.HISTORY_TYPES["bureau_balance"])
+    assert df.dtypes == [("STATUS", "string"), ("SK_ID_BUREAU", "bigint"), ("EXTRA", "string")]
+    assert [tuple(r) for r in df.collect()] == [("C", 7, "x"), (None, 8, None)]
+
+
+def test_contract_file(spark, tmp_path):
+    (tmp_path / "f.json").write_text('[\n "a", "b c"\n]')
+    assert tables.read_names(spark, str(tmp_path / "f.json")) == ["a", "b c"]
+    (tmp_path / "g.json").write_text('{"a": 1}')
+    with pytest.raises(ValueError):
+        tables.read_names(spark, str(tmp_path / "g.json"))
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    from riskloom import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Elsewhere:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "yarn"})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Elsewhere())

@@ -82,3 +82,16 @@ def test_fingerprint(table):
     assert validate.table_fingerprint(table) == validate.table_fingerprint(table.repartition(7))
     changed = table.withColumn("AMT_CREDIT", F.when(F.col(c.KEY) == 100005, 1.0).otherwise(F.col("AMT_CREDIT")))
     assert validate.table_fingerprint(table) != validate.table_fingerprint(changed)
+
+
+def test_infinity_is_no_number_and_nan_is_missing(spark):
+    types = {"k": "int64", "x": "float64"}
+    rows = spark.createDataFrame([("1", "inf"), ("2", "NaN"), ("3", "-Infinity"), ("4", "2.5")], "k string, x string")
+    checked = validate.check_records(rows, types, {})
+    assert sorted(r.k for r in validate.rejected_records(checked, "k").collect()) == ["1", "3"]
+    assert sorted(tuple(r) for r in validate.valid_records(checked, types).collect()) == [(2, None), (4, 2.5)]
+
+
+def test_minimum_row_count(spark):
+    assert validate.size_check(spark.range(10)).first().violations == 1
+    assert validate.size_check(spark.range(10), min_rows=10).first().violations == 0
