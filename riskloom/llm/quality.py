@@ -48,6 +48,8 @@ _STRIPPED = bytes(b for b in range(128) if not chr(b).isalnum())
 #: Largest distances that pass, and the least words for which a distance is trusted.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.17, 0.42
 MIN_WORDS = 50
+#: So many references are broadcast, under 4 MB; more, as of a column that holds no languages, are joined by shuffles.
+MOST_LANGUAGES = 5000
 #: Histograms of few words stray further by chance: the allowance grows by this over the root of the words.
 MORE_FOR_SHORT = 2.0
 
@@ -151,10 +153,13 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     measured = measured.withColumn("base_failed", failed)
 
     def compared(trusted: DataFrame) -> DataFrame:
-        references = trusted.groupBy("lang").agg(
+        references = stage(trusted.groupBy("lang").agg(
             F.array(*[F.sum(F.col("classes")[i]) for i in range(len(_CLASSES))]).alias("ref_classes"),
             F.array(*[F.sum(F.col("common")[i]) for i in range(_BINS)]).alias("ref_common"),
-        )
+        ))
+        # a few numbers a language; a join by so few keys would deal all rows to as many tasks
+        if references.count() <= MOST_LANGUAGES:
+            references = F.broadcast(references)
         return measured.join(references, "lang", "left").withColumns({
             "class_distance": F.coalesce(jensen_shannon(F.col("classes"), F.col("ref_classes")), F.lit(0.0)),
             "word_distance": F.coalesce(jensen_shannon(F.col("common"), F.col("ref_common")), F.lit(0.0)),
