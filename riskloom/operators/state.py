@@ -256,7 +256,8 @@ class Preprocessor:
     Outputs are named ``num__<column>`` and ``cat__<column>_<level>``; all other
     columns are dropped except those in ``keep``. Either list may be empty.
     A numeric column without any training value is dropped, as is the smallest
-    level of each categorical; unseen levels give all zeros.
+    level of each categorical; unseen levels give all zeros. Powers that are given
+    are kept, for example those of an earlier run.
     """
 
     numeric: list[str]
@@ -274,7 +275,7 @@ class Preprocessor:
         self.medians = {c: v[0] for c, v in middle.items() if v}
         names = list(self.medians)
         filled = train.select(*[self._filled(c).alias(c) for c in names])
-        self.powers = fit_yeo_johnson(filled, names)
+        self.powers = {**fit_yeo_johnson(filled, [c for c in names if c not in self.powers]), **self.powers}
         powered = filled.select(*[yeo_johnson(F.col(c), self.powers[c]).alias(c) for c in names])
         self.scales = fit_standard(powered, names) if names else {}
         self.modes = fit_modes(train, self.categorical)

@@ -174,10 +174,10 @@ def standard_scale(spark, d):
 
 @query("minmax_scale", f"""
 SELECT l_orderkey, l_linenumber, round((l_quantity - lo) / (hi - lo), 6) AS quantity
-FROM lineitem, (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem WHERE {_TRAIN} AND l_quantity < 40)""")
+FROM lineitem, (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem WHERE {_TRAIN})""")
 def minmax_scale(spark, d):
     rows, train = _lines(spark, d)
-    fitted = state.fit_min_max(train.where(F.col("l_quantity") < 40), ["l_quantity"])["l_quantity"]
+    fitted = state.fit_min_max(train, ["l_quantity"])["l_quantity"]
     return rows.select(
         "l_orderkey", "l_linenumber", F.round(state.min_max(F.col("l_quantity"), *fitted), 6).alias("quantity")
     )
@@ -224,7 +224,7 @@ s0 AS (SELECT label, count(*) AS size FROM a GROUP BY label),
 n0 AS (SELECT sum(size) AS n FROM s0)"""
 
 
-def _allocate_sql(step: int, total: str) -> str:
+def allocate_sql(step: int, total: str) -> str:
     """Common tables that spread ``total`` rows over the classes left after ``step`` cuts."""
     s, n, t = f"s{step}", f"n{step}", f"t{step}"
     return f""",
@@ -238,20 +238,20 @@ s{step + 1} AS (SELECT label, size - take AS size FROM k{step}),
 n{step + 1} AS (SELECT sum(size) AS n FROM s{step + 1})"""
 
 
-@query("stratified_split", _RANKED + _allocate_sql(0, "0.15::DOUBLE * n") + _allocate_sql(1, "0.15::DOUBLE / 0.85::DOUBLE * n") + """
+@query("stratified_split", _RANKED + allocate_sql(0, "0.15::DOUBLE * n") + allocate_sql(1, "0.15::DOUBLE / 0.85::DOUBLE * n") + """
 SELECT c_custkey, r.label, CASE WHEN rk <= k0.take THEN 'test' WHEN rk <= k0.take + k1.take THEN 'valid' ELSE 'train' END AS part
 FROM r JOIN k0 ON r.label = k0.label JOIN k1 ON r.label = k1.label""")
 def stratified_split(spark, d):
     return train_valid_test(_applicants(spark, d), "c_custkey", "label").select("c_custkey", "label", "part")
 
 
-@query("train_test_split", _RANKED + _allocate_sql(0, "0.2::DOUBLE * n") + """
+@query("train_test_split", _RANKED + allocate_sql(0, "0.2::DOUBLE * n") + """
 SELECT c_custkey, CASE WHEN rk <= k0.take THEN 'test' ELSE 'train' END AS part FROM r JOIN k0 ON r.label = k0.label""")
 def train_test_split(spark, d):
     return train_test(_applicants(spark, d), "c_custkey", "label").select("c_custkey", "part")
 
 
-@query("stratified_sample", _RANKED + _allocate_sql(0, "0.01::DOUBLE * n") + """
+@query("stratified_sample", _RANKED + allocate_sql(0, "0.01::DOUBLE * n") + """
 SELECT c_custkey, r.label FROM r JOIN k0 ON r.label = k0.label WHERE rk <= k0.take""")
 def stratified_sample_query(spark, d):
     return stratified_sample(_applicants(spark, d), "c_custkey", "label").select("c_custkey", "label")

@@ -15,6 +15,8 @@ from riskloom.operators.split import train_valid_test
 from riskloom.operators.state import Preprocessor, fit_standard
 from riskloom.functions.scalars import predicted_class, risk_band
 from riskloom.plans.catalog import query, rounded, table
+from riskloom.plans.queries_evaluate import SCORED, scored
+from riskloom.plans.queries_features import allocate_sql
 from riskloom.session import stage
 
 _LINE_STATS = RollupSpec("l_orderkey", "LINE", {
@@ -55,10 +57,51 @@ def _parts(matrix: DataFrame, features: list[str]) -> dict[str, DataFrame]:
     return {p: assembled.where(F.col("part") == p).drop("part") for p in ("train", "valid", "test")}
 
 
-@query("preprocessed_matrix")
+_POWERS = {
+    "price": 0.5, "age": 0.0, "LINE_l_quantity_COUNT": 1.0, "LINE_l_quantity_MEAN": 2.0, "LINE_l_discount_MEAN": -0.5,
+    "LINE_l_extendedprice_SUM": 0.25,
+}
+_FLIP = "CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 2) AS INTEGER) < 51"
+_APPLICATIONS = f"""
+l AS (SELECT l_orderkey, count(l_quantity) AS "LINE_l_quantity_COUNT", avg(l_quantity) AS "LINE_l_quantity_MEAN",
+             avg(l_discount) AS "LINE_l_discount_MEAN", sum(l_extendedprice) AS "LINE_l_extendedprice_SUM" FROM lineitem GROUP BY 1),
+a AS (SELECT o_orderkey, CAST((o_totalprice > 250000) <> ({_FLIP}) AS INT) AS label, o_totalprice / 1000 AS price,
+             CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS DOUBLE) AS age,
+             nullif(o_orderpriority, '4-NOT SPECIFIED') AS o_orderpriority, o_orderstatus, l.* EXCLUDE (l_orderkey)
+      FROM orders LEFT JOIN l ON o_orderkey = l_orderkey),
+r AS (SELECT o_orderkey, label, row_number() OVER (PARTITION BY label ORDER BY md5(concat(o_orderkey, ':42')), o_orderkey) AS rk FROM a),
+s0 AS (SELECT label, count(*) AS size FROM a GROUP BY label),
+n0 AS (SELECT sum(size) AS n FROM s0)""" + allocate_sql(0, "0.15::DOUBLE * n") + allocate_sql(1, "0.15::DOUBLE / 0.85::DOUBLE * n") + """,
+parts AS (SELECT o_orderkey, rk > k0.take + k1.take AS train FROM r JOIN k0 ON r.label = k0.label JOIN k1 ON r.label = k1.label),
+x AS (SELECT a.*, train FROM a JOIN parts ON a.o_orderkey = parts.o_orderkey)"""
+
+
+def _powered_sql(c: str) -> str:
+    p = _POWERS[c]
+    up = f"ln(1 + f_{c})" if p == 0 else f"(pow(1 + f_{c}, {p}) - 1) / {p}"
+    down = f"-ln(1 - f_{c})" if p == 2 else f"-(pow(1 - f_{c}, {2 - p}) - 1) / {2 - p}"
+    return f"CASE WHEN f_{c} >= 0 THEN {up} ELSE {down} END"
+
+
+_MATRIX_SQL = f"""
+WITH {_APPLICATIONS},
+med AS (SELECT {", ".join(f'quantile_cont(CAST("{c}" AS DOUBLE), 0.5) AS m_{c}' for c in _NUMERIC)} FROM x WHERE train),
+filled AS (SELECT x.*, {", ".join(f'coalesce(CAST("{c}" AS DOUBLE), m_{c}) AS f_{c}' for c in _NUMERIC)} FROM x, med),
+powered AS (SELECT *, {", ".join(f"{_powered_sql(c)} AS p_{c}" for c in _NUMERIC)} FROM filled),
+fit AS (SELECT {", ".join(f"avg(p_{c}) AS a_{c}, stddev_pop(p_{c}) AS s_{c}" for c in _NUMERIC)} FROM powered WHERE train),
+mode AS (SELECT o_orderpriority AS top FROM x WHERE train AND o_orderpriority IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT o_orderkey, {", ".join(f'round((p_{c} - a_{c}) / s_{c}, 6) + 0.0 AS "num__{c}"' for c in _NUMERIC)},
+       {", ".join(f"CAST(coalesce(o_orderpriority, top) = '{v}' AS INT)::DOUBLE AS \"cat__o_orderpriority_{v}\"" for v in ("2-HIGH", "3-MEDIUM", "5-LOW"))},
+       {", ".join(f"CAST(o_orderstatus = '{v}' AS INT)::DOUBLE AS \"cat__o_orderstatus_{v}\"" for v in "OP")}
+FROM powered, fit, mode"""
+
+
+@query("preprocessed_matrix", _MATRIX_SQL)
 def preprocessed_matrix(spark, d):
-    matrix, _ = prepared(spark, d)
-    return matrix.drop("label", "part")
+    """Fitted on the train part, with the powers of an earlier run."""
+    rows = stage(train_valid_test(stage(applications(spark, d)), _KEY, "label"))
+    pre = Preprocessor(_NUMERIC, _CATEGORICAL, powers=dict(_POWERS)).fit(rows.where(F.col("part") == "train"))
+    return rounded(pre.transform(rows, keep=[_KEY]), {f"num__{c}": 6 for c in _NUMERIC})
 
 
 @query("model_scores")
@@ -117,33 +160,73 @@ def feature_count_sweep(spark, d):
     return swept
 
 
-def _scored_parts(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Validation rows in two halves: one to fit a calibrator, one to judge it."""
-    matrix, features = prepared(spark, d)
-    parts = _parts(matrix, features)
-    fitted = model.fit_logistic(parts["train"], "label", inverse_penalty=0.01)
-    scored = stage(model.with_probability(fitted, parts["valid"], [_KEY, "label"]))
-    half = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(_KEY).cast("string"), F.lit("half"))), 1, 1), 16, 10).cast("int") < 8
-    return scored.where(half), scored.where(~half)
+_CALIBRATED = 4
+
+# Newton steps for two weights from zero; rows that share a score share a weight.
+_STEPS = 12
+
+
+def _newton_sql(k: int) -> str:
+    return f"""
+g{k} AS (SELECT a, b, sum(w1 - (w1 + w0) * p) AS gb, sum((w1 - (w1 + w0) * p) * x) AS ga, sum((w1 + w0) * p * (1 - p)) AS hb,
+                sum((w1 + w0) * p * (1 - p) * x) AS hab, sum((w1 + w0) * p * (1 - p) * x * x) AS ha
+         FROM (SELECT *, 1 / (1 + exp(-(a * x + b))) AS p FROM t, b{k - 1}) GROUP BY a, b),
+b{k} AS (SELECT a + (hb * ga - hab * gb) / (ha * hb - hab * hab) AS a, b + (ha * gb - hab * ga) / (ha * hb - hab * hab) AS b FROM g{k})"""
+
+
+_HALVES = f"""
+s AS (SELECT event_id, label, round(score, 2) AS score FROM ({SCORED})),
+w AS (SELECT score AS x, sum(label) AS pos, sum(1 - label) AS neg FROM s WHERE event_id % 2 = 0 GROUP BY 1)"""
+_SIGMOID = f"""
+u AS (SELECT (sum(pos) + 1.0) / (sum(pos) + 2.0) AS hi, 1.0 / (sum(neg) + 2.0) AS lo FROM w),
+t AS (SELECT x, pos * hi + neg * lo AS w1, pos * (1 - hi) + neg * (1 - lo) AS w0 FROM w, u),
+b0 AS (SELECT CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b), {", ".join(_newton_sql(k) for k in range(1, _STEPS + 1))},
+sig AS (SELECT event_id, label, score, 1 / (1 + exp(-(a * score + b))) AS sigmoid FROM s, b{_STEPS} WHERE event_id % 2 = 1)"""
+# the isotonic fit at a score is the largest, over starts before it, of the smallest mean up to an end after it
+_ISOTONIC = """
+c AS (SELECT x, row_number() OVER (ORDER BY x) AS i, sum(pos) OVER (ORDER BY x) AS cp, sum(pos + neg) OVER (ORDER BY x) AS cn, pos, neg FROM w),
+m AS (SELECT j.i AS j, k.i AS k, (k.cp - j.cp + j.pos) / CAST(k.cn - j.cn + j.pos + j.neg AS DOUBLE) AS mean FROM c j JOIN c k ON k.i >= j.i),
+low AS (SELECT c.i, m.j, min(mean) AS v FROM c JOIN m ON m.j <= c.i AND m.k >= c.i GROUP BY 1, 2),
+iso AS (SELECT c.x, max(v) AS f FROM low JOIN c ON c.i = low.i GROUP BY 1),
+q AS (SELECT DISTINCT score FROM s WHERE event_id % 2 = 1),
+near AS (SELECT score, max(CASE WHEN x <= score THEN x END) AS x0, min(CASE WHEN x >= score THEN x END) AS x1 FROM q, iso GROUP BY 1),
+fitted AS (SELECT score, CASE WHEN x0 IS NULL THEN r.f WHEN x1 IS NULL OR x0 = x1 THEN l.f
+                          ELSE l.f + (r.f - l.f) * (score - x0) / (x1 - x0) END AS isotonic
+       FROM near LEFT JOIN iso l ON l.x = x0 LEFT JOIN iso r ON r.x = x1)"""
+
+
+def _scored_halves(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Scored events in two halves: one to fit a calibrator, one to judge it."""
+    rows = scored(spark, d).select("event_id", "label", F.round("score", 2).alias("score"))
+    return rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")
 
 
-@query("platt_calibration")
+@query("platt_calibration", f"""
+WITH {_HALVES}, {_SIGMOID} SELECT event_id, label, score, round(sigmoid, {_CALIBRATED}) AS calibrated FROM sig""")
 def platt_calibration(spark, d):
-    fit_rows, judge_rows = _scored_parts(spark, d)
-    return calibrate.fit_sigmoid(fit_rows, "label", "score").apply(judge_rows, "score")
+    fit_rows, judge_rows = _scored_halves(spark, d)
+    return rounded(calibrate.fit_sigmoid(fit_rows, "label", "score").apply(judge_rows, "score"), {"calibrated": _CALIBRATED})
 
 
-@query("isotonic_calibration")
+@query("isotonic_calibration", f"""
+WITH {_HALVES}, {_ISOTONIC}
+SELECT event_id, label, s.score, round(isotonic, {_CALIBRATED}) AS calibrated FROM s JOIN fitted ON s.score = fitted.score WHERE event_id % 2 = 1""")
 def isotonic_calibration(spark, d):
-    fit_rows, judge_rows = _scored_parts(spark, d)
-    return calibrate.fit_isotonic(fit_rows, "label", "score").apply(judge_rows, "score")
+    fit_rows, judge_rows = _scored_halves(spark, d)
+    return rounded(calibrate.fit_isotonic(fit_rows, "label", "score").apply(judge_rows, "score"), {"calibrated": _CALIBRATED})
 
 
-@query("calibration_choice")
+@query("calibration_choice", f"""
+WITH {_HALVES}, {_SIGMOID}, {_ISOTONIC},
+e AS (SELECT avg(pow(score - label, 2)) AS n, avg(pow(sigmoid - label, 2)) AS s, avg(pow(isotonic - label, 2)) AS i
+      FROM (SELECT sig.*, isotonic FROM sig JOIN fitted ON sig.score = fitted.score)),
+v AS (SELECT 'none' AS method, n AS b, n FROM e UNION ALL SELECT 'sigmoid', s, n FROM e UNION ALL SELECT 'isotonic', i, n FROM e),
+best AS (SELECT CASE WHEN min(n) - min(b) > {calibrate.MIN_GAIN} * min(n) THEN arg_min(method, b) ELSE 'none' END AS method FROM v)
+SELECT v.method, round(b, {_CALIBRATED}) AS brier_score, v.method = best.method AS selected FROM v, best""")
 def calibration_choice(spark, d):
-    fit_rows, judge_rows = _scored_parts(spark, d)
+    fit_rows, judge_rows = _scored_halves(spark, d)
     chosen, briers = calibrate.choose_calibrator(fit_rows, judge_rows, "label", "score")
-    rows = [(kind, value, kind == chosen.kind) for kind, value in briers.items()]
+    rows = [(kind, round(value, _CALIBRATED), kind == chosen.kind) for kind, value in briers.items()]
     return spark.createDataFrame(rows, "method string, brier_score double, selected boolean")
 
 
