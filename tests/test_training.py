@@ -77,6 +77,16 @@ def test_batch_of_records(spark, trained):
     assert [tuple(r) for r in batch.rejects.collect()] == [("999", "CODE_GENDER", "?", "unknown_level")]
 
 
+def test_repeated_keys_are_scored_row_by_row(spark, trained):
+    _, applications, _, scorer, _ = trained
+    once = records(spark, applications, 5)
+    batch = scoring.score_records(once.unionByName(once), scorer, with_factors=True)
+    plain = scoring.score_records(once, scorer).scores.collect()
+    rows = batch.scores.collect()
+    assert len(rows) == 2 * len(plain)
+    assert {(r[c.KEY], r["probability"]) for r in rows} == {(r[c.KEY], r["probability"]) for r in plain}
+
+
 def test_score_file(spark, trained, tmp_path):
     _, applications, _, scorer, _ = trained
     stats = scoring.score_table(applications, scorer, str(tmp_path / "scores")).first()
