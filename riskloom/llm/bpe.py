@@ -7,10 +7,10 @@ import heapq
 import json
 import re
 import sys
-from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
 
+import numpy as np
 import regex
 
 #: Code points of text that are split at once; longer texts are cut where a pre-token must begin.
@@ -74,6 +74,20 @@ def _merge_long(parts: list[bytes | None], pairs: dict[Pair, int]) -> list[bytes
     return [p for p in parts if p is not None]
 
 
+class _Numbers(dict):
+    """Numbers keys as they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        return n
+
+
+def _numbered(cut: list[list[str]]) -> tuple[dict[str, int], np.ndarray]:
+    number = _Numbers()
+    codes = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+    return number, codes
+
+
 class Splitter:
     """Pre-tokens of a text, as the library whose character classes are given would cut them.
 
@@ -99,8 +113,9 @@ class Splitter:
             start = cut.start()
         yield self._split(text[start:] if start else text)
 
-    def units(self, texts: list[str]) -> tuple[list[list[str]], Counter[str]]:
-        """Each text cut where a pre-token must begin, and how often each stretch occurs in all of them.
+    def units(self, texts: list[str]) -> tuple[list[int], dict[str, int], np.ndarray]:
+        """Each text cut where a pre-token must begin: stretches a text, the distinct stretches numbered as they
+        appear, and the numbers of all stretches in order.
 
         Nearly all cuts are at single spaces, so the texts are cut at every space first; texts in which a stretch
         then shows white space next to a cut are cut anew by the exact rule.
@@ -108,14 +123,14 @@ class Splitter:
         cut = [
             [text] if "\0" in text or self._has_odd(text) else text.replace(" ", "\0 ").split("\0") for text in texts
         ]
-        counts = Counter(chain.from_iterable(cut))
-        doubtful = {u for u in counts if not u or u == " " or u[-1].isspace() or (u[0] == " " and u[1].isspace())}
+        number, codes = _numbered(cut)
+        doubtful = {u for u in number if not u or u == " " or u[-1].isspace() or (u[0] == " " and u[1].isspace())}
         if doubtful:
             for i, units in enumerate(cut):
                 if len(units) > 1 and not doubtful.isdisjoint(units):
                     cut[i] = _SAFE_CUTS.split(texts[i])
-            counts = Counter(chain.from_iterable(cut))
-        return cut, counts
+            number, codes = _numbered(cut)
+        return list(map(len, cut)), number, codes
 
     def _split(self, text: str) -> list[str]:
         if not self._has_odd(text):

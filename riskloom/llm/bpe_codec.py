@@ -15,9 +15,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +31,7 @@ CHUNK_CHARS = 12_000_000
 BUCKETS = 64
 #: Distinct words of a bucket that a task remembers; beyond, a word may be merged again.
 REMEMBERED = 1_000_000
+_ENDINGS = ".,;:!?\"')"
 
 _LIST = "chunk string, bucket int, n long, packed binary"
 _OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -99,12 +98,18 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[int |
         yield name.hexdigest(), ids, texts
 
 
-def _distinct(counts: Counter[str], buckets: int) -> tuple[list[str], np.ndarray]:
-    """Distinct words of a chunk by falling count, so that frequent ones have short numbers, and their buckets."""
-    words = list(counts)
-    order = np.argsort(-np.fromiter(counts.values(), np.int64, len(words)), kind="stable").tolist()
-    words = [words[i] for i in order]
-    return words, np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int64, len(words))
+def _by_count(number: dict[str, int], codes: np.ndarray, buckets: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words of a chunk by falling count, so that frequent ones have short numbers; their buckets; all places.
+
+    Words that differ only in what ends them share a bucket, where their common pre-token is merged once.
+    """
+    order = np.argsort(-np.bincount(codes, minlength=len(number)), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    own = list(number)
+    words = [own[i] for i in order.tolist()]
+    bucket = np.fromiter((xxhash.xxh32_intdigest(w.rstrip(_ENDINGS)) % buckets for w in words), np.int64, len(words))
+    return words, bucket, place[codes]
 
 
 def encode_decode(
@@ -126,7 +131,8 @@ def encode_decode(
     def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = _splitter(*split_by.value)
         for chunk, _, texts in _chunks(batches):
-            words, bucket = _distinct(splitter.units(texts)[1], buckets)
+            _, number, codes = splitter.units(texts)
+            words, bucket, _ = _by_count(number, codes, buckets)
             for b in range(buckets):
                 own = [words[i].encode("utf-8") for i in np.flatnonzero(bucket == b).tolist()]
                 if own:
@@ -145,20 +151,26 @@ def encode_decode(
                 for piece in map(str.encode, pieces):
                     if piece in ranks:
                         some.append(ranks[piece])
-                    else:
-                        some += [ranks[t] for t in bpe.merge(piece, pairs)]
+                        continue
+                    ids = merged.get(piece)
+                    if ids is None:
+                        ids = merged[piece] = [ranks[t] for t in bpe.merge(piece, pairs)]
+                    some += ids
             return np.array(some, "<u4").tobytes()
 
         known: dict[bytes, bytes] = {}
+        merged: dict[bytes, list[int]] = {}
         bucket = chunk = None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["bucket"] != bucket:
                     known, bucket = {}, row["bucket"]
+                    merged.clear()
                 elif row["chunk"] == chunk:
                     continue  # chunks of one name hold the same texts
                 if len(known) > REMEMBERED:
                     known = {}
+                    merged.clear()
                 chunk = row["chunk"]
                 raw = zlib.decompress(row["packed"])
                 lengths, at = _head(raw, row["n"])
@@ -180,14 +192,12 @@ def encode_decode(
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = _splitter(*split_by.value)
         for chunk, ids, texts in _chunks(batches):
-            cut, counts = splitter.units(texts)
-            words, bucket = _distinct(counts, buckets)
-            place = dict(zip(words, range(len(words))))
-            where = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+            lengths, number, codes = splitter.units(texts)
+            _, bucket, where = _by_count(number, codes, buckets)
             yield pa.RecordBatch.from_pylist([{
                 "chunk": chunk,
                 "ids": ids,
-                "lengths": list(map(len, cut)),
+                "lengths": lengths,
                 "positions": pack_numbers(where),
                 "buckets": pack_numbers(bucket),
             }], schema=_arrow(_TEXTS))
