@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskloom.llm.arrow import batches_of, text_columns
-from riskloom.llm.member import may_hold
+from riskloom.llm.member import with_candidates
 from riskloom.session import stage
 
 _RECORD = {
@@ -150,7 +150,8 @@ def dedup_lines(
     own_id, text_at = F.col(f"c{names.index(id_col)}").cast("long"), f"c{names.index(text_col)}"
     inner = inner.withColumn(text_at, F.col(text_at).cast("string"))
     columns = inner.columns
-    touched = may_hold(runs, "doc_id", own_id)
+    marked = with_candidates(inner, runs, "doc_id", own_id, "touched")
+    touched, untouched = (marked.where(c).drop("touched") for c in (F.col("touched"), ~F.col("touched")))
     out = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
 
     def shown(df: DataFrame, count) -> DataFrame:
@@ -160,7 +161,7 @@ def dedup_lines(
         F.col("doc_id").isNull().alias("nameless"),
         F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "text_hash", "runs",
     )
-    joined = inner.where(touched).withColumns({
+    joined = touched.withColumns({
         "nameless": own_id.isNull(), "id": F.coalesce(own_id, F.lit(0).cast("long")), "text_hash": F.xxhash64(F.coalesce(text_at, F.lit(""))),
     }).join(cuts, ["nameless", "id", "text_hash"], "left").select(*columns, "runs")
 
@@ -178,4 +179,4 @@ def dedup_lines(
             yield pa.RecordBatch.from_arrays([*kept, cut_n], [*columns, "cut"])
 
     done = joined.mapInArrow(cut, T.StructType([*inner.schema.fields, T.StructField("cut", T.LongType())]))
-    return shown(done, F.col("cut")).unionByName(shown(inner.where(~touched), F.lit(0).cast("long")))
+    return shown(done, F.col("cut")).unionByName(shown(untouched, F.lit(0).cast("long")))

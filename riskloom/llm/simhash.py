@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from riskloom.llm.arrow import text_columns
 from riskloom.llm.components import components
-from riskloom.llm.member import may_hold
+from riskloom.llm.member import with_candidates
 from riskloom.session import stage
 
 #: Distinct fingerprints of a bucket that one index takes; larger buckets are dealt again by more bits.
@@ -254,10 +254,11 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str =
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no column of the table can clash
     own, text = F.col(f"c{names.index(id_col)}").cast("long"), F.col(f"c{names.index(text_col)}").cast("string")
-    touched = may_hold(cases, "doc_id", own)
+    marked = with_candidates(inner, cases, "doc_id", own, "touched")
+    touched, untouched = (marked.where(c).drop("touched") for c in (F.col("touched"), ~F.col("touched")))
     copies = W.partitionBy("id", "nameless", "text_hash").orderBy(F.lit(0))
     looked_up = (
-        inner.where(touched).withColumns({
+        touched.withColumns({
             "nameless": own.isNull(), "id": F.coalesce(own, F.lit(0).cast("long")),
             "text_hash": F.xxhash64(F.coalesce(text, F.lit(""))),
         })
@@ -266,4 +267,4 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str =
         .withColumn("copy", F.row_number().over(copies)).where(F.col("stays").isNull() | (F.col("copy") == 1))
     )
     out = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
-    return inner.where(~touched).select(*out).unionByName(looked_up.select(*out))
+    return untouched.select(*out).unionByName(looked_up.select(*out))

@@ -74,7 +74,7 @@ def test_index_finds_every_group(spread):
     codes = codes[np.argsort(simhash.gray_rank(codes))]
     want = slow_groups([int(c) for c in codes], 4)
     got = simhash.links(codes, 4)
-    assert Counter(zip(want, got.tolist())).keys() == {(w, g) for w, g in zip(want, got.tolist())}
+    # the same groups, whatever they are called
     assert len(set(want)) == len(set(got.tolist())) == len(set(zip(want, got.tolist())))
 
 
@@ -94,7 +94,9 @@ def test_components_of_paths_stars_and_loops(spark):
 def test_filter_never_misses_a_member(spark):
     members = spark.createDataFrame([(i,) for i in [*range(0, 3000, 7), None, -5]], "m long")
     asked = spark.createDataFrame([(i,) for i in [*range(3000), None, -5]], "a long")
-    found = {r.a for r in asked.where(member.may_hold(members, "m", F.col("a"))).collect()}
+    marked = member.with_candidates(asked, members, "m", F.col("a"), "maybe")
+    assert marked.columns == ["a", "maybe"]
+    found = {r.a for r in marked.where("maybe").collect()}
     assert {r.m for r in members.collect()} <= found and len(found) < 600
 
 
