@@ -75,19 +75,19 @@ def _merge_long(parts: list[bytes | None], pairs: dict[Pair, int]) -> list[bytes
 
 
 class _Numbers(dict):
-    """Numbers keys as they are first asked for."""
+    """Numbers stretches of text as they are first asked for, and notes those that show white space next to a cut."""
+
+    def __init__(self):
+        super().__init__()
+        self.doubtful: set[str] = set()
 
     def __missing__(self, key: str) -> int:
         n = self[key] = len(self)
+        if not key or key == " " or key[-1].isspace() or (key[0] == " " and key[1].isspace()):
+            self.doubtful.add(key)
         return n
 
 
-def _numbered(cut: list[list[str]]) -> tuple[dict[str, int], np.ndarray]:
-    number = _Numbers()
-    codes = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
-    return number, codes
-
-
 class Splitter:
     """Pre-tokens of a text, as the library whose character classes are given would cut them.
 
@@ -117,20 +117,19 @@ class Splitter:
         """Each text cut where a pre-token must begin: stretches a text, the distinct stretches numbered as they
         appear, and the numbers of all stretches in order.
 
-        Nearly all cuts are at single spaces, so the texts are cut at every space first; texts in which a stretch
-        then shows white space next to a cut are cut anew by the exact rule.
+        Nearly all cuts are at single spaces, so a text is cut at every space first; if a stretch then shows white
+        space next to a cut, it is cut anew by the exact rule, and the wrong stretches keep numbers without use.
         """
-        cut = [
-            [text] if "\0" in text or self._has_odd(text) else text.replace(" ", "\0 ").split("\0") for text in texts
-        ]
-        number, codes = _numbered(cut)
-        doubtful = {u for u in number if not u or u == " " or u[-1].isspace() or (u[0] == " " and u[1].isspace())}
-        if doubtful:
-            for i, units in enumerate(cut):
-                if len(units) > 1 and not doubtful.isdisjoint(units):
-                    cut[i] = _SAFE_CUTS.split(texts[i])
-            number, codes = _numbered(cut)
-        return list(map(len, cut)), number, codes
+        number = _Numbers()
+        found = []
+        for text in texts:  # one text's stretches are held at a time
+            cut = [text] if "\0" in text or self._has_odd(text) else text.replace(" ", "\0 ").split("\0")
+            codes = np.fromiter(map(number.__getitem__, cut), np.int32, len(cut))
+            if len(cut) > 1 and number.doubtful and not number.doubtful.isdisjoint(cut):
+                cut = _SAFE_CUTS.split(text)
+                codes = np.fromiter(map(number.__getitem__, cut), np.int32, len(cut))
+            found.append(codes)
+        return list(map(len, found)), number, np.concatenate(found) if found else np.zeros(0, np.int32)
 
     def _split(self, text: str) -> list[str]:
         if not self._has_odd(text):

@@ -26,13 +26,16 @@ from riskloom.llm import bpe
 from riskloom.llm.arrow import text_columns
 
 #: Code points of text that make up a chunk; a longer text is a chunk of its own.
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 8_000_000
 #: Buckets for the words of a chunk, at least; as many as shuffle partitions if those are more.
 BUCKETS = 64
 #: Distinct words of a bucket that a task remembers; beyond, a word may be merged again.
 REMEMBERED = 1_000_000
 _ENDINGS = ".,;:!?\"')"
 
+#: Numbers packed or unpacked at once.
+_AT_ONCE = 1 << 17
+
 _LIST = "chunk string, bucket int, n long, packed binary"
 _OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -61,6 +64,10 @@ def _vocabulary(content: bytes) -> tuple[dict[bytes, int], dict[bpe.Pair, int],
 
 def pack_numbers(numbers: np.ndarray) -> bytes:
     """Numbers under 2**28 as one to four bytes of seven bits each, low bits first."""
+    return b"".join(_packed(numbers[at : at + _AT_ONCE]) for at in range(0, len(numbers), _AT_ONCE))
+
+
+def _packed(numbers: np.ndarray) -> bytes:
     n = numbers.astype(np.uint32)
     cells = np.stack([(n >> s) & 0x7F for s in (0, 7, 14, 21)], axis=1).astype(np.uint8)
     used = np.stack([np.ones(len(n), bool), n >= 1 << 7, n >= 1 << 14, n >= 1 << 21], axis=1)
@@ -70,8 +77,17 @@ def pack_numbers(numbers: np.ndarray) -> bytes:
 
 def unpack_numbers(packed: bytes) -> np.ndarray:
     cells = np.frombuffer(packed, np.uint8)
-    if not len(cells):
-        return np.zeros(0, np.int64)
+    found, at = [np.zeros(0, np.int64)], 0
+    while at < len(cells):
+        to = min(len(cells), at + _AT_ONCE)
+        while cells[to - 1] >= 0x80:  # not inside a number
+            to += 1
+        found.append(_unpacked(cells[at:to]))
+        at = to
+    return np.concatenate(found)
+
+
+def _unpacked(cells: np.ndarray) -> np.ndarray:
     last = cells < 0x80
     starts = np.concatenate([[0], np.flatnonzero(last)[:-1] + 1])
     sizes = np.diff(np.append(starts, len(cells)))
@@ -109,7 +125,7 @@ def _by_count(number: dict[str, int], codes: np.ndarray, buckets: int) -> tuple[
     own = list(number)
     words = [own[i] for i in order.tolist()]
     bucket = np.fromiter((xxhash.xxh32_intdigest(w.rstrip(_ENDINGS)) % buckets for w in words), np.int64, len(words))
-    return words, bucket, place[codes]
+    return words, bucket, place.astype(np.int32)[codes]
 
 
 def encode_decode(
