@@ -96,7 +96,8 @@ def repeated_runs(
 
     records = stage(text_columns(docs, id_col, text_col, _text_hash(text_col)).mapInArrow(scan, _RECORD_DDL))
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "at")
-    firsts = (
+    # stored, so that the join shuffles both sides and the engine can split a fingerprint that a third of all texts hold
+    firsts = stage(
         records.groupBy("gram")
         .agg(F.min(F.struct(place.alias("place"), "before", "behind")).alias("f"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("gram", "f")

@@ -118,7 +118,8 @@ def scan_secrets(
         .withColumn("row", F.monotonically_increasing_id())
     )
     held = scanned.where(F.size("found") > 0).select("row", "repository", "owner", F.posexplode("found").alias("place", "f"))
-    holders = (
+    # stored, so that the join shuffles both sides and the engine can split a value that a third of all texts hold
+    holders = stage(
         held.groupBy(F.col("f.hash").alias("hash"), "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repositories"))
         .groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))

@@ -223,7 +223,8 @@ def simhash_groups(
         codes.join(roots.withColumnRenamed("node", "code"), "code", "left")
         .select("code", "least", F.coalesce("root", "code").alias("root"))
     )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # stored, so that the join shuffles both sides and the engine can split a hot group
+    named = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     by_code = rooted.join(named, "root").select("code", "root", "component_id")
     return signed.join(by_code, "code").select(
         "doc_id",
@@ -244,7 +245,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str =
         .agg(F.count(F.lit(1)).alias("copies"))
     )
     place = F.struct("nameless", "doc_id", "text_hash")
-    stays = places.groupBy("group_code").agg(F.min(place).alias("first"))
+    stays = stage(places.groupBy("group_code").agg(F.min(place).alias("first")))
     # all that is not simply kept: rows that go, and rows that have equals
     cases = stage(
         places.join(stays, "group_code").withColumn("stays", place.eqNullSafe(F.col("first")))
