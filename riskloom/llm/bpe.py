@@ -83,7 +83,8 @@ class _Numbers(dict):
 
     def __missing__(self, key: str) -> int:
         n = self[key] = len(self)
-        if not key or key == " " or key[-1].isspace() or (key[0] == " " and key[1].isspace()):
+        inner = len(key.strip())
+        if inner < len(key) and (not inner or inner < len(key) - 1 or key[0] != " "):
             self.doubtful.add(key)
         return n
 

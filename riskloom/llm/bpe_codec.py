@@ -16,6 +16,7 @@ import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from riskloom.llm import bpe
 from riskloom.llm.arrow import text_columns
 
 #: Code points of text that make up a chunk; a longer text is a chunk of its own.
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 12_000_000
 #: Buckets for the words of a chunk, at least; as many as shuffle partitions if those are more.
 BUCKETS = 64
 #: Distinct words of a bucket that a task remembers; beyond, a word may be merged again.
@@ -160,18 +161,18 @@ def encode_decode(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, pairs, _ = _vocabulary(vocabulary.value)
         splitter = _splitter(*split_by.value)
+        cut = splitter.pattern.findall
 
         def encoded(word: bytes) -> bytes:
             some: list[int] = []
-            for pieces in splitter.pieces(word.decode("utf-8")):
-                for piece in map(str.encode, pieces):
-                    if piece in ranks:
-                        some.append(ranks[piece])
-                        continue
-                    ids = merged.get(piece)
-                    if ids is None:
-                        ids = merged[piece] = [ranks[t] for t in bpe.merge(piece, pairs)]
-                    some += ids
+            text = word.decode("utf-8")
+            pieces = cut(text) if word.isascii() else chain.from_iterable(splitter.pieces(text))
+            for piece in map(str.encode, pieces):
+                ids = merged.get(piece)
+                if ids is None:
+                    whole = ranks.get(piece)
+                    ids = merged[piece] = [whole] if whole is not None else [ranks[t] for t in bpe.merge(piece, pairs)]
+                some += ids
             return np.array(some, "<u4").tobytes()
 
         known: dict[bytes, bytes] = {}
