@@ -3,9 +3,10 @@
 Lines without a word are passed over. A gram is the shortest run of lines from a line on with ``gram_words`` words;
 a window is the shortest run with ``window_words`` words, and the gram of smallest hash that lies wholly in a window
 is a fingerprint. Two texts that share a run of ``window_words`` words share a whole window, and so a fingerprint.
-Every occurrence of a fingerprint is joined to its first one only, so a passage in a third of all texts gives one row
-per occurrence, not one per pair. Each record carries the hashes of the lines around it, a window's worth on either
-side, by which the match is extended both ways; what a later occurrence shares with the first is deleted.
+Each record carries running hashes of the fingerprint with the lines behind it, and with the lines before it, a window's
+worth on either side. For each running hash the first place that holds it is kept, so the match is extended both ways
+as far as any earlier place goes on, while a passage in a third of all texts gives a few rows per occurrence, not one
+per pair. What a later occurrence shares with any earlier one is deleted.
 """
 
 from __future__ import annotations
@@ -71,11 +72,13 @@ def fingerprints(lines: list[bytes], gram_words: int, window_words: int) -> Iter
             yield values[pick], pick, e - pick + 1, hashes[back[pick] : pick][::-1], hashes[e + 1 : to]
 
 
-def _shared(one: Column, two: Column) -> Column:
-    """Length of the common beginning of two arrays."""
-    same = F.zip_with(one, two, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    first = F.array_position(same, F.lit(False))
-    return F.when(first == 0, F.size(same)).otherwise(first - 1).cast("int")
+def _running(gram: int, side: bytes, lines: list[int]) -> list[int]:
+    """A hash of the gram and the first k of the lines on one side of it, for each k from 1 on."""
+    found, state = [], gram
+    for line in lines:
+        state = _hash(side + state.to_bytes(8, "little", signed=True) + line.to_bytes(8, "little", signed=True))
+        found.append(state)
+    return found
 
 
 def repeated_runs(
@@ -89,26 +92,35 @@ def repeated_runs(
         for batch in batches:
             texts = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")))
             yield from batches_of(_RECORD, (
-                (gram, doc_id, text_hash, *rest)
+                (gram, doc_id, text_hash, at, lines, _running(gram, b"<", before), _running(gram, b">", behind))
                 for doc_id, text_hash, text in texts
-                for gram, *rest in fingerprints(worded_lines(text), gram_words, window_words)
+                for gram, at, lines, before, behind in fingerprints(worded_lines(text), gram_words, window_words)
             ), 4000)
 
     records = stage(text_columns(docs, id_col, text_col, _text_hash(text_col)).mapInArrow(scan, _RECORD_DDL))
-    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "at")
-    # stored, so that the join shuffles both sides and the engine can split a fingerprint that a third of all texts hold
+    # stored, so that the joins shuffle both sides and the engine can split a fingerprint that a third of all texts hold
+    repeated = stage(records.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
+    found = stage(records.join(repeated, "gram"))
+    place = F.struct(
+        F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "text_hash", "at")
+
+    def reached(side: str) -> Column:
+        """``hash, back, on`` of each running hash; how many lines it goes back before the fingerprint, or on behind it."""
+        return F.transform(side, lambda h, i: F.struct(
+            h.alias("hash"), *((i + 1 if name == side else F.lit(0)).cast("int").alias(to) for name, to in (("before", "back"), ("behind", "on")))))
+
+    alone = F.array(F.struct(F.col("gram").alias("hash"), F.lit(0).cast("int").alias("back"), F.lit(0).cast("int").alias("on")))
+    held = found.select(
+        "doc_id", "text_hash", "at", "lines", F.inline(F.concat(alone, reached("before"), reached("behind"))))
     firsts = stage(
-        records.groupBy("gram")
-        .agg(F.min(F.struct(place.alias("place"), "before", "behind")).alias("f"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("gram", "f")
-    )
-    same = place.eqNullSafe(F.col("f.place"))
+        held.groupBy("hash").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f < l").select("hash", "f"))
+    # longer prefixes have later first places, so the longest one held earlier reaches as far as any earlier place does
     return (
-        records.join(firsts, "gram").where(~same)
+        held.join(firsts, "hash").where(F.col("f") < place)
+        .groupBy("doc_id", "text_hash", "at", "lines").agg(F.max("back").alias("back"), F.max("on").alias("on"))
         .select(
-            "doc_id", "text_hash",
-            (F.col("at") - _shared(F.col("before"), F.col("f.before"))).alias("first"),
-            (F.col("at") + F.col("lines") - 1 + _shared(F.col("behind"), F.col("f.behind"))).alias("last"),
+            "doc_id", "text_hash", (F.col("at") - F.col("back")).alias("first"),
+            (F.col("at") + F.col("lines") - 1 + F.col("on")).alias("last"),
         ).distinct()
     )
 
@@ -138,8 +150,8 @@ def dedup_lines(
 ) -> DataFrame:
     """The rows of ``docs`` with later repeated runs of lines cut out of the text; no row is dropped.
 
-    Runs of at least ``gram_words`` words that match the first occurrence of a fingerprint go, and every run of
-    ``window_words`` words that occurred before has a fingerprint. Of any line, the first occurrence always stays.
+    Runs of at least ``gram_words`` words that match an earlier occurrence of a fingerprint go, and so does every run of
+    ``window_words`` words that occurred before, as it has a fingerprint. Of any line, the first occurrence always stays.
     Lines are compared without white space around them; a line without a word is never cut. A text of which all is
     cut is the empty string, or the blank lines it had. NULL texts stay NULL. Rows with a NULL id come last in the order;
     rows equal in id and text are one place, so they are cut alike. Other columns are kept whatever their

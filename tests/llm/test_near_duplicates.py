@@ -168,6 +168,66 @@ def test_line_runs_equal_brute_force(spark):
     assert not line_dedup.worded_lines(cut[100].text)
 
 
+def all_cuts(rows, window_words):
+    """Lines inside a run of so many words that any earlier place holds, by comparing all pairs of places."""
+    order = sorted({(i is None, i or 0, _hash(t), t) for i, t in rows})
+    lines = [line_dedup.worded_lines(key[3]) for key in order]
+    gone = defaultdict(set)
+    for c, mine in enumerate(lines):
+        for x, other in enumerate(lines[: c + 1]):
+            for i in range(len(mine)):
+                for j in range(i if x == c else len(other)):
+                    n = 0
+                    while i + n < len(mine) and j + n < len(other) and mine[i + n] == other[j + n]:
+                        n += 1
+                    if sum(len(line.split()) for line in mine[i : i + n]) >= window_words:
+                        gone[order[c][:3]].update(range(i, i + n))
+    return gone
+
+
+def any_cuts(rows, gram_words, window_words):
+    """``slow_cuts`` with every earlier occurrence of a fingerprint instead of its first one only."""
+    order = sorted({(i is None, i or 0, _hash(t), t) for i, t in rows})
+    lines = {key: line_dedup.worded_lines(key[3]) for key in order}
+    places, gone = defaultdict(list), defaultdict(set)
+    for key in order:
+        for gram, at, n, _, _ in line_dedup.fingerprints(lines[key], gram_words, window_words):
+            places[gram].append((key, at, n))
+    for held in places.values():
+        for c, (key, at, n) in enumerate(held):
+            for other, from_, _ in held[:c]:
+                low, high, mine, its = 0, n, lines[key], lines[other]
+                while at > low and from_ > low and mine[at - low - 1] == its[from_ - low - 1]:
+                    low += 1
+                while at + high < len(mine) and from_ + high < len(its) and mine[at + high] == its[from_ + high]:
+                    high += 1
+                gone[key[:3]].update(range(at - low, at + high))
+    return gone
+
+
+def test_line_runs_equal_all_earlier_occurrences(spark):
+    df, *_ = planted(spark)
+    for table, sizes in ((df, (25, 50)), (df, (10, 20)), (awkward(spark), (25, 50)), (spark.read.parquet(f"{SMALL}/documents.parquet"), (25, 50))):
+        got = defaultdict(set)
+        for r in line_dedup.repeated_runs(table, *sizes).collect():
+            got[r.doc_id is None, r.doc_id or 0, r.text_hash].update(range(r.first, r["last"] + 1))
+        assert got == any_cuts(pairs(table), *sizes)
+
+
+def test_runs_shared_with_any_earlier_text_go(spark):
+    rng = random.Random(11)
+    parts = [[words(rng, rng.randint(4, 35)) for _ in range(rng.randint(1, 4))] for _ in range(8)]
+    rows = []
+    for i in range(60):  # parts meet in ever other company, so the first text with a fingerprint rarely shares all
+        own = [line for _ in range(rng.randint(1, 4)) for line in rng.choice(parts)] + [words(rng, 5)]
+        rows.append((i, "\n".join(own)))
+    got = defaultdict(set)
+    for r in line_dedup.repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"), 25, 50).collect():
+        got[False, r.doc_id, r.text_hash].update(range(r.first, r["last"] + 1))
+    for key, want in all_cuts(rows, 50).items():
+        assert want <= got[key]
+
+
 def test_first_occurrence_of_every_line_stays(spark):
     df, *_ = planted(spark)
     before = {line for _, t in pairs(df) for line in line_dedup.worded_lines(t)}
