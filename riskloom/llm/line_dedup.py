@@ -1,6 +1,8 @@
-"""Removal of repeated runs of lines by winnowing.
+"""Removal of repeated passages by winnowing.
 
-Lines without a word are passed over. A gram is the shortest run of lines from a line on with ``gram_words`` words;
+Texts are compared by stretches of a few words: a stretch ends with its line, with a sentence, or after a word that its
+hash picks, so a passage falls into the same stretches wherever in a line it stands. "Lines" below are such stretches;
+lines without a word have none. A gram is the shortest run of lines from a line on with ``gram_words`` words;
 a window is the shortest run with ``window_words`` words, and the gram of smallest hash that lies wholly in a window
 is a fingerprint. Two texts that share a run of ``window_words`` words share a whole window, and so a fingerprint.
 Each record carries running hashes of the fingerprint with the lines behind it, and with the lines before it, a window's
@@ -11,7 +13,10 @@ per pair. What a later occurrence shares with any earlier one is deleted.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import accumulate
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +28,19 @@ from riskloom.llm.arrow import batches_of, text_columns
 from riskloom.llm.member import with_candidates
 from riskloom.session import stage
 
+#: One word in so many ends a stretch, besides the last ones of sentences and lines.
+STRETCH_WORDS = 16
+_SENTENCE_ENDS = frozenset(b".!?")
+_FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 63) - 1
+_BEFORE, _BEHIND = 0x632BE59BD9B4E019, 0x1F83D9ABFB41BD6B
+_WORD = re.compile(rb"\S+")
+
+_PICK = {"gram": pa.int64(), "doc_id": pa.int64(), "text_hash": pa.int64(), "at": pa.int32()}
+_PICK_DDL = "gram long, doc_id long, text_hash long, at int"
 _RECORD = {
-    "gram": pa.int64(), "doc_id": pa.int64(), "text_hash": pa.int64(), "at": pa.int32(), "lines": pa.int32(),
-    "before": pa.list_(pa.int64()), "behind": pa.list_(pa.int64()),
+    "gram": pa.int64(), "rank": pa.int64(), "lines": pa.int32(), "before": pa.list_(pa.int64()), "behind": pa.list_(pa.int64()),
 }
-_RECORD_DDL = "gram long, doc_id long, text_hash long, at int, lines int, before array<long>, behind array<long>"
+_RECORD_DDL = "gram long, rank long, lines int, before array<long>, behind array<long>"
 
 
 def _hash(data: bytes) -> int:
@@ -35,9 +48,22 @@ def _hash(data: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _stops(words: list[bytes]) -> list[int]:
+    """Numbers of words after which a stretch ends; whether one does, does not depend on what is around the word."""
+    found = [i for i, word in enumerate(words, 1) if crc32(word) % STRETCH_WORDS == 0 or word[-1] in _SENTENCE_ENDS]
+    return found if not words or found and found[-1] == len(words) else [*found, len(words)]
+
+
 def worded_lines(text: str) -> list[bytes]:
-    """Lines with a word, without white space around them."""
-    return [line for raw in text.encode("utf-8").split(b"\n") if (line := raw.strip())]
+    """The stretches of all lines, their words parted by one space."""
+    found: list[bytes] = []
+    for raw in text.encode("utf-8").split(b"\n"):
+        words = raw.split()
+        at = 0
+        for stop in _stops(words):
+            found.append(b" ".join(words[at:stop]))
+            at = stop
+    return found
 
 
 def fingerprints(lines: list[bytes], gram_words: int, window_words: int) -> Iterator[tuple]:
@@ -45,7 +71,7 @@ def fingerprints(lines: list[bytes], gram_words: int, window_words: int) -> Iter
     if not lines:
         return
     hashes = [_hash(line) for line in lines]
-    ends = np.cumsum(np.fromiter((len(line.split()) for line in lines), np.int64, len(lines)))
+    ends = np.cumsum(np.fromiter((line.count(b" ") + 1 for line in lines), np.int64, len(lines)))
     starts = np.concatenate([[0], ends[:-1]])
     n = len(lines)
 
@@ -63,7 +89,8 @@ def fingerprints(lines: list[bytes], gram_words: int, window_words: int) -> Iter
     chosen = -1
     for i in range(windows):
         if chosen < i or last[i] > last[i - 1]:
-            pick = min(range(i, last[i]), key=values.__getitem__)
+            # of equal ones the leftmost; one that is still in the window has to beat only what is new
+            pick = min(range(i, last[i]) if chosen < i else (chosen, *range(last[i - 1], last[i])), key=values.__getitem__)
             if pick == chosen:
                 continue
             chosen = pick
@@ -72,56 +99,71 @@ def fingerprints(lines: list[bytes], gram_words: int, window_words: int) -> Iter
             yield values[pick], pick, e - pick + 1, hashes[back[pick] : pick][::-1], hashes[e + 1 : to]
 
 
-def _running(gram: int, side: bytes, lines: list[int]) -> list[int]:
+def _running(gram: int, side: int, lines: list[int]) -> list[int]:
     """A hash of the gram and the first k of the lines on one side of it, for each k from 1 on."""
-    found, state = [], gram
-    for line in lines:
-        state = _hash(side + state.to_bytes(8, "little", signed=True) + line.to_bytes(8, "little", signed=True))
-        found.append(state)
-    return found
+    return list(accumulate(lines, lambda state, line: (state * _FACTOR + line) & _MASK, initial=gram * _FACTOR + side))[1:]
 
 
 def repeated_runs(
     docs: DataFrame, gram_words: int = 25, window_words: int = 50, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, text_hash, first, last``: runs of lines (counted over lines with a word) that occurred before.
+    """``doc_id, text_hash, first, last``: runs of stretches (as numbered by ``worded_lines``) that occurred before.
 
     The order is that of ids (NULL last), then of text hashes, then of lines.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")))
-            yield from batches_of(_RECORD, (
-                (gram, doc_id, text_hash, at, lines, _running(gram, b"<", before), _running(gram, b">", behind))
+            yield from batches_of(_PICK, (
+                (gram, doc_id, text_hash, at)
                 for doc_id, text_hash, text in texts
+                for gram, at, *_ in fingerprints(worded_lines(text), gram_words, window_words)
+            ))
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = zip(batch.column("text").to_pylist(), batch.column("asked").to_pylist())
+            yield from batches_of(_RECORD, (
+                (gram, rank, lines, _running(gram, _BEFORE, before), _running(gram, _BEHIND, behind))
+                for text, asked in texts for ranks in ({a["at"]: a["rank"] for a in asked},)
                 for gram, at, lines, before, behind in fingerprints(worded_lines(text), gram_words, window_words)
+                if (rank := ranks.get(at)) is not None
             ), 4000)
 
-    records = stage(text_columns(docs, id_col, text_col, _text_hash(text_col)).mapInArrow(scan, _RECORD_DDL))
+    texts = text_columns(docs, id_col, text_col, _text_hash(text_col))
+    picks = stage(texts.mapInArrow(scan, _PICK_DDL))
     # stored, so that the joins shuffle both sides and the engine can split a fingerprint that a third of all texts hold
-    repeated = stage(records.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
-    found = stage(records.join(repeated, "gram"))
-    place = F.struct(
-        F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "text_hash", "at")
-
-    def reached(side: str) -> Column:
-        """``hash, back, on`` of each running hash; how many lines it goes back before the fingerprint, or on behind it."""
-        return F.transform(side, lambda h, i: F.struct(
-            h.alias("hash"), *((i + 1 if name == side else F.lit(0)).cast("int").alias(to) for name, to in (("before", "back"), ("behind", "on")))))
-
-    alone = F.array(F.struct(F.col("gram").alias("hash"), F.lit(0).cast("int").alias("back"), F.lit(0).cast("int").alias("on")))
-    held = found.select(
-        "doc_id", "text_hash", "at", "lines", F.inline(F.concat(alone, reached("before"), reached("behind"))))
+    repeated = stage(picks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
+    named = [F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "text_hash"]
+    # one row a place, numbered in the order of places
+    ranked = stage(
+        picks.join(repeated, "gram").select("doc_id", *named, "at").distinct()
+        .repartitionByRange("nameless", "id", "text_hash", "at").sortWithinPartitions("nameless", "id", "text_hash", "at")
+        .withColumn("rank", F.monotonically_increasing_id())
+    )
+    # only texts with a repeated fingerprint are read again, for the lines around it
+    asked = ranked.groupBy("nameless", "id", "text_hash").agg(F.collect_list(F.struct("at", "rank")).alias("asked"))
+    concerned = with_candidates(texts, ranked, "doc_id", F.col("doc_id"), "touched").where("touched")
+    found = stage(
+        concerned.select("text", *named).join(asked, ["nameless", "id", "text_hash"]).select("text", "asked").mapInArrow(around, _RECORD_DDL))
+
+    def reached(side: str, sign: int) -> Column:
+        """``hash, far`` of each running hash; ``far`` is how many lines it goes on behind the fingerprint, or less than 0 before it."""
+        return F.transform(side, lambda h, i: F.struct(h.alias("hash"), (F.lit(sign) * (i + 1)).cast("int").alias("far")))
+
+    alone = F.array(F.struct(F.col("gram").alias("hash"), F.lit(0).cast("int").alias("far")))
+    held = found.select("rank", F.inline(F.concat(alone, reached("before", -1), reached("behind", 1))))
     firsts = stage(
-        held.groupBy("hash").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f < l").select("hash", "f"))
+        held.groupBy("hash").agg(F.min("rank").alias("f"), F.max("rank").alias("l")).where("f < l").select("hash", "f"))
     # longer prefixes have later first places, so the longest one held earlier reaches as far as any earlier place does
+    reach = stage(
+        held.join(firsts, "hash").where("f < rank")
+        .groupBy("rank").agg(F.min("far").alias("back"), F.max("far").alias("on"))
+    )
     return (
-        held.join(firsts, "hash").where(F.col("f") < place)
-        .groupBy("doc_id", "text_hash", "at", "lines").agg(F.max("back").alias("back"), F.max("on").alias("on"))
-        .select(
-            "doc_id", "text_hash", (F.col("at") - F.col("back")).alias("first"),
-            (F.col("at") + F.col("lines") - 1 + F.col("on")).alias("last"),
-        ).distinct()
+        reach.join(ranked, "rank").join(found.select("rank", "lines").distinct(), "rank")
+        .select("doc_id", "text_hash", (F.col("at") + F.col("back")).alias("first"), (F.col("at") + F.col("lines") - 1 + F.col("on")).alias("last"))
+        .distinct()
     )
 
 
@@ -130,32 +172,40 @@ def _text_hash(text_col: str) -> Column:
 
 
 def cut_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without the lines of the runs, and how many lines that were."""
+    """The text without the stretches of the runs, and how many lines lost any."""
     gone = set()
     for first, last in runs:
         gone.update(range(first, last + 1))
-    kept, at = [], 0
-    for line in text.split("\n"):
-        if line.encode("utf-8").strip():
-            at += 1
-            if at - 1 in gone:
-                continue
-        kept.append(line)
-    return "\n".join(kept), len(gone)
+    kept, at, touched = [], 0, 0
+    for line in text.encode("utf-8").split(b"\n"):
+        spans = [m.span() for m in _WORD.finditer(line)]
+        begins = [0, *_stops([line[slice(*span)] for span in spans])][:-1] if spans else []
+        stays = [at + k not in gone for k in range(len(begins))]
+        at += len(begins)
+        if all(stays):
+            kept.append(line)
+            continue
+        touched += 1
+        if any(stays):
+            edges = [spans[i][0] for i in begins] + [len(line)]
+            left = b"".join(line[edges[k] : edges[k + 1]] for k, stay in enumerate(stays) if stay)
+            kept.append(line[: edges[0]] + (left if stays[-1] else left.rstrip()))
+    return b"\n".join(kept).decode("utf-8"), touched
 
 
 def dedup_lines(
     docs: DataFrame, gram_words: int = 25, window_words: int = 50, id_col: str = "doc_id", text_col: str = "text",
     count_as: str | None = None,
 ) -> DataFrame:
-    """The rows of ``docs`` with later repeated runs of lines cut out of the text; no row is dropped.
+    """The rows of ``docs`` with later repeated passages cut out of the text, also from inside lines; no row is dropped.
 
     Runs of at least ``gram_words`` words that match an earlier occurrence of a fingerprint go, and so does every run of
-    ``window_words`` words that occurred before, as it has a fingerprint. Of any line, the first occurrence always stays.
-    Lines are compared without white space around them; a line without a word is never cut. A text of which all is
+    ``window_words`` words that occurred before, as it has a fingerprint; both are counted in whole stretches. Of any stretch, the first
+    occurrence always stays. Words are compared without the white space around them; a line of which all words are cut goes,
+    a line without a word is never cut. A text of which all is
     cut is the empty string, or the blank lines it had. NULL texts stay NULL. Rows with a NULL id come last in the order;
     rows equal in id and text are one place, so they are cut alike. Other columns are kept whatever their
-    names; an empty table stays empty. ``count_as`` names a column to add with the number of lines cut.
+    names; an empty table stays empty. ``count_as`` names a column to add with the number of lines that lost words.
     """
     runs = stage(repeated_runs(docs, gram_words, window_words, id_col, text_col))
     names = docs.columns

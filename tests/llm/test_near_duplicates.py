@@ -228,6 +228,25 @@ def test_runs_shared_with_any_earlier_text_go(spark):
         assert want <= got[key]
 
 
+def test_passages_inside_lines_go(spark):
+    rng = random.Random(5)
+    first, second = words(rng, 90), words(rng, 120)
+    rows = [(i, f"{words(rng, 30)} {first} {words(rng, 20 + i)}\n{words(rng, 9)}") for i in range(4)]
+    rows += [(i, f"  {words(rng, 40)}. {second}.  {words(rng, 7)} ") for i in range(4, 7)]
+    cut = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), count_as="n").collect()}
+    for i, text in rows:
+        passage = first if i < 4 else second
+        if i in (0, 4):
+            assert cut[i].text == text and cut[i].n == 0
+            continue
+        before, behind = text.split(passage)
+        left = cut[i].text
+        # what is the text's own stays, and of the passage at most the ends that share a stretch with it
+        assert cut[i].n == 1 and left.startswith(before.rstrip()) and left.endswith(behind.split("\n")[-1].strip(".").lstrip())
+        assert len(left.split()) - len(before.split()) - len(behind.replace(".", " ").split()) <= 30
+        assert all(w in left for w in behind.split()[1:])
+
+
 def test_first_occurrence_of_every_line_stays(spark):
     df, *_ = planted(spark)
     before = {line for _, t in pairs(df) for line in line_dedup.worded_lines(t)}
