@@ -24,9 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.llm.arrow import batches_of, text_columns
 from riskloom.session import stage
 
-#: Values held by this many owners are examples; so are values in this many repositories of one owner's neighbours.
+#: Values held by this many owners are examples, in however many repositories of fewer owners they are.
 EXAMPLE_OWNERS = 3
-EXAMPLE_REPOSITORIES = 10
 #: Bits a character that a value must have at least to look random.
 LIVE_ENTROPY = 3.0
 
@@ -88,10 +87,12 @@ def scan_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repository: Column | None = None, owner: Column | None = None,
 ) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, labels, n_live, n_example`` for every row.
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, labels, n_live, n_example, repositories`` for every
+    row.
 
     ``spans`` lists ``kind:start:end`` in code points, by start, then kind; ``labels`` says of each span in that order
-    whether its value is ``live``, an ``example`` or ``unclear`` (held by few owners, but not random). By default a document
+    whether its value is ``live``, an ``example`` or ``unclear`` (held by few owners, but not random), and ``repositories`` in
+    how many repositories it is, which decides nothing. By default a document
     is a repository of its own and ``source`` its owner; a NULL owner is one owner. NULL texts count as empty; rows with
     a NULL or repeated id are kept one by one; other columns are ignored; an empty table gives an empty table.
     """
@@ -124,7 +125,7 @@ def scan_secrets(
         .groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repositories"))
         .groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
     )
-    example = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    example = F.col("owners") >= EXAMPLE_OWNERS
     label = F.when(example, "example").when(F.col("random"), "live").otherwise("unclear")
     labelled = (
         held.select("row", "place", F.col("f.hash").alias("hash"), F.col("f.random").alias("random"),
@@ -132,7 +133,7 @@ def scan_secrets(
         .join(holders, "hash").withColumn("label", label)
         .where(F.col("kind").isin("assign", "access", "hex") | (F.col("label") == "live"))
         .groupBy("row").agg(
-            F.sort_array(F.collect_list(F.struct("place", "kind", "start", "end", "label"))).alias("s"),
+            F.sort_array(F.collect_list(F.struct("place", "kind", "start", "end", "label", "repositories"))).alias("s"),
             F.sum((F.col("label") == "live").cast("long")).alias("n_live"),
             F.sum((F.col("label") == "example").cast("long")).alias("n_example"))
     )
@@ -143,6 +144,7 @@ def scan_secrets(
         F.coalesce(F.array_join(F.transform("s", lambda x: x["label"]), ","), F.lit("")).alias("labels"),
         F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live"),
         F.coalesce("n_example", F.lit(0).cast("long")).alias("n_example"),
+        F.coalesce(F.array_join(F.transform("s", lambda x: x["repositories"].cast("string")), ","), F.lit("")).alias("repositories"),
     )
 
 

@@ -204,3 +204,13 @@ def test_ownership_tells_examples_from_live_values(spark):
     assert got[52].labels == "unclear"
     spans = got[50].spans.split(",")
     assert all(live == rows[20][1][int(a) : int(b)] for _, a, b in (s.split(":") for s in spans))
+
+
+def test_many_repositories_of_one_owner_are_no_example(spark):
+    keys = {kind: prefix + "aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0eF3hJ6" for kind, prefix in (("github", "ghp_"), ("stripe", "sk_live_"), ("random", "Q7"))}
+    rows = [(i, f"x {keys[kind]} y", "me") for kind in keys for i in range(12)] + [(20, "token = Zx81kQw92LmNv73PoTr4", "me")] * 15
+    rows = [(n, *row[1:]) for n, row in enumerate(rows)]
+    got = sorted(checked(spark.createDataFrame(rows, "doc_id long, text string, source string")), key=lambda r: r.doc_id)
+    for r, kind in zip(got, [kind for kind in keys for _ in range(12)] + ["assign"] * 15):
+        assert r.spans.startswith(f"{kind}:") and r.labels == "live" and r.n_live == 1 and r.n_example == 0
+        assert r.repositories == ("15" if kind == "assign" else "12")
