@@ -1,27 +1,30 @@
 """Removal of repeated passages by winnowing.
 
 Texts are compared by stretches of a few words: a stretch ends with its line, with a sentence, or after a word that its
-hash picks, so a passage falls into the same stretches wherever in a line it stands. "Lines" below are such stretches;
+bytes pick, so a passage falls into the same stretches wherever in a line it stands. "Lines" below are such stretches;
 lines without a word have none. A gram is the shortest run of lines from a line on with ``gram_words`` words;
 a window is the shortest run with ``window_words`` words, and the gram of smallest hash that lies wholly in a window
 is a fingerprint. Two texts that share a run of ``window_words`` words share a whole window, and so a fingerprint.
-Each record carries running hashes of the fingerprint with the lines behind it, and with the lines before it, a window's
-worth on either side. For each running hash the first place that holds it is kept, so the match is extended both ways
-as far as any earlier place goes on, while a passage in a third of all texts gives a few rows per occurrence, not one
-per pair. What a later occurrence shares with any earlier one is deleted.
+
+Every place of a repeated fingerprint carries the lines behind it and those before it, a window's worth on either side. Sorted by
+fingerprint and lines, places that go on alike lie together, and how far a place goes on like any earlier one is told by the
+nearest earlier places above and below it. One pass over a sorted partition finds them, with the earliest place for each
+number of shared lines at hand; what reaches over the borders of partitions is one such short list for each. So a passage in a third of all
+texts costs a row for each occurrence, over as many partitions as it fills. What a later occurrence shares with any earlier one is deleted.
 """
 
 from __future__ import annotations
 
-import re
+import struct
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
-from zlib import crc32
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskloom.llm.arrow import batches_of, text_columns
@@ -30,78 +33,262 @@ from riskloom.session import stage
 
 #: One word in so many ends a stretch, besides the last ones of sentences and lines.
 STRETCH_WORDS = 16
-_SENTENCE_ENDS = frozenset(b".!?")
-_FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 63) - 1
-_BEFORE, _BEHIND = 0x632BE59BD9B4E019, 0x1F83D9ABFB41BD6B
-_WORD = re.compile(rb"\S+")
-
-_PICK = {"gram": pa.int64(), "doc_id": pa.int64(), "text_hash": pa.int64(), "at": pa.int32()}
-_PICK_DDL = "gram long, doc_id long, text_hash long, at int"
-_RECORD = {
-    "gram": pa.int64(), "rank": pa.int64(), "lines": pa.int32(), "before": pa.list_(pa.int64()), "behind": pa.list_(pa.int64()),
+_SPACE, _STOP = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_STOP[list(b".!?")] = True
+#: A hash is so many bytes long.
+_UNIT = 8
+
+_RECORD = {"gram": pa.int64(), "place": pa.binary(), "lines": pa.int32(), "before": pa.binary(), "behind": pa.binary()}
+_RECORD_DDL = "gram long, place binary, lines int, before binary, behind binary"
+_REACH = {
+    "part": pa.int32(), "place": pa.binary(), "lines": pa.int32(), "units": pa.int32(), "lead": pa.int32(), "trail": pa.int32(),
+    "first": pa.binary(), "last": pa.binary(), "begin": pa.list_(pa.binary()), "end": pa.list_(pa.binary()),
 }
-_RECORD_DDL = "gram long, rank long, lines int, before array<long>, behind array<long>"
-
-
-def _hash(data: bytes) -> int:
-    value = xxhash.xxh64_intdigest(data)
-    return value - (1 << 64) if value >> 63 else value
-
-
-def _stops(words: list[bytes]) -> list[int]:
-    """Numbers of words after which a stretch ends; whether one does, does not depend on what is around the word."""
-    found = [i for i, word in enumerate(words, 1) if crc32(word) % STRETCH_WORDS == 0 or word[-1] in _SENTENCE_ENDS]
-    return found if not words or found and found[-1] == len(words) else [*found, len(words)]
+_REACH_DDL = (
+    "part int, place binary, lines int, units int, lead int, trail int, first binary, last binary, begin array<binary>, end array<binary>")
+_RUN = {"doc_id": pa.int64(), "text_hash": pa.int64(), "first": pa.int32(), "last": pa.int32()}
+_RUN_DDL = "doc_id long, text_hash long, first int, last int"
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = values ^ (values >> np.uint32(15))
+    values = values * np.uint32(0x2C1B3C6D)
+    return values ^ (values >> np.uint32(12))
+
+
+@dataclass(frozen=True)
+class Stretches:
+    """The stretches of a text: words (as byte ranges), and the number of words up to the end of each stretch."""
+
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    breaks: np.ndarray  # places of line feeds
+    upto: np.ndarray
+
+    def first_words(self) -> np.ndarray:
+        return np.concatenate([[0], self.upto[:-1]]).astype(np.int64) if len(self.upto) else self.upto
+
+    def texts(self) -> list[bytes]:
+        """Each stretch with its words parted by one space."""
+        if not len(self.upto):
+            return []
+        data, starts, ends = self.data, self.starts, self.ends
+        raw = np.frombuffer(data, np.uint8)
+        odd = np.ones(len(starts), np.int64)
+        odd[:-1] = (starts[1:] != ends[:-1] + 1) | (raw[ends[:-1]] != 32)
+        odd = np.concatenate([[0], np.cumsum(odd)])
+        first, last = self.first_words(), self.upto - 1
+        plain = odd[last] == odd[first]
+        spans = zip(starts[first].tolist(), ends[last].tolist(), plain.tolist())
+        return [data[a:b] if p else b" ".join(data[a:b].split()) for a, b, p in spans]
+
+
+def stretches(text: str) -> Stretches:
+    data = text.encode("utf-8")
+    raw = np.frombuffer(data, np.uint8)
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[raw], [True]]).view(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    breaks = np.flatnonzero(raw == 10)
+    if not len(starts):
+        return Stretches(data, starts, ends, breaks, starts)
+    # whether a stretch ends with a word does not depend on what is around the word, but for the end of its line
+    total = np.concatenate([[0], np.cumsum(raw, dtype=np.int64)])
+    with np.errstate(over="ignore"):
+        picked = _mixed(
+            (total[ends] - total[starts]).astype(np.uint32) * np.uint32(0x9E3779B1) + (ends - starts).astype(np.uint32) * np.uint32(0x85EBCA77)
+            + raw[starts] * np.uint32(0xC2B2AE3D) + raw[ends - 1] * np.uint32(0x27D4EB2F)) % np.uint32(STRETCH_WORDS) == 0
+    line = np.searchsorted(breaks, starts)
+    stop = picked | _STOP[raw[ends - 1]] | np.concatenate([line[1:] != line[:-1], [True]])
+    return Stretches(data, starts, ends, breaks, np.flatnonzero(stop) + 1)
 
 
 def worded_lines(text: str) -> list[bytes]:
     """The stretches of all lines, their words parted by one space."""
-    found: list[bytes] = []
-    for raw in text.encode("utf-8").split(b"\n"):
-        words = raw.split()
-        at = 0
-        for stop in _stops(words):
-            found.append(b" ".join(words[at:stop]))
-            at = stop
-    return found
-
-
-def fingerprints(lines: list[bytes], gram_words: int, window_words: int) -> Iterator[tuple]:
-    """``gram, at, lines, before, behind`` of each selected gram; ``before`` is nearest first."""
-    if not lines:
+    return stretches(text).texts()
+
+
+@dataclass(frozen=True)
+class Prints:
+    """Fingerprints of a text: hashes of its stretches, and gram, first and last stretch of each."""
+
+    hashes: bytes
+    upto: np.ndarray
+    gram: np.ndarray
+    at: np.ndarray
+    to: np.ndarray
+
+
+_NOTHING = Prints(b"", *[np.zeros(0, np.int64)] * 4)
+
+
+def fingerprints(text: str, gram_words: int, window_words: int) -> Prints:
+    found = stretches(text)
+    if not len(found.upto):
+        return _NOTHING
+    upto = found.upto
+    starts = found.first_words()
+    n = len(upto)
+    # the last line of the shortest run with so many words from each line on; n if there is none
+    gram_end, window_end = np.searchsorted(upto, starts + gram_words), np.searchsorted(upto, starts + window_words)
+    windows = int(np.searchsorted(window_end, n))  # ends never fall, so these are the first ones
+    if not windows:
+        return _NOTHING
+    grams = int(np.searchsorted(gram_end, n))
+    digest = xxhash.xxh64_intdigest
+    hashes = np.fromiter(map(digest, found.texts()), np.uint64, n).tobytes()
+    spans = zip(range(0, _UNIT * grams, _UNIT), (_UNIT * (gram_end[:grams] + 1)).tolist())
+    values = np.fromiter((digest(hashes[a:b]) for a, b in spans), np.uint64, grams).view(np.int64)
+    # the leftmost least gram of each window, which holds those that end within it
+    wide = np.searchsorted(gram_end[:grams], window_end[:windows], side="right") - np.arange(windows)
+    best = np.arange(windows)
+    least = values[:windows].copy()
+    for k in range(1, int(wide.max())):
+        open_ = np.flatnonzero(wide > k)
+        other = values[open_ + k]
+        lower = other < least[open_]
+        best[open_[lower]], least[open_[lower]] = open_[lower] + k, other[lower]
+    at = np.unique(best)
+    return Prints(hashes, upto, values[at], at, gram_end[at])
+
+
+def _records(doc_id: int | None, text_hash: int, found: Prints, window_words: int) -> Iterator[tuple]:
+    """A row of ``_RECORD`` for each fingerprint; the lines before it are nearest first."""
+    if not len(found.at):
         return
-    hashes = [_hash(line) for line in lines]
-    ends = np.cumsum(np.fromiter((line.count(b" ") + 1 for line in lines), np.int64, len(lines)))
-    starts = np.concatenate([[0], ends[:-1]])
-    n = len(lines)
-
-    def reach(words: int) -> np.ndarray:
-        """Last line of the shortest run with so many words from each line on; n if there is none."""
-        return np.searchsorted(ends, starts + words)
-
-    gram_end, window_end = reach(gram_words), reach(window_words)
-    grams = int(np.searchsorted(gram_end, n))  # ends never fall, so these are the first ones
-    packed = np.array(hashes, np.int64).tobytes()
-    values = [_hash(packed[8 * i : 8 * (e + 1)]) for i, e in enumerate(gram_end[:grams].tolist())]
-    windows = int(np.searchsorted(window_end, n))
-    last = np.searchsorted(gram_end[:grams], window_end[:windows], side="right").tolist()
-    back = np.searchsorted(ends, starts - window_words, side="right").tolist()
-    chosen = -1
-    for i in range(windows):
-        if chosen < i or last[i] > last[i - 1]:
-            # of equal ones the leftmost; one that is still in the window has to beat only what is new
-            pick = min(range(i, last[i]) if chosen < i else (chosen, *range(last[i - 1], last[i])), key=values.__getitem__)
-            if pick == chosen:
-                continue
-            chosen = pick
-            e = int(gram_end[pick])
-            to = min(n, int(np.searchsorted(ends, ends[e] + window_words)) + 1)
-            yield values[pick], pick, e - pick + 1, hashes[back[pick] : pick][::-1], hashes[e + 1 : to]
-
-
-def _running(gram: int, side: int, lines: list[int]) -> list[int]:
-    """A hash of the gram and the first k of the lines on one side of it, for each k from 1 on."""
-    return list(accumulate(lines, lambda state, line: (state * _FACTOR + line) & _MASK, initial=gram * _FACTOR + side))[1:]
+    hashes, upto = found.hashes, found.upto
+    n = len(upto)
+    back = np.frombuffer(hashes, np.uint64)[::-1].tobytes()
+    starts = np.concatenate([[0], upto[:-1]])
+    earliest = np.searchsorted(upto, starts[found.at] - window_words, side="right")
+    latest = np.minimum(n, np.searchsorted(upto, upto[found.to] + window_words) + 1)
+    key = struct.pack(">BQQ", doc_id is None, (doc_id or 0) + (1 << 63), text_hash + (1 << 63))
+    for gram, at, to, low, high in zip(found.gram.tolist(), found.at.tolist(), found.to.tolist(), earliest.tolist(), latest.tolist()):
+        named = gram.to_bytes(_UNIT, "big", signed=True)
+        yield (gram, key + at.to_bytes(4, "big"), to - at + 1, named + back[_UNIT * (n - at) : _UNIT * (n - low)],
+               named + hashes[_UNIT * (to + 1) : _UNIT * high])
+
+
+def _shared(one: bytes, two: bytes) -> int:
+    """How many units two keys have in common from the start."""
+    n = min(len(one), len(two))
+    if one[:n] == two[:n]:
+        return n // _UNIT
+    differ = int.from_bytes(one[:n], "big") ^ int.from_bytes(two[:n], "big")
+    return (n - (differ.bit_length() + 7) // 8) // _UNIT
+
+
+def _nearest(group: list[tuple], joints: list[int]) -> tuple[list[int], list[bytes]]:
+    """For each ``(place, depth, ...)`` the units it shares with any earlier place that stands before it in the list, and for the
+    last one the earliest place for each number of units; ``joints`` are the units each shares with the one before it."""
+    least: list[bytes] = []  # earliest place that shares so many units and one
+    units = []
+    for (place, depth, *_), joint in zip(group, joints):
+        del least[joint:]
+        found = bisect_left(least, place)
+        units.append(found)
+        least[found:] = [place] * (depth - found)
+    return units, least
+
+
+def _sorted_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How far each place goes on like an earlier one of this partition, and what the neighbouring partitions need.
+
+    Rows of the first and last fingerprint may have their match over the border; they say how much they share with the first
+    and the last key. A row without a place has the partition's first and last keys and the earliest places beside them.
+    """
+    part = TaskContext.get().partitionId()
+    border: dict = {}
+
+    def close(group: list[tuple], joints: list[int], key: bytes, trails: bool) -> Iterator[tuple]:
+        leads = not border
+        on, end = _nearest(group, joints)
+        back, begin = _nearest(group[::-1], [0, *joints[:0:-1]])
+        back.reverse()
+        if leads:
+            border.update(first=group[0][2], begin=begin)
+        if trails:
+            border.update(last=key, end=end)
+        lead = trail = [0] * len(group)
+        if leads:
+            lead = [group[0][1]]
+            for joint in joints[1:]:
+                lead.append(min(lead[-1], joint))
+        if trails:
+            trail = [group[-1][1]]
+            for joint in joints[:0:-1]:
+                trail.append(min(trail[-1], joint))
+            trail.reverse()
+        for (place, _, _, lines), a, b, c, d in zip(group, on, back, lead, trail):
+            if a or b or c or d:
+                yield part, place, lines, max(a, b), c, d, None, None, None, None
+
+    def rows() -> Iterator[tuple]:
+        group: list[tuple] = []
+        joints: list[int] = []
+        before = b""
+        for batch in batches:
+            for key, place, lines in zip(*(batch.column(c).to_pylist() for c in ("key", "place", "lines"))):
+                joint = _shared(before, key)
+                if not joint and group:
+                    yield from close(group, joints, before, False)
+                    group, joints = [], []
+                # only the first key is asked for later
+                group.append((place, len(key) // _UNIT, None if group or border else key, lines))
+                joints.append(joint)
+                before = key
+        if group:
+            yield from close(group, joints, before, True)
+            yield part, None, None, None, None, None, border["first"], border["last"], border["begin"], border["end"]
+
+    return batches_of(_REACH, rows())
+
+
+def _least(one: list[bytes], two: list[bytes]) -> list[bytes]:
+    longer, shorter = (one, two) if len(one) >= len(two) else (two, one)
+    return [min(a, b) for a, b in zip(longer, shorter)] + longer[len(shorter):]
+
+
+def _over_borders(parts: list) -> dict[int, tuple[list[bytes], list[bytes]]]:
+    """For each partition the earliest places of those before it and of those behind it, by units shared with its first and last key."""
+    parts = sorted(parts, key=lambda r: r["part"])
+    into: dict[int, list] = {r["part"]: [[], []] for r in parts}
+    for way, (near, far, ends) in enumerate((("first", "last", "end"), ("last", "first", "begin"))):
+        chain = parts if way == 0 else parts[::-1]
+        for here, there in zip(chain, chain[1:]):
+            through = into[here["part"]][way][: _shared(here["first"], here["last"])]
+            into[there["part"]][way] = _least(here[ends], through)[: _shared(here[far], there[near])]
+    return {part: (ahead, behind) for part, (ahead, behind) in into.items() if ahead or behind}
+
+
+def _reached(records: DataFrame, side: str) -> DataFrame:
+    """``doc_id, text_hash, first, last``: each place as far as it goes on like any earlier one, on one side."""
+    ordered = records.select(F.col(side).alias("key"), "place", "lines").repartitionByRange("key", "place").sortWithinPartitions("key", "place")
+    found = stage(ordered.mapInArrow(_sorted_pass, _REACH_DDL))
+    # one row a partition
+    borders = _over_borders(found.where("place IS NULL").select("part", "first", "last", "begin", "end").collect())
+    sent = records.sparkSession.sparkContext.broadcast(borders)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        into = sent.value
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for part, place, lines, units, lead, trail in zip(
+                    *(batch.column(c).to_pylist() for c in ("part", "place", "lines", "units", "lead", "trail"))
+                ):
+                    if (lead or trail) and part in into:
+                        ahead, behind = into[part]
+                        units = max(units, bisect_left(ahead[:lead], place), bisect_left(behind[:trail], place))
+                    if units:
+                        nameless, doc_id, text_hash, at = struct.unpack(">BQQI", place)
+                        first, last = (at, at + lines + units - 2) if side == "behind" else (at - units + 1, at + lines - 1)
+                        yield None if nameless else doc_id - (1 << 63), text_hash - (1 << 63), first, last
+
+        return batches_of(_RUN, rows())
+
+    return found.where("place IS NOT NULL").drop("first", "last", "begin", "end").mapInArrow(settle, _RUN_DDL)
 
 
 def repeated_runs(
@@ -113,58 +300,22 @@ def repeated_runs(
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")))
-            yield from batches_of(_PICK, (
-                (gram, doc_id, text_hash, at)
-                for doc_id, text_hash, text in texts
-                for gram, at, *_ in fingerprints(worded_lines(text), gram_words, window_words)
-            ))
+            grams = [fingerprints(text, gram_words, window_words).gram for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*grams, np.zeros(0, np.int64)]), pa.int64())], ["gram"])
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = zip(batch.column("text").to_pylist(), batch.column("asked").to_pylist())
+            texts = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")))
             yield from batches_of(_RECORD, (
-                (gram, rank, lines, _running(gram, _BEFORE, before), _running(gram, _BEHIND, behind))
-                for text, asked in texts for ranks in ({a["at"]: a["rank"] for a in asked},)
-                for gram, at, lines, before, behind in fingerprints(worded_lines(text), gram_words, window_words)
-                if (rank := ranks.get(at)) is not None
-            ), 4000)
+                row for doc_id, text_hash, text in texts
+                for row in _records(doc_id, text_hash, fingerprints(text, gram_words, window_words), window_words)))
 
     texts = text_columns(docs, id_col, text_col, _text_hash(text_col))
-    picks = stage(texts.mapInArrow(scan, _PICK_DDL))
-    # stored, so that the joins shuffle both sides and the engine can split a fingerprint that a third of all texts hold
-    repeated = stage(picks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
-    named = [F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "text_hash"]
-    # one row a place, numbered in the order of places
-    ranked = stage(
-        picks.join(repeated, "gram").select("doc_id", *named, "at").distinct()
-        .repartitionByRange("nameless", "id", "text_hash", "at").sortWithinPartitions("nameless", "id", "text_hash", "at")
-        .withColumn("rank", F.monotonically_increasing_id())
-    )
-    # only texts with a repeated fingerprint are read again, for the lines around it
-    asked = ranked.groupBy("nameless", "id", "text_hash").agg(F.collect_list(F.struct("at", "rank")).alias("asked"))
-    concerned = with_candidates(texts, ranked, "doc_id", F.col("doc_id"), "touched").where("touched")
-    found = stage(
-        concerned.select("text", *named).join(asked, ["nameless", "id", "text_hash"]).select("text", "asked").mapInArrow(around, _RECORD_DDL))
-
-    def reached(side: str, sign: int) -> Column:
-        """``hash, far`` of each running hash; ``far`` is how many lines it goes on behind the fingerprint, or less than 0 before it."""
-        return F.transform(side, lambda h, i: F.struct(h.alias("hash"), (F.lit(sign) * (i + 1)).cast("int").alias("far")))
-
-    alone = F.array(F.struct(F.col("gram").alias("hash"), F.lit(0).cast("int").alias("far")))
-    held = found.select("rank", F.inline(F.concat(alone, reached("before", -1), reached("behind", 1))))
-    firsts = stage(
-        held.groupBy("hash").agg(F.min("rank").alias("f"), F.max("rank").alias("l")).where("f < l").select("hash", "f"))
-    # longer prefixes have later first places, so the longest one held earlier reaches as far as any earlier place does
-    reach = stage(
-        held.join(firsts, "hash").where("f < rank")
-        .groupBy("rank").agg(F.min("far").alias("back"), F.max("far").alias("on"))
-    )
-    return (
-        reach.join(ranked, "rank").join(found.select("rank", "lines").distinct(), "rank")
-        .select("doc_id", "text_hash", (F.col("at") + F.col("back")).alias("first"), (F.col("at") + F.col("lines") - 1 + F.col("on")).alias("last"))
-        .distinct()
-    )
+    repeated = stage(
+        texts.select("text").mapInArrow(scan, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
+    # told by a filter, so few rows besides those of repeated fingerprints are stored; the others match nothing
+    records = stage(with_candidates(texts.mapInArrow(around, _RECORD_DDL), repeated, "gram", F.col("gram"), "may").where("may").drop("gram", "may"))
+    return _reached(records, "before").unionByName(_reached(records, "behind"))
 
 
 def _text_hash(text_col: str) -> Column:
@@ -173,24 +324,35 @@ def _text_hash(text_col: str) -> Column:
 
 def cut_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     """The text without the stretches of the runs, and how many lines lost any."""
-    gone = set()
+    found = stretches(text)
+    data, breaks, n = found.data, found.breaks, len(found.upto)
+    change = np.zeros(n + 1, np.int64)
     for first, last in runs:
-        gone.update(range(first, last + 1))
-    kept, at, touched = [], 0, 0
-    for line in text.encode("utf-8").split(b"\n"):
-        spans = [m.span() for m in _WORD.finditer(line)]
-        begins = [0, *_stops([line[slice(*span)] for span in spans])][:-1] if spans else []
-        stays = [at + k not in gone for k in range(len(begins))]
-        at += len(begins)
-        if all(stays):
-            kept.append(line)
-            continue
-        touched += 1
-        if any(stays):
-            edges = [spans[i][0] for i in begins] + [len(line)]
-            left = b"".join(line[edges[k] : edges[k + 1]] for k, stay in enumerate(stays) if stay)
-            kept.append(line[: edges[0]] + (left if stays[-1] else left.rstrip()))
-    return b"\n".join(kept).decode("utf-8"), touched
+        change[first] += 1
+        change[last + 1] -= 1
+    gone = np.cumsum(change[:n]) > 0
+    starts = found.starts[found.first_words()]
+    line = np.searchsorted(breaks, starts)
+    touched = np.unique(line[gone]).tolist()
+    kept = bytearray()
+    at = 0
+    for number in touched:
+        begin = int(breaks[number - 1]) + 1 if number else 0
+        end = int(breaks[number]) if number < len(breaks) else len(data)
+        kept += data[at:begin]
+        low, high = np.searchsorted(line, [number, number + 1]).tolist()
+        stays = ~gone[low:high]
+        if stays.any():
+            edges = [*starts[low:high].tolist(), end]
+            left = b"".join(data[edges[k] : edges[k + 1]] for k in np.flatnonzero(stays).tolist())
+            kept += data[begin : edges[0]] + (left if stays[-1] else left.rstrip())
+            at = end
+        else:
+            at = end + 1
+            if end == len(data) and kept:
+                del kept[-1]  # a last line goes with the line feed before it
+    kept += data[at:]
+    return kept.decode("utf-8"), len(touched)
 
 
 def dedup_lines(

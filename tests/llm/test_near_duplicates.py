@@ -1,6 +1,7 @@
 """SimHash groups, components, line runs and the id filter against brute force."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -103,29 +104,48 @@ def test_filter_never_misses_a_member(spark):
 # ---- lines
 
 
-def slow_cuts(rows, gram_words, window_words):
-    """The same definition without a shuffle: first occurrence of each fingerprint, extension line by line."""
-    order = sorted({(i is None, i or 0, _hash(t), t) for i, t in rows})
-    first, records = {}, []
-    for key in order:
-        for gram, at, n, _, _ in line_dedup.fingerprints(line_dedup.worded_lines(key[3]), gram_words, window_words):
-            place = (key, at)
-            records.append((gram, place, n))
-            if gram not in first or place < first[gram]:
-                first[gram] = place
-    gone = defaultdict(set)
-    lines = {key: line_dedup.worded_lines(key[3]) for key in order}
-    for gram, (key, at), n in records:
-        other, from_ = first[gram]
-        if (key, at) == (other, from_):
-            continue
-        low, high = 0, n
-        while at - low > 0 and from_ - low > 0 and lines[key][at - low - 1] == lines[other][from_ - low - 1]:
-            low += 1
-        while at + high < len(lines[key]) and from_ + high < len(lines[other]) and lines[key][at + high] == lines[other][from_ + high]:
-            high += 1
-        gone[key[:3]].update(range(at - low, at + high))
-    return gone
+def slow_lines(text):
+    """Stretches word by word: they end with a line, a sentence, or a word that its bytes pick."""
+    found = []
+    for raw in text.split("\n"):
+        held = []
+        for word in re.findall(rb"[^\x20\x09-\x0D]+", raw.encode()):
+            held.append(word)
+            h = (sum(word) * 0x9E3779B1 + len(word) * 0x85EBCA77 + word[0] * 0xC2B2AE3D + word[-1] * 0x27D4EB2F) % 2**32
+            h = ((h ^ h >> 15) * 0x2C1B3C6D) % 2**32
+            if (h ^ h >> 12) % 16 == 0 or word[-1] in b".!?":
+                found.append(b" ".join(held))
+                held = []
+        if held:
+            found.append(b" ".join(held))
+    return found
+
+
+def _signed(data):
+    value = xxhash.xxh64_intdigest(data)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def slow_prints(lines, gram_words, window_words):
+    """``gram, at, lines`` of the grams that some window selects."""
+    sizes = [line.count(b" ") + 1 for line in lines]
+
+    def last(i, words):
+        for e in range(i, len(lines)):
+            words -= sizes[e]
+            if words <= 0:
+                return e
+        return None
+
+    value = {}
+    for i in range(len(lines)):
+        if (e := last(i, gram_words)) is not None:
+            value[i] = (_signed(b"".join(xxhash.xxh64_intdigest(x).to_bytes(8, "little") for x in lines[i : e + 1])), e)
+    chosen = set()
+    for i in range(len(lines)):
+        if (end := last(i, window_words)) is not None:
+            chosen.add(min((value[j][0], j) for j in range(i, len(lines)) if j in value and value[j][1] <= end)[1])
+    return [(value[j][0], j, value[j][1] - j + 1) for j in sorted(chosen)]
 
 
 def _hash(text):
@@ -133,6 +153,44 @@ def _hash(text):
     return value - (1 << 64) if value >> 63 else value
 
 
+def slow_cut(text, gone):
+    """The text without some stretches, and how many lines lost any."""
+    kept, at, touched = [], 0, 0
+    for line in text.split("\n"):
+        own = slow_lines(line)
+        stays = [at + k not in gone for k in range(len(own))]
+        at += len(own)
+        if all(stays):
+            kept.append(line)
+            continue
+        touched += 1
+        if any(stays):
+            rest, pieces = line.encode(), []
+            for k, stretch in enumerate(own):
+                here = re.match(rb"\s*" + rb"[\x20\x09-\x0D]+".join(map(re.escape, stretch.split())) + rb"[\x20\x09-\x0D]*", rest).group()
+                lead = here[: len(here) - len(here.lstrip())]
+                if k == 0:
+                    pieces.append(lead)
+                if stays[k]:
+                    pieces.append(here[len(lead):])
+                rest = rest[len(here):]
+            left = b"".join(pieces[1:])
+            kept.append((pieces[0] + (left if stays[-1] else left.rstrip())).decode())
+    return "\n".join(kept), touched
+
+
+def test_cutting_equals_brute_force(spark):
+    rng = random.Random(8)
+    texts = [t for _, t in pairs(awkward(spark))] + ["", "\n", "a\nb\nc", "a\n\nb", "  x. y  z! \n\n q\t r. s "]
+    for text in texts:
+        n = len(slow_lines(text))
+        for _ in range(6):
+            runs = [(a, min(n - 1, a + rng.randint(0, 4))) for a in rng.sample(range(n), min(n, rng.randint(0, 3)))]
+            gone = {i for a, b in runs for i in range(a, b + 1)}
+            assert line_dedup.cut_lines(text, runs) == slow_cut(text, gone)
+        assert line_dedup.cut_lines(text, [(0, n - 1)] if n else []) == slow_cut(text, set(range(n)))
+
+
 def planted(spark):
     rng = random.Random(3)
     passage = "\n".join(words(rng, 11) for _ in range(6))
@@ -151,27 +209,24 @@ def planted(spark):
     return spark.createDataFrame(rows, "doc_id long, text string"), passage, long_line
 
 
-def test_line_runs_equal_brute_force(spark):
+def test_planted_passages_stay_once(spark):
     df, passage, long_line = planted(spark)
-    for table, sizes in ((df, (25, 50)), (df, (10, 20)), (awkward(spark), (25, 50)), (spark.read.parquet(f"{SMALL}/documents.parquet"), (25, 50))):
-        rows = pairs(table)
-        want = slow_cuts(rows, *sizes)
-        got = defaultdict(set)
-        for r in line_dedup.repeated_runs(table, *sizes).collect():
-            got[r.doc_id is None, r.doc_id or 0, r.text_hash].update(range(r.first, r["last"] + 1))
-        # the records carry a window's worth of context; what is further off is reached from other fingerprints
-        assert got == {k: v for k, v in want.items() if v}
     cut = {r.doc_id: r for r in line_dedup.dedup_lines(df, count_as="n").collect()}
     assert sum(passage in r.text for r in cut.values()) == 1
     assert sum(long_line in r.text for r in cut.values()) == 1
     assert "short common line" in cut[10].text and cut[1].n == 0
-    assert not line_dedup.worded_lines(cut[100].text)
+    assert not slow_lines(cut[100].text)
+
+
+def test_stretches_equal_brute_force(spark):
+    for _, text in pairs(awkward(spark)) + pairs(spark.read.parquet(f"{SMALL}/documents.parquet")):
+        assert line_dedup.worded_lines(text) == slow_lines(text)
 
 
 def all_cuts(rows, window_words):
     """Lines inside a run of so many words that any earlier place holds, by comparing all pairs of places."""
     order = sorted({(i is None, i or 0, _hash(t), t) for i, t in rows})
-    lines = [line_dedup.worded_lines(key[3]) for key in order]
+    lines = [slow_lines(key[3]) for key in order]
     gone = defaultdict(set)
     for c, mine in enumerate(lines):
         for x, other in enumerate(lines[: c + 1]):
@@ -186,12 +241,12 @@ def all_cuts(rows, window_words):
 
 
 def any_cuts(rows, gram_words, window_words):
-    """``slow_cuts`` with every earlier occurrence of a fingerprint instead of its first one only."""
+    """Every place of a fingerprint against every earlier one, line by line, as far as a window's worth of lines."""
     order = sorted({(i is None, i or 0, _hash(t), t) for i, t in rows})
-    lines = {key: line_dedup.worded_lines(key[3]) for key in order}
+    lines = {key: slow_lines(key[3]) for key in order}
     places, gone = defaultdict(list), defaultdict(set)
     for key in order:
-        for gram, at, n, _, _ in line_dedup.fingerprints(lines[key], gram_words, window_words):
+        for gram, at, n in slow_prints(lines[key], gram_words, window_words):
             places[gram].append((key, at, n))
     for held in places.values():
         for c, (key, at, n) in enumerate(held):
@@ -205,13 +260,38 @@ def any_cuts(rows, gram_words, window_words):
     return gone
 
 
+def found_runs(table, *sizes):
+    got = defaultdict(set)
+    for r in line_dedup.repeated_runs(table, *sizes).collect():
+        got[r.doc_id is None, r.doc_id or 0, r.text_hash].update(range(r.first, r["last"] + 1))
+    return got
+
+
 def test_line_runs_equal_all_earlier_occurrences(spark):
     df, *_ = planted(spark)
     for table, sizes in ((df, (25, 50)), (df, (10, 20)), (awkward(spark), (25, 50)), (spark.read.parquet(f"{SMALL}/documents.parquet"), (25, 50))):
-        got = defaultdict(set)
-        for r in line_dedup.repeated_runs(table, *sizes).collect():
-            got[r.doc_id is None, r.doc_id or 0, r.text_hash].update(range(r.first, r["last"] + 1))
-        assert got == any_cuts(pairs(table), *sizes)
+        # the records carry a window's worth of lines; what is further off is reached from other fingerprints
+        assert found_runs(table, *sizes) == any_cuts(pairs(table), *sizes)
+
+
+def test_matches_over_the_borders_of_partitions(spark):
+    rng = random.Random(23)
+    common = [words(rng, 12) for _ in range(9)]
+    rows = []
+    for i in range(150):  # one passage in all texts, whole or in part, between lines that a few texts share
+        own = [words(random.Random(i % 7), 6), *common[: rng.randint(5, 9)], words(random.Random(i % 5), 9), words(rng, 4)]
+        rows.append((i, "\n".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = any_cuts(rows, 25, 50)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for parts in (1, 3, 60):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            assert found_runs(df, 25, 50) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_runs_shared_with_any_earlier_text_go(spark):
@@ -221,9 +301,7 @@ def test_runs_shared_with_any_earlier_text_go(spark):
     for i in range(60):  # parts meet in ever other company, so the first text with a fingerprint rarely shares all
         own = [line for _ in range(rng.randint(1, 4)) for line in rng.choice(parts)] + [words(rng, 5)]
         rows.append((i, "\n".join(own)))
-    got = defaultdict(set)
-    for r in line_dedup.repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"), 25, 50).collect():
-        got[False, r.doc_id, r.text_hash].update(range(r.first, r["last"] + 1))
+    got = found_runs(spark.createDataFrame(rows, "doc_id long, text string"), 25, 50)
     for key, want in all_cuts(rows, 50).items():
         assert want <= got[key]
 
@@ -241,16 +319,22 @@ def test_passages_inside_lines_go(spark):
             continue
         before, behind = text.split(passage)
         left = cut[i].text
-        # what is the text's own stays, and of the passage at most the ends that share a stretch with it
+        # what is the text's own stays, and of the passage just the ends that share a stretch with it
         assert cut[i].n == 1 and left.startswith(before.rstrip()) and left.endswith(behind.split("\n")[-1].strip(".").lstrip())
-        assert len(left.split()) - len(before.split()) - len(behind.replace(".", " ").split()) <= 30
+        begin, at, ends = len(before.split()), 0, 0
+        for stretch in slow_lines(text):
+            n = len(stretch.split())
+            if at < begin < at + n or at < begin + len(passage.split()) < at + n:
+                ends += min(at + n, begin + len(passage.split())) - max(at, begin)
+            at += n
+        assert len(left.split()) - len(before.split()) - len(behind.strip(".").split()) <= ends < len(passage.split()) - 50
         assert all(w in left for w in behind.split()[1:])
 
 
 def test_first_occurrence_of_every_line_stays(spark):
     df, *_ = planted(spark)
-    before = {line for _, t in pairs(df) for line in line_dedup.worded_lines(t)}
-    after = {line for r in line_dedup.dedup_lines(df).collect() for line in line_dedup.worded_lines(r.text)}
+    before = {line for _, t in pairs(df) for line in slow_lines(t)}
+    after = {line for r in line_dedup.dedup_lines(df).collect() for line in slow_lines(r.text)}
     assert before == after
 
 
