@@ -19,11 +19,11 @@ import struct
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -51,123 +51,182 @@ _RUN = {"doc_id": pa.int64(), "text_hash": pa.int64(), "first": pa.int32(), "las
 _RUN_DDL = "doc_id long, text_hash long, first int, last int"
 
 
+#: Bytes of text whose words are hashed at once, and whose stretches are found at once (but for longer single texts).
+_PIECE = 1 << 20
+
+
 def _mixed(values: np.ndarray) -> np.ndarray:
-    values = values ^ (values >> np.uint32(15))
-    values = values * np.uint32(0x2C1B3C6D)
-    return values ^ (values >> np.uint32(12))
+    """64-bit numbers, each spread over all bits."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+@lru_cache(maxsize=8)
+def _table(kind: int, size: int) -> np.ndarray:
+    return _mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind)) | np.uint64(1)
+
+
+def _factors(kind: int, size: int) -> np.ndarray:
+    """An odd factor for each place in a sequence; what is hashed is the sum of items times their factors."""
+    return _table(kind, 1 << max(6, int(size - 1).bit_length()))
+
+
+_WORD, _STRETCH, _GRAM = 1, 2, 3
+
+
+def _running(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+
+
+def _word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    found = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + _PIECE)))
+        low, high = int(starts[i]), int(ends[j - 1])
+        begin, end = starts[i:j] - low, ends[i:j] - low
+        longest = int((end - begin).max())
+        place = np.arange(high - low) - np.repeat(begin, np.diff(np.append(begin, high - low)))
+        sums = _running((raw[low:high].astype(np.uint64) + np.uint64(1)) * _factors(_WORD, longest)[np.minimum(place, longest - 1)])
+        found[i:j] = sums[end] - sums[begin]
+        i = j
+    return _mixed(found)
 
 
 @dataclass(frozen=True)
 class Stretches:
-    """The stretches of a text: words (as byte ranges), and the number of words up to the end of each stretch."""
+    """The stretches of some texts: words as byte ranges, and the number of words up to the end of each stretch."""
 
-    data: bytes
+    data: bytes  # of all texts, with a line feed between them
+    bounds: np.ndarray  # where each text begins, and one behind the last
     starts: np.ndarray
     ends: np.ndarray
+    words: np.ndarray  # hashes
     breaks: np.ndarray  # places of line feeds
     upto: np.ndarray
+    first: np.ndarray  # the first stretch of each text, and one behind the last
 
     def first_words(self) -> np.ndarray:
-        return np.concatenate([[0], self.upto[:-1]]).astype(np.int64) if len(self.upto) else self.upto
-
-    def texts(self) -> list[bytes]:
-        """Each stretch with its words parted by one space."""
-        if not len(self.upto):
-            return []
-        data, starts, ends = self.data, self.starts, self.ends
-        raw = np.frombuffer(data, np.uint8)
-        odd = np.ones(len(starts), np.int64)
-        odd[:-1] = (starts[1:] != ends[:-1] + 1) | (raw[ends[:-1]] != 32)
-        odd = np.concatenate([[0], np.cumsum(odd)])
-        first, last = self.first_words(), self.upto - 1
-        plain = odd[last] == odd[first]
-        spans = zip(starts[first].tolist(), ends[last].tolist(), plain.tolist())
-        return [data[a:b] if p else b" ".join(data[a:b].split()) for a, b, p in spans]
-
-
-def stretches(text: str) -> Stretches:
-    data = text.encode("utf-8")
+        return np.concatenate([np.zeros(1, np.int64), self.upto[:-1]])[: len(self.upto)]
+
+
+def stretches(texts: list[bytes]) -> Stretches:
+    data = b"\n".join(texts)
+    bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
     raw = np.frombuffer(data, np.uint8)
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[raw], [True]]).view(np.int8)))
+    space = np.ones(len(raw) + 2, np.int8)
+    space[1:-1] = _SPACE[raw]
+    edges = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edges[::2], edges[1::2]
     breaks = np.flatnonzero(raw == 10)
-    if not len(starts):
-        return Stretches(data, starts, ends, breaks, starts)
+    words = _word_hashes(raw, starts, ends)
     # whether a stretch ends with a word does not depend on what is around the word, but for the end of its line
-    total = np.concatenate([[0], np.cumsum(raw, dtype=np.int64)])
-    with np.errstate(over="ignore"):
-        picked = _mixed(
-            (total[ends] - total[starts]).astype(np.uint32) * np.uint32(0x9E3779B1) + (ends - starts).astype(np.uint32) * np.uint32(0x85EBCA77)
-            + raw[starts] * np.uint32(0xC2B2AE3D) + raw[ends - 1] * np.uint32(0x27D4EB2F)) % np.uint32(STRETCH_WORDS) == 0
     line = np.searchsorted(breaks, starts)
-    stop = picked | _STOP[raw[ends - 1]] | np.concatenate([line[1:] != line[:-1], [True]])
-    return Stretches(data, starts, ends, breaks, np.flatnonzero(stop) + 1)
+    stop = (words % np.uint64(STRETCH_WORDS) == 0) | _STOP[raw[ends - 1]]
+    stop |= np.concatenate([line[1:] != line[:-1], [True]])[: len(line)]
+    upto = np.flatnonzero(stop) + 1
+    first = np.searchsorted(starts[np.concatenate([np.zeros(1, np.int64), upto[:-1]])[: len(upto)]], bounds)
+    return Stretches(data, bounds, starts, ends, words, breaks, upto, first)
 
 
 def worded_lines(text: str) -> list[bytes]:
-    """The stretches of all lines, their words parted by one space."""
-    return stretches(text).texts()
+    """The stretches of all lines of a text, their words parted by one space."""
+    found = stretches([text.encode("utf-8")])
+    spans = zip(found.first_words().tolist(), found.upto.tolist())
+    words = [found.data[a:b] for a, b in zip(found.starts.tolist(), found.ends.tolist())]
+    return [b" ".join(words[a:b]) for a, b in spans]
 
 
 @dataclass(frozen=True)
 class Prints:
-    """Fingerprints of a text: hashes of its stretches, and gram, first and last stretch of each."""
+    """Fingerprints of some texts: hashes of all stretches, and gram, first and last stretch of each fingerprint."""
 
-    hashes: bytes
+    hashes: np.ndarray
     upto: np.ndarray
+    first: np.ndarray
     gram: np.ndarray
     at: np.ndarray
     to: np.ndarray
 
 
-_NOTHING = Prints(b"", *[np.zeros(0, np.int64)] * 4)
-
-
-def fingerprints(text: str, gram_words: int, window_words: int) -> Prints:
-    found = stretches(text)
-    if not len(found.upto):
-        return _NOTHING
-    upto = found.upto
+def fingerprints(texts: list[bytes], gram_words: int, window_words: int) -> Prints:
+    found = stretches(texts)
+    upto, first, n = found.upto, found.first, len(found.upto)
+    none = np.zeros(0, np.int64)
+    if not n:
+        return Prints(np.zeros(0, np.uint64), upto, first, none, none, none)
     starts = found.first_words()
-    n = len(upto)
-    # the last line of the shortest run with so many words from each line on; n if there is none
+    place = np.arange(len(found.words)) - np.repeat(starts, upto - starts)
+    sums = _running(found.words * _factors(_STRETCH, int(place.max()) + 1)[place])
+    hashes = _mixed(sums[upto] - sums[starts])
+    # the last line of the shortest run with so many words from each line on; it must be of the same text
+    behind = np.repeat(first[1:], np.diff(first))
     gram_end, window_end = np.searchsorted(upto, starts + gram_words), np.searchsorted(upto, starts + window_words)
-    windows = int(np.searchsorted(window_end, n))  # ends never fall, so these are the first ones
-    if not windows:
-        return _NOTHING
-    grams = int(np.searchsorted(gram_end, n))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(map(digest, found.texts()), np.uint64, n).tobytes()
-    spans = zip(range(0, _UNIT * grams, _UNIT), (_UNIT * (gram_end[:grams] + 1)).tolist())
-    values = np.fromiter((digest(hashes[a:b]) for a, b in spans), np.uint64, grams).view(np.int64)
+    grams, windows = np.flatnonzero(gram_end < behind), np.flatnonzero(window_end < behind)
+    if not len(windows):
+        return Prints(hashes, upto, first, none, none, none)
+    value = np.zeros(n, np.uint64)
+    left, k = grams, 0
+    factor = _factors(_GRAM, gram_words + 1)
+    while len(left):
+        value[left] += hashes[left + k] * factor[k]
+        k += 1
+        left = left[gram_end[left] >= left + k]
+    value = _mixed(value).view(np.int64)
     # the leftmost least gram of each window, which holds those that end within it
-    wide = np.searchsorted(gram_end[:grams], window_end[:windows], side="right") - np.arange(windows)
-    best = np.arange(windows)
-    least = values[:windows].copy()
+    wide = np.searchsorted(gram_end, window_end[windows], side="right") - windows
+    best, least = windows.copy(), value[windows]
     for k in range(1, int(wide.max())):
-        open_ = np.flatnonzero(wide > k)
-        other = values[open_ + k]
-        lower = other < least[open_]
-        best[open_[lower]], least[open_[lower]] = open_[lower] + k, other[lower]
+        more = np.flatnonzero(wide > k)
+        other = value[windows[more] + k]
+        lower = other < least[more]
+        best[more[lower]], least[more[lower]] = windows[more[lower]] + k, other[lower]
     at = np.unique(best)
-    return Prints(hashes, upto, values[at], at, gram_end[at])
+    return Prints(hashes, upto, first, value[at], at, gram_end[at])
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], slice]]:
+    """The texts of a batch, some at a time."""
+    texts = batch.column("text").cast(pa.binary()).to_pylist()
+    at = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= _PIECE or i + 1 == len(texts):
+            yield texts[at : i + 1], slice(at, i + 1)
+            at, size = i + 1, 0
+
+
+def _binary(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Byte strings of the given lengths, one behind the other."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
 
 
-def _records(doc_id: int | None, text_hash: int, found: Prints, window_words: int) -> Iterator[tuple]:
+def _records(doc_ids: pa.Array, text_hashes: pa.Array, found: Prints, window_words: int) -> pa.RecordBatch:
     """A row of ``_RECORD`` for each fingerprint; the lines before it are nearest first."""
-    if not len(found.at):
-        return
-    hashes, upto = found.hashes, found.upto
-    n = len(upto)
-    back = np.frombuffer(hashes, np.uint64)[::-1].tobytes()
-    starts = np.concatenate([[0], upto[:-1]])
-    earliest = np.searchsorted(upto, starts[found.at] - window_words, side="right")
-    latest = np.minimum(n, np.searchsorted(upto, upto[found.to] + window_words) + 1)
-    key = struct.pack(">BQQ", doc_id is None, (doc_id or 0) + (1 << 63), text_hash + (1 << 63))
-    for gram, at, to, low, high in zip(found.gram.tolist(), found.at.tolist(), found.to.tolist(), earliest.tolist(), latest.tolist()):
-        named = gram.to_bytes(_UNIT, "big", signed=True)
-        yield (gram, key + at.to_bytes(4, "big"), to - at + 1, named + back[_UNIT * (n - at) : _UNIT * (n - low)],
-               named + hashes[_UNIT * (to + 1) : _UNIT * high])
+    at, to, upto, first = found.at, found.to, found.upto, found.first
+    text = np.searchsorted(first, at, side="right") - 1
+    starts = np.concatenate([np.zeros(1, np.int64), upto[:-1]])[: len(upto)]
+    low = np.maximum(first[text], np.searchsorted(upto, starts[at] - window_words, side="right"))
+    high = np.minimum(first[text + 1], np.searchsorted(upto, upto[to] + window_words) + 1)
+    place = np.zeros(len(at), [("nameless", "u1"), ("id", ">u8"), ("text", ">u8"), ("at", ">u4")])
+    flip = np.uint64(1 << 63)
+    place["nameless"] = np.asarray(doc_ids.is_null())[text]
+    place["id"] = np.asarray(pc.fill_null(doc_ids, 0)).astype(np.int64).view(np.uint64)[text] ^ flip
+    place["text"] = np.asarray(text_hashes).astype(np.int64).view(np.uint64)[text] ^ flip
+    place["at"] = at - first[text]
+
+    def keys(count: np.ndarray, way: int, begin: np.ndarray) -> pa.Array:
+        ends = np.cumsum(count + 1)
+        step = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - count - 1, count + 1)
+        units = found.hashes[np.repeat(begin, count + 1) + way * step]
+        units[step == 0] = found.gram.view(np.uint64)
+        return _binary(units, (count + 1) * _UNIT)
+
+    return pa.RecordBatch.from_arrays([
+        pa.array(found.gram), _binary(place, np.full(len(at), place.itemsize)), pa.array((to - at + 1).astype(np.int32)),
+        keys(at - low, -1, at), keys(high - 1 - to, 1, to)], list(_RECORD))
 
 
 def _shared(one: bytes, two: bytes) -> int:
@@ -300,15 +359,14 @@ def repeated_runs(
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [fingerprints(text, gram_words, window_words).gram for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*grams, np.zeros(0, np.int64)]), pa.int64())], ["gram"])
+            for texts, _ in _pieces(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(fingerprints(texts, gram_words, window_words).gram)], ["gram"])
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")))
-            yield from batches_of(_RECORD, (
-                row for doc_id, text_hash, text in texts
-                for row in _records(doc_id, text_hash, fingerprints(text, gram_words, window_words), window_words)))
+            for texts, rows in _pieces(batch):
+                doc_ids, text_hashes = (batch.column(c)[rows.start : rows.stop] for c in ("doc_id", "text_hash"))
+                yield _records(doc_ids, text_hashes, fingerprints(texts, gram_words, window_words), window_words)
 
     texts = text_columns(docs, id_col, text_col, _text_hash(text_col))
     repeated = stage(
@@ -322,23 +380,25 @@ def _text_hash(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("text_hash")
 
 
-def cut_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without the stretches of the runs, and how many lines lost any."""
-    found = stretches(text)
-    data, breaks, n = found.data, found.breaks, len(found.upto)
-    change = np.zeros(n + 1, np.int64)
+def _cut(found: Stretches, text: int, runs: list[tuple[int, int]]) -> tuple[bytes, int]:
+    """One of the texts without the stretches of the runs (counted from its first one), and how many lines lost any."""
+    begin_at, end_at = int(found.bounds[text]), int(found.bounds[text + 1]) - 1
+    low, high = int(found.first[text]), int(found.first[text + 1])
+    data, breaks = found.data, found.breaks
+    change = np.zeros(high - low + 1, np.int64)
     for first, last in runs:
         change[first] += 1
         change[last + 1] -= 1
-    gone = np.cumsum(change[:n]) > 0
-    starts = found.starts[found.first_words()]
+    gone = np.cumsum(change[:-1]) > 0
+    upto = found.upto[low:high]
+    starts = found.starts[np.concatenate([[found.upto[low - 1] if low else 0], upto[:-1]])[: len(upto)]]
     line = np.searchsorted(breaks, starts)
     touched = np.unique(line[gone]).tolist()
     kept = bytearray()
-    at = 0
+    at = begin_at
     for number in touched:
-        begin = int(breaks[number - 1]) + 1 if number else 0
-        end = int(breaks[number]) if number < len(breaks) else len(data)
+        begin = max(begin_at, int(breaks[number - 1]) + 1 if number else 0)
+        end = min(end_at, int(breaks[number]) if number < len(breaks) else end_at)
         kept += data[at:begin]
         low, high = np.searchsorted(line, [number, number + 1]).tolist()
         stays = ~gone[low:high]
@@ -349,10 +409,16 @@ def cut_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
             at = end
         else:
             at = end + 1
-            if end == len(data) and kept:
+            if end == end_at and kept:
                 del kept[-1]  # a last line goes with the line feed before it
-    kept += data[at:]
-    return kept.decode("utf-8"), len(touched)
+    kept += data[at:end_at]
+    return bytes(kept), len(touched)
+
+
+def cut_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text without the stretches of the runs, and how many lines lost any."""
+    left, touched = _cut(stretches([text.encode("utf-8")]), 0, runs)
+    return left.decode("utf-8"), touched
 
 
 def dedup_lines(
@@ -394,11 +460,12 @@ def dedup_lines(
         for batch in batches:
             text, runs = batch.column(text_at), batch.column("runs")
             hit = runs.is_valid()
-            changed = [
-                cut_lines(t, [(r["first"], r["last"]) for r in rs])
-                for t, rs in zip(text.filter(hit).to_pylist(), runs.filter(hit).to_pylist())
-            ]
-            new = pc.replace_with_mask(text, hit, pa.array([t for t, _ in changed], text.type))
+            some = pa.RecordBatch.from_arrays([text.filter(hit), runs.filter(hit)], ["text", "runs"])
+            changed = []
+            for texts, rows in _pieces(some):
+                found, own = stretches(texts), some.column("runs")[rows.start : rows.stop].to_pylist()
+                changed += [_cut(found, i, [(r["first"], r["last"]) for r in rs]) for i, rs in enumerate(own)]
+            new = pc.replace_with_mask(text, hit, pa.array([t for t, _ in changed], pa.binary()).cast(text.type))
             cut_n = pc.replace_with_mask(pa.array(np.zeros(len(text), np.int64)), hit, pa.array([n for _, n in changed], pa.int64()))
             kept = [new if c == text_at else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*kept, cut_n], [*columns, "cut"])

@@ -104,16 +104,29 @@ def test_filter_never_misses_a_member(spark):
 # ---- lines
 
 
+def mixed(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def summed(items, kind):
+    """Items times an odd factor for each place, spread over all bits."""
+    return mixed(sum(v * (mixed(((i + 1) * 0x9E3779B97F4A7C15 + kind) % 2**64) | 1) for i, v in enumerate(items)) % 2**64)
+
+
+def word_hash(word):
+    return summed([b + 1 for b in word], 1)
+
+
 def slow_lines(text):
-    """Stretches word by word: they end with a line, a sentence, or a word that its bytes pick."""
+    """Stretches word by word: they end with a line, a sentence, or a word that its hash picks."""
     found = []
     for raw in text.split("\n"):
         held = []
         for word in re.findall(rb"[^\x20\x09-\x0D]+", raw.encode()):
             held.append(word)
-            h = (sum(word) * 0x9E3779B1 + len(word) * 0x85EBCA77 + word[0] * 0xC2B2AE3D + word[-1] * 0x27D4EB2F) % 2**32
-            h = ((h ^ h >> 15) * 0x2C1B3C6D) % 2**32
-            if (h ^ h >> 12) % 16 == 0 or word[-1] in b".!?":
+            if word_hash(word) % 16 == 0 or word[-1] in b".!?":
                 found.append(b" ".join(held))
                 held = []
         if held:
@@ -121,11 +134,6 @@ def slow_lines(text):
     return found
 
 
-def _signed(data):
-    value = xxhash.xxh64_intdigest(data)
-    return value - (1 << 64) if value >> 63 else value
-
-
 def slow_prints(lines, gram_words, window_words):
     """``gram, at, lines`` of the grams that some window selects."""
     sizes = [line.count(b" ") + 1 for line in lines]
@@ -140,7 +148,8 @@ def slow_prints(lines, gram_words, window_words):
     value = {}
     for i in range(len(lines)):
         if (e := last(i, gram_words)) is not None:
-            value[i] = (_signed(b"".join(xxhash.xxh64_intdigest(x).to_bytes(8, "little") for x in lines[i : e + 1])), e)
+            h = summed([summed([word_hash(w) for w in x.split()], 2) for x in lines[i : e + 1]], 3)
+            value[i] = (h - (1 << 64) if h >> 63 else h, e)
     chosen = set()
     for i in range(len(lines)):
         if (end := last(i, window_words)) is not None:
@@ -308,7 +317,7 @@ def test_runs_shared_with_any_earlier_text_go(spark):
 
 def test_passages_inside_lines_go(spark):
     rng = random.Random(5)
-    first, second = words(rng, 90), words(rng, 120)
+    first, second = words(rng, 150), words(rng, 160)
     rows = [(i, f"{words(rng, 30)} {first} {words(rng, 20 + i)}\n{words(rng, 9)}") for i in range(4)]
     rows += [(i, f"  {words(rng, 40)}. {second}.  {words(rng, 7)} ") for i in range(4, 7)]
     cut = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), count_as="n").collect()}
