@@ -123,6 +123,7 @@ def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query()
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """``held_out`` is NULL for a NULL id, whose remainder is unknown; such a row is never learned from."""
     docs = _table(spark, folder, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")), threshold=0.7)
     return scored.select("doc_id", (toxicity.fold(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
