@@ -3,35 +3,32 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
+from riskloom.operators import isotonic
 from riskloom.operators.evaluate import probability_metrics
 
 MIN_GAIN = 0.01
-GRID_PLACES = 4
 
 
 @dataclass
 class Calibrator:
-    """``none``, ``sigmoid`` with slope and intercept, or ``isotonic`` with its model."""
+    """``none``, ``sigmoid`` with slope and intercept, or ``isotonic`` with its fit."""
 
     kind: str = "none"
     slope: float = 1.0
     intercept: float = 0.0
-    model: Any = None
+    model: isotonic.IsotonicFit | None = None
 
     def apply(self, df: DataFrame, score: str, name: str = "calibrated") -> DataFrame:
         if self.kind == "sigmoid":
             margin = F.lit(self.slope) * F.col(score) + F.lit(self.intercept)
             return df.withColumn(name, 1.0 / (1.0 + F.exp(-margin)))
         if self.kind == "isotonic":
-            fitted = self.model.setFeaturesCol(score).setPredictionCol(name)
-            return fitted.transform(df)
+            return self.model.apply(df, score, name)
         return df.withColumn(name, F.col(score))
 
 
@@ -71,20 +68,9 @@ def fit_sigmoid(df: DataFrame, label: str, score: str, max_iter: int = 200) -> C
     return Calibrator("sigmoid", float(fit.coefficients[0]), float(fit.intercept))
 
 
-def fit_isotonic(df: DataFrame, label: str, score: str, places: int = GRID_PLACES) -> Calibrator:
-    """Monotone step-wise fit, interpolated between and clipped outside the boundaries.
-
-    Spark merges pooled blocks on the driver, and nearly monotone shares hardly
-    pool, so probabilities are fitted on a grid of ``places`` decimals: the driver
-    sees at most 10,001 points whatever the number of distinct scores.
-    """
-    pos, neg = F.col("_pos"), F.col("_neg")
-    gridded = df.select(F.col(label), F.round(F.col(score).cast("double"), places).alias(score))
-    data = _counts(gridded, label, score).select(
-        "_score", (pos / (pos + neg)).alias("_y"), (pos + neg).cast("double").alias("_w")
-    )
-    fit = IsotonicRegression(labelCol="_y", featuresCol="_score", weightCol="_w", isotonic=True).fit(data)
-    return Calibrator("isotonic", model=fit)
+def fit_isotonic(df: DataFrame, label: str, score: str) -> Calibrator:
+    """Monotone step-wise fit, interpolated between and constant outside the ends of the blocks."""
+    return Calibrator("isotonic", model=isotonic.fit(_counts(df, label, score), "_score", "_pos", "_neg"))
 
 
 def brier(df: DataFrame, label: str, score: str) -> float:

@@ -175,7 +175,7 @@ b{k} AS (SELECT a + (hb * ga - hab * gb) / (ha * hb - hab * hab) AS a, b + (ha *
 
 
 _HALVES = f"""
-s AS (SELECT event_id, label, round(score, 2) AS score FROM ({SCORED})),
+s AS (SELECT event_id, label, score FROM ({SCORED})),
 w AS (SELECT score AS x, sum(label) AS pos, sum(1 - label) AS neg FROM s WHERE event_id % 2 = 0 GROUP BY 1)"""
 _SIGMOID = f"""
 u AS (SELECT (sum(pos) + 1.0) / (sum(pos) + 2.0) AS hi, 1.0 / (sum(neg) + 2.0) AS lo FROM w),
@@ -185,9 +185,9 @@ sig AS (SELECT event_id, label, score, 1 / (1 + exp(-(a * score + b))) AS sigmoi
 # the isotonic fit at a score is the largest, over starts before it, of the smallest mean up to an end after it
 _ISOTONIC = """
 c AS (SELECT x, row_number() OVER (ORDER BY x) AS i, sum(pos) OVER (ORDER BY x) AS cp, sum(pos + neg) OVER (ORDER BY x) AS cn, pos, neg FROM w),
-m AS (SELECT j.i AS j, k.i AS k, (k.cp - j.cp + j.pos) / CAST(k.cn - j.cn + j.pos + j.neg AS DOUBLE) AS mean FROM c j JOIN c k ON k.i >= j.i),
-low AS (SELECT c.i, m.j, min(mean) AS v FROM c JOIN m ON m.j <= c.i AND m.k >= c.i GROUP BY 1, 2),
-iso AS (SELECT c.x, max(v) AS f FROM low JOIN c ON c.i = low.i GROUP BY 1),
+m AS (SELECT j.i AS j, k.i AS i, (k.cp - j.cp + j.pos) / CAST(k.cn - j.cn + j.pos + j.neg AS DOUBLE) AS mean FROM c j JOIN c k ON k.i >= j.i),
+low AS (SELECT j, i, min(mean) OVER (PARTITION BY j ORDER BY i DESC) AS v FROM m),
+iso AS (SELECT c.x, f FROM (SELECT i, max(v) AS f FROM low GROUP BY 1) h JOIN c ON c.i = h.i),
 q AS (SELECT DISTINCT score FROM s WHERE event_id % 2 = 1),
 near AS (SELECT score, max(CASE WHEN x <= score THEN x END) AS x0, min(CASE WHEN x >= score THEN x END) AS x1 FROM q, iso GROUP BY 1),
 fitted AS (SELECT score, CASE WHEN x0 IS NULL THEN r.f WHEN x1 IS NULL OR x0 = x1 THEN l.f
@@ -197,23 +197,23 @@ fitted AS (SELECT score, CASE WHEN x0 IS NULL THEN r.f WHEN x1 IS NULL OR x0 = x
 
 def _scored_halves(spark, d) -> tuple[DataFrame, DataFrame]:
     """Scored events in two halves: one to fit a calibrator, one to judge it."""
-    rows = scored(spark, d).select("event_id", "label", F.round("score", 2).alias("score"))
+    rows = scored(spark, d).select("event_id", "label", "score")
     return rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")
 
 
 @query("platt_calibration", f"""
-WITH {_HALVES}, {_SIGMOID} SELECT event_id, label, score, round(sigmoid, {_CALIBRATED}) AS calibrated FROM sig""")
+WITH {_HALVES}, {_SIGMOID} SELECT event_id, label, round(score, 9) AS score, round(sigmoid, {_CALIBRATED}) AS calibrated FROM sig""")
 def platt_calibration(spark, d):
     fit_rows, judge_rows = _scored_halves(spark, d)
-    return rounded(calibrate.fit_sigmoid(fit_rows, "label", "score").apply(judge_rows, "score"), {"calibrated": _CALIBRATED})
+    return rounded(calibrate.fit_sigmoid(fit_rows, "label", "score").apply(judge_rows, "score"), {"score": 9, "calibrated": _CALIBRATED})
 
 
 @query("isotonic_calibration", f"""
 WITH {_HALVES}, {_ISOTONIC}
-SELECT event_id, label, s.score, round(isotonic, {_CALIBRATED}) AS calibrated FROM s JOIN fitted ON s.score = fitted.score WHERE event_id % 2 = 1""")
+SELECT event_id, label, round(s.score, 9) AS score, round(isotonic, {_CALIBRATED}) AS calibrated FROM s JOIN fitted ON s.score = fitted.score WHERE event_id % 2 = 1""")
 def isotonic_calibration(spark, d):
     fit_rows, judge_rows = _scored_halves(spark, d)
-    return rounded(calibrate.fit_isotonic(fit_rows, "label", "score").apply(judge_rows, "score"), {"calibrated": _CALIBRATED})
+    return rounded(calibrate.fit_isotonic(fit_rows, "label", "score").apply(judge_rows, "score"), {"score": 9, "calibrated": _CALIBRATED})
 
 
 @query("calibration_choice", f"""

@@ -13,12 +13,12 @@ from typing import Any
 import pyspark
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.functions.scalars import numeric_columns, predicted_class, risk_band, string_columns
 from riskloom.operators import explain, model
 from riskloom.operators.calibrate import Calibrator, choose_calibrator
+from riskloom.operators.isotonic import IsotonicFit
 from riskloom.operators.evaluate import compact_metrics, threshold_candidates
 from riskloom.operators.features import FeatureEngineer
 from riskloom.operators.split import hash_text, train_valid_test
@@ -84,7 +84,7 @@ class Scorer:
         self.preprocessor.save(spark, f"{path}/preprocessor")
         self.booster.write().overwrite().save(f"{path}/booster")
         if self.calibrator.kind == "isotonic":
-            self.calibrator.model.write().overwrite().save(f"{path}/isotonic")
+            self.calibrator.model.save(f"{path}/isotonic")
         record = {
             "threshold": self.threshold,
             "version": self.version,
@@ -99,7 +99,7 @@ class Scorer:
         record = read_record(spark, f"{path}/scorer")
         engineer = FeatureEngineer(history, record["main_features"], record["final_features"]).load(spark, f"{path}/features")
         kind, slope, intercept = record["calibrator"]
-        isotonic = IsotonicRegressionModel.load(f"{path}/isotonic") if kind == "isotonic" else None
+        isotonic = IsotonicFit.load(spark, f"{path}/isotonic") if kind == "isotonic" else None
         return cls(
             engineer,
             Preprocessor.load(spark, f"{path}/preprocessor"),
@@ -127,6 +127,7 @@ def run_training(
     params: Mapping = model.BOOSTER_PARAMS,
     final_features: Sequence[str] | None = None,
     seed: int = 42,
+    patience: int = 50,
 ) -> tuple[Scorer, dict]:
     """Split, fit on train only, calibrate and pick the threshold on validation, report test once.
 
@@ -151,7 +152,7 @@ def run_training(
     parts = {p: assembled.where(F.col("part") == p) for p in ("train", "valid", "test")}
     keep = [c.TARGET, model.FEATURES]
     booster = model.fit_booster(
-        parts["train"].select(*keep), c.TARGET, params, parts["valid"].select(*keep), seed
+        parts["train"].select(*keep), c.TARGET, params, parts["valid"].select(*keep), seed, patience
     )
 
     valid = stage(model.with_probability(booster, parts["valid"], [c.KEY, c.TARGET], "raw_score"))
@@ -183,6 +184,7 @@ def run_training(
         "model": {
             "type": type(booster).__name__,
             "hyperparameters": dict(params),
+            "best_iteration": len(booster.treeWeights),
             "calibration_method": calibrator.kind,
             "calibration_brier": briers,
         },

@@ -44,13 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def _stages(spark: SparkSession) -> str:
+def stage_folder(spark: SparkSession) -> str:
+    """Folder of what this application stages."""
     return f"{shared_dir(spark).rstrip('/')}/riskloom/{spark.sparkContext.applicationId}"
 
 
 def clear_stages(spark: SparkSession) -> None:
     """Remove all tables this application staged; frames that read them end with it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -62,6 +63,6 @@ def stage(df: DataFrame) -> DataFrame:
     pass reads only the columns it needs.
     """
     spark = df.sparkSession
-    path = f"{_stages(spark)}/{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
