@@ -1,15 +1,16 @@
 """Distribution drift between a reference and a current table.
 
-All features go through one plan: both sides are stacked as
-``feature, value, side`` and collapsed to counts per distinct value before
-anything is ordered.
+All features go through one plan: each task adds up counts and sums of ranges of values,
+and only values of ranges that can decide a distance are ever exchanged and ordered.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.functions.binning import histogram_bin, histogram_edges
@@ -17,6 +18,7 @@ from riskloom.functions.scalars import numeric_columns
 from riskloom.operators.evaluate import calibration_error, full_metrics
 from riskloom.operators.ordered import BUCKET, running, with_buckets
 from riskloom.operators.profile import score_distribution
+from riskloom.session import stage
 
 # ---- fixed values: interpretation of the stability index, significance level
 STABLE_BELOW = 0.1
@@ -39,26 +41,6 @@ def _known(c: str) -> Column:
     return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
 
-def _stack(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Both sides as ``feature, value, is_reference``; the feature is its number in the list."""
-
-    def melt(df: DataFrame, is_reference: int) -> DataFrame:
-        coded = df.select(*[_known(c).alias(str(i)) for i, c in enumerate(features)])
-        return (
-            coded.unpivot([], coded.columns, "feature", "value")
-            .where(F.col("value").isNotNull())
-            .select(F.col("feature").cast("int").alias("feature"), "value", F.lit(is_reference).alias("is_reference"))
-        )
-
-    return melt(reference, 1).unionByName(melt(current, 0))
-
-
-def _value_counts(stacked: DataFrame) -> DataFrame:
-    return stacked.groupBy("feature", "value").agg(
-        F.sum("is_reference").alias("ref"), F.sum(1 - F.col("is_reference")).alias("cur")
-    )
-
-
 def reference_edges(reference: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[float]]:
     """Equal-width edges per feature over the finite reference range; none without values."""
     def finite(c: str) -> Column:
@@ -126,26 +108,121 @@ def kolmogorov_tail(x: Column, terms: int = 20) -> Column:
     return F.when(x <= 0.05, F.lit(1.0)).when(x < 1, near).otherwise(F.greatest(F.least(far, F.lit(1.0)), F.lit(0.0)))
 
 
+#: Ranges that the values of a feature are cut into; more of them open less of the data.
+RANGES = 2048
+_PIECES = "feature int, bucket int, ref long, cur long, ref_sum double, cur_sum double, low double, high double"
+
+
+def _cuts(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
+    """Ascending cut points of each feature over both sides, by a sketch of fixed size; any cuts give the same distances."""
+    shares = [i / RANGES for i in range(1, RANGES)]
+    both = reference.select(*[_known(c).alias(str(i)) for i, c in enumerate(features)]).unionByName(
+        current.select(*[_known(c).alias(str(i)) for i, c in enumerate(features)]))
+    row = both.agg(*[F.approx_percentile(f"`{i}`", shares, 2 * RANGES).alias(str(i)) for i in range(len(features))]).first()
+    return [np.unique(np.array(row[str(i)] or [], np.float64)) for i in range(len(features))]
+
+
+def _by_range(df: DataFrame, features: Sequence[str], cuts: list[np.ndarray], opened: list[np.ndarray] | None, is_reference: bool) -> DataFrame:
+    """Counts, sums and ends of each feature's ranges, added up by each task; or the values, with their counts, of opened ranges.
+
+    Columns are read side by side as Arrow batches: no row is taken apart.
+    """
+    sent = df.sparkSession.sparkContext.broadcast((cuts, opened))
+    schema = pa.schema([("feature", pa.int32()), ("bucket", pa.int32()), ("ref", pa.int64()), ("cur", pa.int64()),
+                        ("ref_sum", pa.float64()), ("cur_sum", pa.float64()), ("low", pa.float64()), ("high", pa.float64())])
+
+    def rows(feature: int, bucket: np.ndarray, n: np.ndarray, total: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
+        none, zero = np.zeros(len(n), np.int64), np.zeros(len(n))
+        columns = [np.full(len(n), feature, np.int32), bucket.astype(np.int32), n, none, total, zero, low, high]
+        if not is_reference:
+            columns[2:6] = [none, n, zero, total]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts, opened = sent.value
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for i, name in enumerate(batch.schema.names):
+                values = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                if not len(values):
+                    continue
+                bucket = np.searchsorted(cuts[i], values)
+                if opened is not None:
+                    inside = opened[i][bucket]
+                    if inside.any():
+                        distinct, n = np.unique(values[inside], return_counts=True)
+                        yield rows(i, np.searchsorted(cuts[i], distinct), n, distinct * n, distinct, distinct)
+                    continue
+                size = len(cuts[i]) + 1
+                if i not in held:
+                    held[i] = [np.zeros(size, np.int64), np.zeros(size), np.full(size, np.inf), np.full(size, -np.inf)]
+                n, total, low, high = held[i]
+                n += np.bincount(bucket, minlength=size)
+                total += np.bincount(bucket, values, minlength=size)
+                np.minimum.at(low, bucket, values)
+                np.maximum.at(high, bucket, values)
+        for i, (n, total, low, high) in held.items():
+            there = np.flatnonzero(n)
+            yield rows(i, there, n[there], total[there], low[there], high[there])
+
+    return df.select(*[_known(c).alias(f"f{i}") for i, c in enumerate(features)]).mapInArrow(read, _PIECES)
+
+
 def two_sample_distances(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``feature, ks_statistic, ks_p_value_asymptotic, ks_significant, wasserstein_distance``.
+    """``feature, ks_statistic, ks_p_value_asymptotic, ks_significant, wasserstein_distance``, both distances exact.
 
-    Both are read off the two running counts over the distinct values: the
-    largest gap, and the gap summed over the step to the next value.
+    The values of a feature are cut into ranges, and only each range's counts, sums and ends are exchanged. They give the gap of the two
+    shares at the ends of the range and bound it inside. Where it cannot change its sign, the range's part of the Wasserstein
+    distance is the difference of two sums; where it cannot exceed the largest gap at an end, it does not decide the KS
+    statistic. Only the values of ranges that may do either are exchanged, and ordered, in a second pass.
     """
-    stacked = _stack(reference, current, features)
-    bucketed = with_buckets(_value_counts(stacked), "value", ["feature"], sketch_from=stacked)
-    ranked = running(
-        bucketed, ["value"], {"cum_ref": F.col("ref"), "cum_cur": F.col("cur")}, ["feature"], following=["value"], whole=True
-    )
-    ref, cur = F.col("all_cum_ref"), F.col("all_cum_cur")
-    gap = F.abs(F.col("cum_ref") / F.nullif(ref, F.lit(0)) - F.col("cum_cur") / F.nullif(cur, F.lit(0)))
-    summed = ranked.groupBy("feature").agg(
-        F.max(gap).alias("_d"),
-        F.sum(gap * (F.col("next_value") - F.col("value"))).alias("_w"),
-        F.max(ref).cast("double").alias("_ref"),
-        F.max(cur).cast("double").alias("_cur"),
-    )
-    names = reference.sparkSession.createDataFrame(list(enumerate(features)), "feature int, name string")
+    spark = reference.sparkSession
+    cuts = _cuts(reference, current, features)
+
+    def both(opened: list[np.ndarray] | None) -> DataFrame:
+        return _by_range(reference, features, cuts, opened, True).unionByName(_by_range(current, features, cuts, opened, False))
+
+    pieces = both(None).groupBy("feature", "bucket").agg(
+        *[F.sum(c).alias(c) for c in ("ref", "cur", "ref_sum", "cur_sum")], F.min("low").alias("low"), F.max("high").alias("high"))
+    order = W.partitionBy("feature").orderBy("bucket")
+    upto = order.rowsBetween(W.unboundedPreceding, 0)
+    whole = W.partitionBy("feature")
+    ranges = pieces.select(
+        "*", F.sum("ref").over(upto).alias("upto_ref"), F.sum("cur").over(upto).alias("upto_cur"),
+        F.sum("ref").over(whole).alias("n_ref"), F.sum("cur").over(whole).alias("n_cur"), F.lead("low").over(order).alias("next"))
+    n_ref, n_cur = F.nullif(F.col("n_ref"), F.lit(0)), F.nullif(F.col("n_cur"), F.lit(0))
+    end = F.col("upto_ref") / n_ref - F.col("upto_cur") / n_cur
+    start = (F.col("upto_ref") - F.col("ref")) / n_ref - (F.col("upto_cur") - F.col("cur")) / n_cur
+    least, most = start - F.col("cur") / n_cur, start + F.col("ref") / n_ref
+    to = F.coalesce("next", "high")
+    area = F.abs(start * (to - F.col("low")) + (F.col("ref") * to - F.col("ref_sum")) / n_ref - (F.col("cur") * to - F.col("cur_sum")) / n_cur)
+    single = F.col("low") == F.col("high")
+    ranges = ranges.select("*", F.abs(end).alias("end_gap"), area.alias("area"), F.greatest(F.abs(least), F.abs(most)).alias("bound"),
+                           ((least < 0) & (most > 0)).alias("crosses"), start.alias("start"))
+    ranges = ranges.withColumn("best", F.max("end_gap").over(whole))
+    finite = (F.abs("low") < float("inf")) & (F.abs("high") < float("inf")) & (F.abs(to) < float("inf"))
+    # a range of one value has nothing inside: its gap is that at its end up to the next range
+    told = stage(ranges.select(
+        "feature", "bucket", "n_ref", "n_cur", "start", "next", "end_gap",
+        F.when(single, F.col("end_gap") * (F.coalesce("next", "low") - F.col("low"))).otherwise(F.col("area")).alias("area"),
+        F.coalesce(~single & ((F.col("bound") > F.col("best")) | F.col("crosses") | ~finite), F.lit(False)).alias("opened")))
+    # a flag for each range, whatever the number of rows
+    opened = [np.zeros(len(c) + 1, bool) for c in cuts]
+    for r in told.where("opened").select("feature", "bucket").collect():
+        opened[r["feature"]][r["bucket"]] = True
+    values = both(opened).groupBy("feature", "bucket", F.col("low").alias("value")).agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    within = W.partitionBy("feature", "bucket").orderBy("value")
+    run = within.rowsBetween(W.unboundedPreceding, 0)
+    inner = values.select("feature", "bucket", "value", F.sum("ref").over(run).alias("ref"), F.sum("cur").over(run).alias("cur"), F.lead("value").over(within).alias("following"))
+    inner = inner.join(told.where("opened").select("feature", "bucket", "start", "next", "n_ref", "n_cur"), ["feature", "bucket"])
+    gap = F.abs(F.col("start") + F.col("ref") / n_ref - F.col("cur") / n_cur)
+    step = F.coalesce("following", "next", "value") - F.col("value")
+    parts = told.select("feature", "n_ref", "n_cur", F.col("end_gap").alias("gap"), F.when(~F.col("opened"), F.col("area")).alias("area")).unionByName(
+        inner.select("feature", "n_ref", "n_cur", gap.alias("gap"), (gap * step).alias("area")))
+    summed = parts.groupBy("feature").agg(
+        F.max("gap").alias("_d"), F.sum("area").alias("_w"),
+        F.max("n_ref").cast("double").alias("_ref"), F.max("n_cur").cast("double").alias("_cur"))
+    names = spark.createDataFrame(list(enumerate(features)), "feature int, name string")
     ref, cur = F.col("_ref"), F.col("_cur")
     enough = (ref >= 2) & (cur >= 2)
     p = kolmogorov_tail(F.col("_d") * F.sqrt(ref * cur / (ref + cur)))

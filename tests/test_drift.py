@@ -146,3 +146,53 @@ def test_weekly_gap_matches_brute_force(spark):
         grid = np.unique(np.concatenate([weeks[0], values]))
         share = lambda v: np.searchsorted(np.sort(v), grid, side="right") / len(v)
         assert got[f"2024-01-{1 + 7 * w:02d}"] == pytest.approx(np.abs(share(weeks[0]) - share(values)).max())
+
+
+@pytest.mark.parametrize("kind", ["same", "shifted", "ties", "far", "one_sided", "short"])
+def test_distances_equal_all_values_in_order(spark, kind, monkeypatch):
+    """Ranges that are not opened give the same distances as every value would."""
+    rng = np.random.default_rng(6)
+    one, two = rng.normal(size=4000), rng.normal(size=3000)
+    if kind == "shifted":
+        two = two * 2 + 1
+    elif kind == "ties":
+        one, two = np.round(one, 1), np.round(two, 0)
+    elif kind == "far":
+        two[:3] = [1e12, -1e9, 5e5]
+    elif kind == "one_sided":
+        two = np.abs(two) + 10
+    elif kind == "short":
+        one, two = one[:3], two[:2]
+    monkeypatch.setattr(drift, "RANGES", 60)
+    frames = [spark.createDataFrame([(float(v), None if i % 3 else float(v)) for i, v in enumerate(x)], "a double, b double").repartition(3) for x in (one, two)]
+    got = {r.feature: r for r in drift.two_sample_distances(*frames, ["a", "b"]).collect()}
+    for name, (x, y) in {"a": (one, two), "b": (one[::3], two[::3])}.items():
+        every = np.unique(np.concatenate([x, y]))
+        gap = np.abs(np.searchsorted(np.sort(x), every, "right") / len(x) - np.searchsorted(np.sort(y), every, "right") / len(y))
+        if min(len(x), len(y)) >= 2:
+            assert got[name].ks_statistic == pytest.approx(gap.max(), abs=1e-12)
+        assert got[name].wasserstein_distance == pytest.approx((gap[:-1] * np.diff(every)).sum(), rel=1e-9)
+
+
+def test_few_values_leave_their_task(spark):
+    """On continuous columns hardly any range is opened."""
+    one = spark.range(100_000).select(F.randn(1).alias("v"))
+    two = spark.range(100_000).select((F.randn(2) * 1.2 + 0.3).alias("v"))
+    cuts = drift._cuts(one, two, ["v"])
+    pieces = drift._by_range(one, ["v"], cuts, None, True)
+    assert pieces.groupBy("bucket").count().count() <= drift.RANGES
+    seen = []
+    held = drift._by_range
+
+    def count(df, features, cuts, opened, side):
+        out = held(df, features, cuts, opened, side)
+        if opened is not None:
+            seen.append(out.count())
+        return out
+
+    drift._by_range = count
+    try:
+        got = drift.two_sample_distances(one, two, ["v"]).first()
+    finally:
+        drift._by_range = held
+    assert 0 < sum(seen) < 0.05 * 200_000 and got.ks_statistic > 0.1
