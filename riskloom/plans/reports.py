@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 
 from riskloom.operators import drift, evaluate
 from riskloom.session import stage
-from riskloom.sources.sinks import write_json
+from riskloom.sources.sinks import write_json, write_json_lines
 
 
 def evaluation_report(
     scored: DataFrame, label: str, score: str, candidates: Mapping[str, float], out: str
 ) -> dict[str, DataFrame]:
-    """Curves, calibration, threshold table and metrics; one folder each.
+    """Curves as folders of JSON lines; calibration, threshold table and metrics as one JSON document each.
 
     Every table reads the scores again, so they are staged first.
     """
@@ -29,7 +29,8 @@ def evaluation_report(
         "metrics": evaluate.as_metric_rows(evaluate.full_metrics(scored, label, score, threshold)),
     }
     for name, frame in tables.items():
-        write_json(frame, f"{out}/{name}")
+        # a curve has a point for each distinct score
+        (write_json_lines if name in ("roc_curve", "pr_curve") else write_json)(frame, f"{out}/{name}")
     return tables
 
 

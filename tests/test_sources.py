@@ -1,3 +1,4 @@
+import json
 import os
 
 import credit
@@ -53,10 +54,14 @@ def test_score_file(spark, tmp_path):
 
 def test_json_sink(spark, tmp_path):
     sinks.write_json(spark.createDataFrame([("auc", 0.5)], "metric string, value double"), str(tmp_path / "m"))
-    written = spark.read.schema("metric string, value double").json(str(tmp_path / "m"))
-    assert [tuple(r) for r in written.collect()] == [("auc", 0.5)]
-    parts = [n for n in os.listdir(tmp_path / "m") if n.startswith("part")]
-    assert len(parts) == 1 and os.path.getsize(tmp_path / "m" / parts[0]) > 0
+    assert json.loads((tmp_path / "m").read_text()) == {"metric": "auc", "value": 0.5}
+    two = spark.createDataFrame([("é", None), ("b", 1.0)], "metric string, value double")
+    sinks.write_json(two, str(tmp_path / "m"))  # replaces the first
+    assert json.loads((tmp_path / "m").read_text("utf-8")) == [{"metric": "é", "value": None}, {"metric": "b", "value": 1.0}]
+    sinks.write_json(two.limit(0), str(tmp_path / "none"))
+    assert json.loads((tmp_path / "none").read_text()) == []
+    sinks.write_json_lines(two, str(tmp_path / "lines"))
+    assert spark.read.json(str(tmp_path / "lines")).count() == 2
 
 
 def test_latin1_dictionary(spark, tmp_path):
