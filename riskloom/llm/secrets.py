@@ -3,7 +3,7 @@
 Each text is scanned once for three fixed kinds of secrets and for further candidates: values of known issuers, key
 blocks, and high-entropy strings. The values travel as hashes only. For each hash the distinct repositories and owners
 that hold it are counted over the whole corpus: a value that many owners hold is an example that people copy, one
-that a single owner holds and that looks random is that owner's own. Further candidates become spans if they look live;
+that fewer owners hold and that looks random is theirs. Further candidates become spans if they look live;
 the fixed kinds are always spans and are labelled the same way.
 
 Counts are made by two aggregations that combine before they shuffle, so one value in a third of all texts costs a
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -60,18 +61,34 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return found
 
 
+def _covered(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what the spans cover, in order and apart."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted(spans):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def more_spans(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
     """Further candidates that do not touch a span that is there already."""
     found: list[tuple[str, int, int, str]] = []
-    held = sorted((s, e) for _, s, e, _ in taken)
+    held = [(s, e) for _, s, e, _ in taken]
     for kind, pattern in _MORE:
+        starts, ends = _covered(held)
         for m in pattern.finditer(text):
             value = m.group()
             if kind == "random" and not (re.search(r"[0-9]", value) and re.search(r"[a-z]", value) and re.search(r"[A-Z]", value)):
                 continue
-            if not any(s < m.end() and m.start() < e for s, e in held):
+            # of what begins before the match ends, the last one reaches furthest
+            before = bisect_left(starts, m.end())
+            if not before or ends[before - 1] <= m.start():
                 found.append((kind, *m.span(), value))
-        held += [(s, e) for k, s, e, _ in found if k == kind]
+                held.append(m.span())
     return found
 
 

@@ -214,3 +214,36 @@ def test_many_repositories_of_one_owner_are_no_example(spark):
     for r, kind in zip(got, [kind for kind in keys for _ in range(12)] + ["assign"] * 15):
         assert r.spans.startswith(f"{kind}:") and r.labels == "live" and r.n_live == 1 and r.n_example == 0
         assert r.repositories == ("15" if kind == "assign" else "12")
+
+
+def test_many_spans_in_one_text_take_seconds():
+    import random
+    import time
+
+    from riskloom.llm import secrets
+
+    rng = random.Random(3)
+
+    def slow(text, taken):
+        """Every candidate against every span that is there."""
+        found, held = [], [(s, e) for _, s, e, _ in taken]
+        for kind, pattern in secrets._MORE:
+            own = []
+            for m in pattern.finditer(text):
+                v = m.group()
+                mixed = any(c.isdigit() for c in v) and any("a" <= c <= "z" for c in v) and any("A" <= c <= "Z" for c in v)
+                if (kind != "random" or mixed) and not any(s < m.end() and m.start() < e for s, e in held):
+                    own.append((kind, *m.span(), v))
+            found += own
+            held += [(s, e) for _, s, e, _ in own]
+        return found
+
+    def value(n):
+        return "".join(rng.choice("abcdefABCDEF0123456789") for _ in range(n))
+
+    parts = [rng.choice(["token=", "ghp_", "AKIA", "xoxb-", "key: ", "sk_live_", ""]) + value(rng.choice([8, 24, 40])) for _ in range(1500)]
+    text = " ".join(parts)
+    assert secrets.more_spans(text, secrets.base_spans(text)) == slow(text, secrets.base_spans(text))
+    long = " ".join("ghp_" + value(36) + " " + "Ab1" + value(20) for _ in range(100_000))
+    begun = time.monotonic()
+    assert len(secrets._scanned(1, "r", "o", long)[-1]) >= 200_000 and time.monotonic() - begun < 60
