@@ -13,6 +13,7 @@ from riskloom.functions.binning import one_hot
 from riskloom.operators.history import attach
 from riskloom.operators.state import NotFittedError, fit_quantile_edges, quantile_bins
 from riskloom.sources import contracts as c
+from riskloom.sources.keyed import KeyedTable
 from riskloom.sources.tables import conform
 
 _INTERACTION = ("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3")
@@ -66,7 +67,7 @@ class FeatureEngineer:
     default everything.
     """
 
-    history: DataFrame | None = None
+    history: DataFrame | KeyedTable | None = None
     main_features: Sequence[str] = field(default_factory=lambda: list(c.MAIN_FEATURES))
     final_features: Sequence[str] | None = None
     bins: Mapping[str, str] = field(default_factory=lambda: dict(c.QUANTILE_BINS))

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from riskloom.sources.keyed import KeyedTable
+
 
 def join_child_rollup(child: DataFrame, grandchild: DataFrame, key: str) -> DataFrame:
     """Left join of loan-level aggregates into the loan rows; the loan key goes."""
@@ -29,8 +31,15 @@ def outer_join(key: str, *rollups: DataFrame) -> DataFrame:
     return stacked.groupBy(key).agg(*[F.max(f"`{c}`").alias(c) for c in columns])
 
 
-def attach(applications: DataFrame, features: DataFrame, key: str) -> DataFrame:
-    """Left join of the feature table; applicants without history keep NULLs."""
+def attach(applications: DataFrame, features: DataFrame | KeyedTable, key: str) -> DataFrame:
+    """Left join of the feature table; applicants without history keep NULLs.
+
+    Of a keyed store only the folders are read that the applicants' keys hash to.
+    """
+    if isinstance(features, KeyedTable):
+        if features.key != key:
+            raise ValueError(f"the store is keyed by {features.key!r}, not {key!r}")
+        features = features.lookup(applications)
     return applications.join(features, key, "left")
 
 

@@ -12,6 +12,7 @@ from riskloom.operators.rollup import RollupSpec, rollup, status_rollup, with_pa
 from riskloom.operators.state import fit_levels, fit_modes
 from riskloom.sources import contracts as c
 from riskloom.sources.cache import load_or_build
+from riskloom.sources.keyed import KeyedTable, write_keyed
 from riskloom.sources.tables import read_csv
 
 # ---- fixed values: names of the history tables
@@ -78,3 +79,8 @@ def load_or_build_history(
     spark: SparkSession, paths: Mapping[str, str], cache: str, fingerprint: str | None = None
 ) -> DataFrame:
     return load_or_build(spark, cache, lambda: build_history(read_tables(spark, paths)), fingerprint)
+
+
+def store_history(history: DataFrame, path: str, folders: int = 1024) -> KeyedTable:
+    """The history by hash of the applicant, for scorers of few records at a time."""
+    return write_keyed(history, path, c.KEY, folders)

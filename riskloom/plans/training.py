@@ -26,6 +26,7 @@ from riskloom.operators.state import Preprocessor
 from riskloom.operators.validate import table_fingerprint
 from riskloom.session import stage
 from riskloom.sources import contracts as c
+from riskloom.sources.keyed import KeyedTable
 
 VERSION = "1.1.0"
 
@@ -95,7 +96,7 @@ class Scorer:
         write_record(spark, record, f"{path}/scorer")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, history: DataFrame | None = None) -> Scorer:
+    def load(cls, spark: SparkSession, path: str, history: DataFrame | KeyedTable | None = None) -> Scorer:
         record = read_record(spark, f"{path}/scorer")
         engineer = FeatureEngineer(history, record["main_features"], record["final_features"]).load(spark, f"{path}/features")
         kind, slope, intercept = record["calibrator"]
@@ -122,7 +123,7 @@ def read_record(spark: SparkSession, path: str) -> dict:
 def run_training(
     spark: SparkSession,
     applications: DataFrame,
-    history: DataFrame | None,
+    history: DataFrame | KeyedTable | None,
     out: str,
     params: Mapping = model.BOOSTER_PARAMS,
     final_features: Sequence[str] | None = None,
