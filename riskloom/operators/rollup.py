@@ -112,6 +112,12 @@ def category_rollup_long(df: DataFrame, key: str, levels: Mapping[str, Sequence[
         .groupBy(key, "_column", "_level")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    return level_shares(long, key, levels)
+
+
+def level_shares(long: DataFrame, key: str, levels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rows ``key, _column, _level, _n`` widened to each level's share and count; one row per group is expected."""
+    columns = list(levels)
     entries = {f"{c}:{level}": f"{c}_{level}" for c in columns for level in levels[c]}
     wide = (
         long.withColumn("_name", F.concat_ws(":", "_column", "_level"))
