@@ -10,6 +10,7 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -25,6 +26,8 @@ STABLE_BELOW = 0.1
 MODERATE_BELOW = 0.25
 EPSILON = 1e-6
 SIGNIFICANCE = 0.05
+#: Rows of either sample up to which a p-value is worked out exactly.
+EXACT_ROWS = 10_000
 
 
 def psi_status(psi: Column) -> Column:
@@ -113,6 +116,35 @@ RANGES = 2048
 _PIECES = "feature int, bucket int, ref long, cur long, ref_sum double, cur_sum double, low double, high double"
 
 
+def exact_tail(gap: float, reference_n: int, current_n: int) -> float:
+    """Share of all orders of the two samples whose largest gap is at least ``gap``, when the samples are alike.
+
+    An order is a path over a grid of reference_n by current_n steps. All paths to a point are equally likely, so the share
+    of them that have met such a gap is the mean of the shares at its two predecessors, weighted by the steps taken in
+    either direction. The points of one diagonal are worked out at once; memory is one diagonal.
+    """
+    n, m = int(reference_n), int(current_n)
+    least = round(gap * n * m)  # gaps are whole numbers of 1 / (n m)
+    met = np.array([1.0 if least <= 0 else 0.0])
+    low = 0
+    for steps in range(1, n + m + 1):
+        first, last = max(0, steps - m), min(n, steps)
+        i = np.arange(first, last + 1)
+        padded = np.zeros(last - first + 3)
+        padded[low - first + 1 : low - first + 1 + len(met)] = met  # met[k] belongs to point low + k
+        share = (padded[:-2] * i + padded[1:-1] * (steps - i)) / steps
+        met = np.where(np.abs(i * m - (steps - i) * n) >= least, 1.0, share)
+        low = first
+    return float(met[0])
+
+
+def _exact_tails(gap: pd.Series, reference_n: pd.Series, current_n: pd.Series, limit: pd.Series) -> pd.Series:
+    def one(d: float, n: float, m: float, most: float) -> float | None:
+        return exact_tail(d, int(n), int(m)) if d == d and 2 <= min(n, m) and max(n, m) <= most else None
+
+    return pd.Series([one(*row) for row in zip(gap, reference_n, current_n, limit)], dtype="float64")
+
+
 def _cuts(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
     """Ascending cut points of each feature over both sides, by a sketch of fixed size; any cuts give the same distances."""
     shares = [i / RANGES for i in range(1, RANGES)]
@@ -236,6 +268,26 @@ def two_sample_distances(reference: DataFrame, current: DataFrame, features: Seq
     )
 
 
+def exact_significance(distances: DataFrame, counts: DataFrame, exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """Distances of ``two_sample_distances`` with ``ks_p_value`` and ``ks_p_exact``; ``ks_significant`` follows the former.
+
+    ``counts`` has ``feature, reference_n, current_n``, such as the rows of ``population_stability``. The p-value is exact where
+    neither sample has more than ``exact_rows`` known values, and that of the limit distribution beyond. Both tables have a row
+    a feature; an exact value takes as many array steps as there are rows, whatever the size of the table they came from.
+    """
+    both = distances.join(F.broadcast(counts.select("feature", "reference_n", "current_n")), "feature", "left")
+    exact = F.pandas_udf(_exact_tails, "double")(
+        "ks_statistic", F.coalesce("reference_n", F.lit(0)).cast("double"), F.coalesce("current_n", F.lit(0)).cast("double"),
+        F.lit(float(exact_rows)))
+    told = both.withColumn("_exact", exact)
+    p = F.coalesce(F.nanvl("_exact", F.lit(None).cast("double")), "ks_p_value_asymptotic")
+    return told.withColumns({
+        "ks_p_value": p,
+        "ks_p_exact": F.col("_exact").isNotNull() & ~F.isnan("_exact"),
+        "ks_significant": F.coalesce(p < SIGNIFICANCE, F.lit(False)),
+    }).select(*distances.columns, "reference_n", "current_n", "ks_p_value", "ks_p_exact")
+
+
 def drift_report(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """One row per feature present on both sides; non-numeric ones are marked as skipped."""
     shared = [c for c in features if c in reference.columns and c in current.columns]

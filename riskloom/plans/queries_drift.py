@@ -100,6 +100,32 @@ def ks(spark, d):
     return rounded(out.drop("wasserstein_distance"), {"ks_statistic": 6, "ks_p_value_asymptotic": 6})
 
 
+@query("ks_exact", """
+WITH RECURSIVE x AS (SELECT s_acctbal AS v, s_suppkey % 2 = 0 AS is_ref FROM supplier WHERE s_acctbal IS NOT NULL),
+n AS (SELECT count(*) FILTER (is_ref) AS r, count(*) FILTER (NOT is_ref) AS c FROM x),
+g AS (SELECT v, sum(count(*) FILTER (is_ref)) OVER (ORDER BY v) AS a, sum(count(*) FILTER (NOT is_ref)) OVER (ORDER BY v) AS b
+      FROM x GROUP BY v),
+s AS (SELECT r, c, CAST(max(abs(a * c - b * r)) AS BIGINT) AS h FROM g, n GROUP BY r, c),
+walk(k, i, p) AS (
+  SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS DOUBLE)
+  UNION ALL
+  SELECT k, i, CASE WHEN abs(i * c - (k - i) * r) >= h THEN 1.0 ELSE sum(share) END
+  FROM (SELECT k + 1 AS k, i + up AS i, p * CASE WHEN up = 1 THEN i + 1 ELSE k + 1 - i END / (k + 1) AS share, r, c, h
+        FROM walk, s, (VALUES (0), (1)) step(up) WHERE i + up <= r AND k + 1 - i - up <= c)
+  GROUP BY k, i, r, c, h)
+SELECT 's_acctbal' AS feature, round(h / (r * c), 6) AS ks_statistic, r AS reference_n, c AS current_n, round(p, 6) AS ks_p_value,
+       true AS ks_p_exact, p < 0.05 AS ks_significant
+FROM walk, s WHERE k = r + c""")
+def ks_exact(spark, d):
+    """Small samples: the balances of two halves of the suppliers, with the exact p-value."""
+    rows = table(spark, d, "supplier").select((F.col("s_suppkey") % 2 == 0).alias("is_ref"), F.col("s_acctbal").cast("double").alias("s_acctbal"))
+    ref, cur = rows.where("is_ref"), rows.where(~F.col("is_ref"))
+    told = drift.exact_significance(
+        drift.two_sample_distances(ref, cur, ["s_acctbal"]), drift.population_stability(ref, cur, ["s_acctbal"]))
+    out = told.select("feature", "ks_statistic", "reference_n", "current_n", "ks_p_value", "ks_p_exact", "ks_significant")
+    return rounded(out, {"ks_statistic": 6, "ks_p_value": 6})
+
+
 @query("wasserstein", f"""
 WITH x AS ({_long_sql(_SIDES, _FEATURES)}), {_CDF} SELECT feature, round(w1, 6) AS wasserstein_distance FROM ks""")
 def wasserstein(spark, d):

@@ -1,4 +1,5 @@
 import datetime
+import math
 
 import numpy as np
 import pandas as pd
@@ -87,6 +88,53 @@ def test_p_value_series(spark):
     np.testing.assert_allclose(got, want, atol=1e-9)
 
 
+def paths_that_meet(n, m, least):
+    """Orders of two samples whose largest gap times n m is at least ``least``, counted one by one in whole numbers."""
+    inside = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if abs(i * m - j * n) < least:
+                before = (inside[i - 1][j] if i else 0) + (inside[i][j - 1] if j else 0)
+                inside[i][j] = before if i or j else 1
+    return math.comb(n + m, n) - inside[n][m]
+
+
+def test_exact_p_values_equal_a_direct_count():
+    for n in range(1, 31):
+        for m in range(1, 31):
+            gaps = {abs(i * m - j * n) for i in range(n + 1) for j in range(m + 1)}
+            for least in sorted(gaps)[:: max(1, len(gaps) // 6)] + [n * m]:
+                want = paths_that_meet(n, m, least) / math.comb(n + m, n)
+                assert drift.exact_tail(least / (n * m), n, m) == pytest.approx(want, rel=1e-9, abs=1e-300)
+
+
+def test_exact_p_values_near_the_limit_distribution(spark):
+    n = 5000
+    x = 1.3
+    far = spark.createDataFrame([(x,)], "x double").select(drift.kolmogorov_tail(F.col("x"))).first()[0]
+    gap = math.ceil(x / math.sqrt(n / 2) * n) / n
+    assert drift.exact_tail(gap, n, n) == pytest.approx(far, rel=0.05)
+
+
+def test_exact_up_to_a_size(spark):
+    rng = np.random.default_rng(8)
+    rows = [(float(v), None if i < 3 else float(v) + (i % 2), i % 2) for i, v in enumerate(rng.normal(size=60))]
+    df = spark.createDataFrame([(*r, None) for r in rows], "x double, y double, side int, nothing double")
+    ref, cur = df.where("side = 0"), df.where("side = 1")
+    names = ["x", "y", "nothing"]
+    distances, counts = drift.two_sample_distances(ref, cur, names), drift.population_stability(ref, cur, names)
+    exact = {r["feature"]: r for r in drift.exact_significance(distances, counts).collect()}
+    for name, column in (("x", 0), ("y", 1)):
+        a, b = ([r[column] for r in rows if r[2] == s and r[column] is not None] for s in (0, 1))
+        gap = max(abs(sum(v <= t for v in a) * len(b) - sum(v <= t for v in b) * len(a)) for t in a + b)
+        want = paths_that_meet(len(a), len(b), gap) / math.comb(len(a) + len(b), len(a))
+        assert exact[name]["ks_p_value"] == pytest.approx(want, rel=1e-9) and exact[name]["ks_p_exact"]
+        assert exact[name]["ks_significant"] == (want < 0.05)
+    assert exact["nothing"]["ks_p_value"] is None and not exact["nothing"]["ks_significant"] and not exact["nothing"]["ks_p_exact"]
+    beyond = {r["feature"]: r for r in drift.exact_significance(distances, counts, exact_rows=29).collect()}
+    assert beyond["x"]["ks_p_value"] == beyond["x"]["ks_p_value_asymptotic"] and not beyond["x"]["ks_p_exact"]
+
+
 def test_alerts(spark):
     report = spark.createDataFrame(
         [("a", 0.3, "significant_shift"), ("b", 0.5, "significant_shift"), ("c", 0.01, "stable"), ("d", None, "skipped_non_numeric")],
