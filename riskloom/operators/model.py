@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import time
 from collections.abc import Callable, Mapping, Sequence
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.operators.ensemble import early_stop, prefix_losses, truncate
 from riskloom.operators.evaluate import full_metrics, ranking_metrics
+from riskloom.sources.sinks import write_json
+from riskloom.sources.tables import path_exists
 
 FEATURES = "features"
 PROBABILITY = "probability"
@@ -220,15 +223,46 @@ class SearchResult:
         return spark.createDataFrame(rows, "trial int, roc_auc double, params map<string,double>")
 
 
+def _finished(spark: SparkSession, record: str, trials: Sequence[Mapping], seed: int) -> dict[int, float]:
+    """AUC of the trials that are on record with these parameters and this seed."""
+    if not path_exists(spark, record):
+        return {}
+    rows = spark.read.schema("trial int, roc_auc double, params string, seed long").json(record).collect()
+    return {
+        r["trial"]: r["roc_auc"] for r in rows
+        if r["params"] is not None and r["roc_auc"] is not None and r["seed"] == seed
+        and r["trial"] is not None and r["trial"] < len(trials) and json.loads(r["params"]) == dict(trials[r["trial"]])
+    }
+
+
 def search_params(
-    train: DataFrame, valid: DataFrame, label: str, trials: Sequence[Mapping], parallelism: int = 2, seed: int = 42
+    train: DataFrame,
+    valid: DataFrame,
+    label: str,
+    trials: Sequence[Mapping],
+    parallelism: int = 2,
+    seed: int = 42,
+    record: str | None = None,
 ) -> SearchResult:
-    """Fit every draw and keep the one with the highest AUC on the validation rows."""
+    """Fit every draw and keep the one with the highest AUC on the validation rows; the first of equals.
+
+    With a folder for the ``record``, which belongs in shared storage, every trial writes a small document there as soon as it is
+    done, and a search that is started again fits only what is missing. A trial counts as done if its number, parameters and
+    seed agree; a document that a lost driver left half written does not. Tables that have changed need another folder.
+    """
+    spark = train.sparkSession
+    known = _finished(spark, record, trials, seed) if record else {}
 
     def run(item):
         i, params = item
+        if i in known:
+            return i, known[i], dict(params)
         model = fit_booster(train, label, params, valid=valid, seed=seed)
-        return i, auc(model, valid, label), dict(params)
+        found = auc(model, valid, label)
+        if record:
+            row = [(i, float(found), json.dumps(dict(params)), seed)]
+            write_json(spark.createDataFrame(row, "trial int, roc_auc double, params string, seed long"), f"{record}/trial-{i:05d}.json")
+        return i, found, dict(params)
 
     with ThreadPool(parallelism) as pool:
         done = pool.map(run, list(enumerate(trials)), chunksize=1)

@@ -51,6 +51,34 @@ def test_logistic_matches_newton(parts):
     assert [*fit.coefficients, fit.intercept] == pytest.approx(beta, abs=1e-4)
 
 
+def test_a_stopped_search_goes_on(parts, spark, tmp_path, monkeypatch):
+    record = str(tmp_path / "search")
+    draws = model.random_params(4, space=[("n_estimators", 2, 3, "int"), ("learning_rate", 0.1, 0.4, "log")])
+    fitted, fit = [], model.fit_booster
+
+    def stopping(train, label, params, **more):
+        if len(fitted) == 2:
+            raise RuntimeError("the driver is lost")
+        fitted.append(params)
+        return fit(train, label, params, **more)
+
+    monkeypatch.setattr(model, "fit_booster", stopping)
+    with pytest.raises(RuntimeError):
+        model.search_params(*parts, "y", draws, parallelism=1, record=record)
+    assert fitted == draws[:2]
+    (tmp_path / "search" / "trial-00003.json").write_text('{"trial":3,"roc_au')  # half written when the driver went
+    fitted.clear()
+    monkeypatch.setattr(model, "fit_booster", lambda *a, **k: (fitted.append(a[2]), fit(*a, **k))[1])
+    resumed = model.search_params(*parts, "y", draws, parallelism=1, record=record)
+    assert fitted == draws[2:]
+    fitted.clear()
+    assert model.search_params(*parts, "y", draws, record=record) == resumed and not fitted  # nothing is left to fit
+    assert resumed == model.search_params(*parts, "y", draws, parallelism=1)
+    fitted.clear()
+    model.search_params(*parts, "y", [{**draws[0], "n_estimators": 4}], record=record)
+    assert len(fitted) == 1  # other parameters under the same number
+
+
 def test_search_and_sweep(parts, spark):
     draws = model.random_params(2, space=[("n_estimators", 2, 4, "int"), ("learning_rate", 0.1, 0.4, "log")])
     assert draws == model.random_params(2, space=[("n_estimators", 2, 4, "int"), ("learning_rate", 0.1, 0.4, "log")])
