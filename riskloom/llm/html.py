@@ -1,10 +1,12 @@
 """Main text of web pages by structure and by differencing with the nearest page of the host.
 
 A page is cut into blocks once. Blocks inside menus, headers, footers, sidebars, notices, adverts, forms and comments
-go by their markup. A page that marks its article keeps the blocks of the article. On any other page the rest is
+go by their markup; of a page that marks its article the blocks of the article are left. Every page is then
 compared with the pages next to it in the order of URL paths on its host: blocks are aligned by a longest
 common subsequence, and shared ones, the frame that a site repeats, are deleted. Copies of a page tell nothing about the frame: on
 either side the nearest page with other blocks counts, and one that holds all blocks of the page is not used.
+A check by the markup follows: what a marked article shares with a neighbour is its own text and comes back, unless
+an element inside it has a class that hints at frame without saying so.
 
 Only hashes of blocks meet those of other pages. The order of pages is found by a range partition, neighbours
 inside a partition by a window, and those across partitions from two pages of each, so a host with a
@@ -24,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.llm.arrow import batches_of, bounded_batches
+from riskloom.llm.member import with_candidates
 from riskloom.session import stage
 
 _TOKEN = re.compile(
@@ -92,18 +95,35 @@ def _dropped(tag: str, attributes: str, inside_main: bool) -> int:
     return level
 
 
+def _doubtful(tag: str, attributes: str) -> bool:
+    """Whether a class or id has a hint beside words that are about something else, so that markup alone cannot tell."""
+    if tag not in _HINTED or "=" not in attributes:
+        return False
+    found = {name.lower(): next((v for v in values if v), "") for name, *values in _ATTRIBUTE.findall(attributes)}
+    named = (set(re.split(r"[^a-z0-9]+", name)) for name in f"{found.get('class', '')} {found.get('id', '')}".lower().split())
+    return any(words & _HINTS and words.isdisjoint(_STATES) for words in named)
+
+
 def blocks(page: str) -> tuple[list[str], list[str]]:
     """Blocks of the marked article, and of the rest; what markup gives away as frame is in neither."""
+    return parts(page)[:2]
+
+
+def parts(page: str) -> tuple[list[str], list[str], list[int]]:
+    """The ``blocks``, and which ones of the article stand in an element that may be frame."""
     main: list[str] = []
     rest: list[str] = []
+    doubts: list[int] = []
     held: list[str] = []
-    stack: list[tuple[str, int, bool]] = []  # name, dropped (as told by _dropped), inside the article
+    stack: list[tuple[str, int, bool, bool]] = []  # name, dropped (as told by _dropped), inside the article, in doubt
     at, n = 0, len(page)
 
     def flush() -> None:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
+                if stack and stack[-1][3]:
+                    doubts.append(len(main))
                 (main if stack and stack[-1][2] else rest).append(text)
             held.clear()
 
@@ -145,19 +165,20 @@ def blocks(page: str) -> tuple[list[str], list[str]]:
         attributes = m.group(3) or m.group(6) or ""
         if tag in _VOID or attributes.endswith("/") and tag not in _BLOCK:
             continue
-        out, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        out, inside, doubt = stack[-1][1:] if stack else (0, False, False)
         if out == 1 and tag in _MAIN and not inside:
             out = 0  # what is around an article is no frame
         out = max(out, _dropped(tag, attributes, inside))
+        doubt = doubt or inside and not out and _doubtful(tag, attributes)
         inside = inside or tag in _MAIN and not out
         if tag in _RAW and out:
             end = _RAW[tag].search(page, at)
             at = end.end() if end else n
             continue
-        stack.append((tag, out, inside))
+        stack.append((tag, out, inside, doubt))
     text(n)
     flush()
-    return main, rest
+    return main, rest, doubts
 
 
 def _rows(one: Sequence[int], two: Sequence[int]) -> np.ndarray:
@@ -207,15 +228,20 @@ def common(one: Sequence[int], two: Sequence[int]) -> list[int]:
     return [places[i] for i in sorted(found)]
 
 
-def without_frame(lines: list[str], own: list[int], neighbours: list[list[int] | None]) -> list[str]:
-    """The lines that no neighbour shares; one that shares all of them is a copy and not counted."""
+def frame_places(own: list[int], neighbours: list[list[int] | None]) -> set[int]:
+    """Places of the blocks that a neighbour shares; one that shares all of them is a copy and not counted."""
     gone: set[int] = set()
     for other in neighbours:
         if other:
             shared = common(own, other)
             if len(shared) < len(own):
                 gone.update(shared)
-    return [line for i, line in enumerate(lines) if i not in gone]
+    return gone
+
+
+def checked_places(gone: set[int], marked: bool, doubts: list[int]) -> list[int]:
+    """The places that stay deleted: in a marked article only those that its markup leaves in doubt."""
+    return sorted(gone.intersection(doubts) if marked else gone)
 
 
 def _hash(line: str) -> int:
@@ -231,10 +257,11 @@ def address(url: str | None) -> tuple[str, str]:
 
 
 _SEEN = {
-    "page_id": pa.int64(), "url": pa.string(), "host": pa.string(), "path": pa.string(), "open": pa.bool_(),
-    "lines": pa.list_(pa.string()), "hashes": pa.list_(pa.int64()),
+    "page_id": pa.int64(), "url": pa.string(), "host": pa.string(), "path": pa.string(), "marked": pa.bool_(),
+    "doubts": pa.list_(pa.int32()), "lines": pa.list_(pa.string()), "hashes": pa.list_(pa.int64()),
 }
-_SEEN_DDL = "page_id long, url string, host string, path string, open boolean, lines array<string>, hashes array<long>"
+_SEEN_DDL = (
+    "page_id long, url string, host string, path string, marked boolean, doubts array<int>, lines array<string>, hashes array<long>")
 
 
 def _turns(rows: DataFrame, page: Column, order, part: list[str], name: str) -> DataFrame:
@@ -248,8 +275,8 @@ def _turns(rows: DataFrame, page: Column, order, part: list[str], name: str) ->
     )
 
 
-def _nearest(ordered: DataFrame, name: str, forward: bool) -> DataFrame:
-    """``row, name``: hashes of the nearest page on one side that is no copy, if it is of the same host."""
+def _nearest(ordered: DataFrame, name: str, forward: bool, *more: str) -> DataFrame:
+    """``row, more, name``: hashes of the nearest page on one side that is no copy, if it is of the same host."""
     def way(*columns: str) -> list[Column]:
         return [F.col(c).asc() if forward else F.col(c).desc() for c in columns]
 
@@ -268,18 +295,19 @@ def _nearest(ordered: DataFrame, name: str, forward: bool) -> DataFrame:
     entering = told.select("part", F.lag("last").over(before).alias("last"), F.lag("near").over(before).alias("near")).join(ends.select("part", "first"), "part")
     differs = (F.col("last.host") != F.col("first.host")) | (F.col("last.blocks") != F.col("first.blocks"))
     entering = stage(entering.select("part", F.when(differs, F.col("last")).otherwise(F.col("near")).alias("entering")))
-    found = inside.where("open").join(entering, "part").withColumn("near", F.coalesce("near", "entering"))
-    return found.select("row", F.when(F.col("near.host") == F.col("host"), F.col("near.hashes")).alias(name))
+    found = inside.where(F.size("hashes") > 0).join(entering, "part").withColumn("near", F.coalesce("near", "entering"))
+    return found.select("row", *more, F.when(F.col("near.host") == F.col("host"), F.col("near.hashes")).alias(name))
 
 
 def _neighbours(seen: DataFrame) -> DataFrame:
-    """``row, before, after``: hashes of the nearest pages of each one's host that are no copies of it."""
+    """``row, marked, doubts, hashes, before, after`` of every page with blocks: the last two are hashes of the nearest pages of
+    its host that are no copies of it."""
     ordered = stage(
-        seen.select("row", "host", "path", F.xxhash64("hashes").alias("blocks"), "hashes", "open")
+        seen.select("row", "host", "path", F.xxhash64("hashes").alias("blocks"), "hashes", "marked", "doubts")
         .repartitionByRange("host", "path", "row").sortWithinPartitions("host", "path", "row")
         .withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)).drop("path")
     )
-    return _nearest(ordered, "before", True).join(_nearest(ordered, "after", False), "row")
+    return _nearest(ordered, "before", True, "marked", "doubts", "hashes").join(_nearest(ordered, "after", False), "row")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -292,27 +320,41 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for page_id, url, page in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
-                main, rest = blocks(page)
+                main, rest, doubts = parts(page)
                 lines = main or rest
-                yield (page_id, url, *address(url), not main and bool(rest), lines, list(map(_hash, lines)))
+                yield (page_id, url, *address(url), bool(main), doubts, lines, list(map(_hash, lines)))
 
         for batch in batches:
             yield from batches_of(_SEEN, rows(), 2000)
 
+    def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            few = (batch.column(c).to_pylist() for c in ("row", "marked", "doubts", "hashes", "before", "after"))
+            for row, marked, doubts, own, before, after in zip(*few):
+                gone = checked_places(frame_places(own, [before, after]), marked, doubts)
+                if gone:
+                    yield row, gone
+
+        for batch in batches:
+            yield from batches_of({"row": pa.int64(), "gone": pa.list_(pa.int32())}, rows(), 2000)
+
     def subtract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            few = (batch.column(c).to_pylist() for c in ("page_id", "url", "lines", "hashes", "before", "after"))
+            few = (batch.column(c).to_pylist() for c in ("page_id", "url", "lines", "gone"))
+            kept = ((page_id, url, lines, set(places or ())) for page_id, url, lines, places in zip(*few))
             yield from batches_of(
                 {"page_id": pa.int64(), "url": pa.string(), "text": pa.string()},
-                ((i, u, "\n".join(without_frame(lines, own, [before, after]))) for i, u, lines, own, before, after in zip(*few)), 2000)
+                ((page_id, url, "\n".join([line for i, line in enumerate(lines) if i not in gone])) for page_id, url, lines, gone in kept), 2000)
 
     read = bounded_batches(pages).select(
         F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
     seen = stage(read.mapInArrow(parse, _SEEN_DDL).withColumn("row", F.monotonically_increasing_id()))
-    marked = seen.where(~F.col("open")).select("page_id", "url", F.array_join("lines", "\n").alias("text"))
-    compared = (
-        seen.where("open").select("row", "page_id", "url", "lines", "hashes").join(_neighbours(seen), "row", "left")
-        .mapInArrow(subtract, "page_id long, url string, text string")
-    )
-    return marked.unionByName(compared).withColumn("n_chars", F.length("text").cast("long"))
+    gone = stage(_neighbours(seen).mapInArrow(difference, "row long, gone array<int>"))
+    # only pages that lose blocks are shuffled
+    told = with_candidates(seen.select("row", "page_id", "url", "lines"), gone, "row", F.col("row"), "_cut")
+    whole = told.where(~F.col("_cut")).select("page_id", "url", "lines")
+    cut = told.where("_cut").join(gone, "row", "left").select("page_id", "url", "lines", "gone")
+    texts = whole.select("page_id", "url", F.array_join("lines", "\n").alias("text")).unionByName(
+        cut.mapInArrow(subtract, "page_id long, url string, text string"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -151,3 +151,23 @@ def test_given_pages_keep_their_article(spark):
         import html as library
 
         assert r.text.split() == library.unescape(article).split()
+
+
+def test_marked_pages_are_differenced_and_checked(spark):
+    """A teaser inside the article goes where neighbours share it; shared text of the article itself stays."""
+    def page(i):
+        return (f"<article><h1>Title {i}</h1><p>Licensed to all.</p><p class='subscribe-teaser'>Get our letter</p>"
+                f"<p class='notice-of-results'>Result {i}</p></article>")
+
+    rows = [(i, f"http://m.m/{i:02d}", page(i)) for i in range(8)] + [(90, "http://n.n/1", page(90))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = {r.page_id: r.text for r in html.extract(df).collect()}
+    assert all(texts[i] == f"Title {i}\nLicensed to all.\nResult {i}" for i in range(8))
+    assert texts[90] == "Title 90\nLicensed to all.\nGet our letter\nResult 90"
+
+
+def test_every_page_with_blocks_meets_its_neighbours(spark):
+    seen = [(0, "h", "1", True, [], [1, 2]), (1, "h", "2", False, [], [1, 3]), (2, "h", "3", True, [0], [4]), (3, "h", "4", False, [], [])]
+    df = spark.createDataFrame(seen, "row long, host string, path string, marked boolean, doubts array<int>, hashes array<long>")
+    got = {r.row: (r.before, r.after) for r in html._neighbours(df).collect()}
+    assert got == {0: (None, [1, 3]), 1: ([1, 2], [4]), 2: ([1, 3], [])}
