@@ -83,6 +83,26 @@ def _leaf_shares(value: float, shares: np.ndarray, hits: np.ndarray) -> np.ndarr
     return out
 
 
+#: Features on a leaf's path up to which the patterns of followed splits are counted rather than sorted.
+_COUNTED = 12
+
+
+def _patterns(x: np.ndarray, boxes: list) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct patterns of followed features among the columns of ``x`` (a row a feature), in order, and each column's place."""
+    codes = np.zeros(x.shape[1], np.int64)  # a path has at most 30 splits
+    for f, low, high, _ in boxes:
+        codes <<= 1
+        codes |= (x[f] > low) & (x[f] <= high)
+    if len(boxes) <= _COUNTED:
+        met = np.flatnonzero(np.bincount(codes, minlength=1 << len(boxes)))
+        of = np.zeros(1 << len(boxes), np.int64)
+        of[met] = np.arange(len(met))
+        place = of[codes]
+    else:
+        met, place = np.unique(codes, return_inverse=True)
+    return ((met[:, None] >> np.arange(len(boxes))[::-1]) & 1).astype(float), place
+
+
 def tree_leaves(model: Model) -> tuple[list, float]:
     """Weighted leaf values with their boxes, and the base value, on the margin scale. As large as the model."""
     leaves, base = [], 0.0
@@ -107,14 +127,14 @@ def tree_attributions(model: Model, df: DataFrame, keep: str | Sequence[str], fe
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
+            x = np.ascontiguousarray(batch[names].to_numpy(dtype=float).T)
             phi = np.zeros_like(x)
             for value, boxes in shared.value:
-                used = [f for f, *_ in boxes]
-                low, high, shares = (np.array(column) for column in list(zip(*boxes))[1:])
-                hits, place = np.unique((x[:, used] > low) & (x[:, used] <= high), axis=0, return_inverse=True)
-                phi[:, used] += _leaf_shares(value, shares, hits.astype(float))[place.ravel()]
-            yield pd.DataFrame({**{k: batch[k] for k in kept}, "attributions": list(phi), "base": base})
+                hits, place = _patterns(x, boxes)
+                found = _leaf_shares(value, np.array([share for *_, share in boxes]), hits)
+                for j, (f, *_) in enumerate(boxes):
+                    phi[f] += found[:, j][place]
+            yield pd.DataFrame({**{k: batch[k] for k in kept}, "attributions": list(phi.T.copy()), "base": base})
 
     kept = [keep] if isinstance(keep, str) else list(keep)
     types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in kept)

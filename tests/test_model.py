@@ -179,3 +179,16 @@ def test_global_importance(spark):
     df = spark.createDataFrame([(1.0, -3.0), (-2.0, 1.0)], "a double, b double")
     rows = explain.global_importance(df, {"a": F.col("a"), "b": F.col("b")}, top=1).collect()
     assert [tuple(r) for r in rows] == [("b", "B", 2.0)]
+
+
+def test_patterns_counted_and_sorted_agree(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 6))
+    x[::50] = np.nan
+    boxes = [(f, -0.8, 0.5 + f / 9, 0.5) for f in (4, 0, 5, 2)]
+    used = [f for f, *_ in boxes]
+    hits, place = np.unique((x[:, used] > -0.8) & (x[:, used] <= [b[2] for b in boxes]), axis=0, return_inverse=True)
+    for counted in (12, 0):
+        monkeypatch.setattr(explain, "_COUNTED", counted)
+        got, at = explain._patterns(np.ascontiguousarray(x.T), boxes)
+        assert (got == hits).all() and (at == place.ravel()).all()
