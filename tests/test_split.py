@@ -53,3 +53,12 @@ def test_random_rows(spark):
     df = rows(spark)
     first = split.random_rows(df, "k", 20)
     assert first.count() == 20 and sorted(first.collect()) == sorted(split.random_rows(df.repartition(5), "k", 20).collect())
+
+
+def test_the_place_of_a_row_is_hashed_once(spark):
+    from riskloom.operators.split import train_valid_test
+
+    df = spark.range(2000).selectExpr("id AS k", "cast(id % 5 = 0 AS int) AS label")
+    out = train_valid_test(df, "k", "label")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1 and out.columns == ["k", "label", "part"]
