@@ -26,6 +26,8 @@ _BYTES = [bytes([b]) for b in range(256)]
 _NONE = 1 << 60
 #: Up to this length a scan for the lowest rank beats a heap.
 _SHORT = 200
+#: Fewer pieces of a length are merged one by one.
+_FEW = 24
 
 _CLASSES = (("L", r"\p{L}", "a"), ("N", r"\p{N}", "1"), ("S", r"\s", " "))
 
@@ -49,6 +51,68 @@ def merge(piece: bytes, pairs: dict[Pair, int]) -> list[bytes]:
     return parts
 
 
+class Merger:
+    """Ids of many pieces at once, by ranks that are ids; pieces of one length are merged side by side.
+
+    A step merges, in every piece that still has a pair with a rank, the leftmost one of lowest rank. All of them lose one part, so
+    they stay of one length.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pairs: dict[Pair, int]):
+        self.ranks, self.pairs = ranks, pairs
+        keys = np.fromiter((ranks[a] << 32 | ranks[b] for a, b in pairs), np.int64, len(pairs))
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], _NONE)
+        self.values = np.append(np.fromiter(pairs.values(), np.int64, len(pairs))[order], _NONE)
+        self.bytes = np.array([ranks[b] for b in _BYTES], np.int64)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.values[at], _NONE)
+
+    def ids(self, pieces: list[bytes]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(pieces)
+        by_size: dict[int, list[int]] = {}
+        for i, piece in enumerate(pieces):
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out[i] = [whole]
+            else:
+                by_size.setdefault(len(piece), []).append(i)
+        for size, places in by_size.items():
+            if len(places) < _FEW or size > _SHORT:
+                for i in places:
+                    out[i] = [self.ranks[t] for t in merge(pieces[i], self.pairs)]
+            else:
+                self._side_by_side(size, [pieces[i] for i in places], np.array(places), out)
+        return out
+
+    def _side_by_side(self, size: int, pieces: list[bytes], places: np.ndarray, out: list[list[int]]) -> None:
+        parts = self.bytes[np.frombuffer(b"".join(pieces), np.uint8).reshape(-1, size)]
+        rank = self._rank(parts[:, :-1], parts[:, 1:])
+        while len(parts):
+            at = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(parts), np.int64)
+            low = rank[np.arange(len(parts)), at] if rank.shape[1] else np.full(len(parts), _NONE)
+            done = low == _NONE
+            if done.any():
+                for place, ids in zip(places[done].tolist(), parts[done].tolist()):
+                    out[place] = ids
+                go = ~done
+                parts, rank, places, at, low = parts[go], rank[go], places[go], at[go], low[go]
+            n, width = parts.shape
+            row = np.arange(n)
+            parts[row, at] = low
+            stays = np.ones((n, width), bool)
+            stays[row, at + 1] = False
+            parts = parts[stays].reshape(n, width - 1)
+            rank = rank[stays[:, 1:]].reshape(n, width - 2)
+            some = np.flatnonzero(at > 0)
+            rank[some, at[some] - 1] = self._rank(parts[some, at[some] - 1], low[some])
+            some = np.flatnonzero(at < width - 2)
+            rank[some, at[some]] = self._rank(low[some], parts[some, at[some] + 1])
+
+
 def _merge_long(parts: list[bytes | None], pairs: dict[Pair, int]) -> list[bytes]:
     """The same by linked list and heap: n log n, for pre-tokens of any length."""
     n = len(parts)

@@ -16,7 +16,8 @@ import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import batched, chain, groupby
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ CHUNK_CHARS = 12_000_000
 BUCKETS = 64
 #: Distinct words of a bucket that a task remembers; beyond, a word may be merged again.
 REMEMBERED = 1_000_000
+#: Lists of one bucket whose new words are merged at once.
+_LISTS = 8
 _ENDINGS = ".,;:!?\"')"
 
 #: Numbers packed or unpacked at once.
@@ -63,6 +66,17 @@ def _vocabulary(content: bytes) -> tuple[dict[bytes, int], dict[bpe.Pair, int],
     return ranks, bpe.pair_ranks(ranks), {i: token for token, i in ranks.items()}
 
 
+@functools.lru_cache(maxsize=2)
+def _merger(content: bytes) -> bpe.Merger:
+    return bpe.Merger(*_vocabulary(content)[:2])
+
+
+@functools.lru_cache(maxsize=2)
+def _spaced(content: bytes) -> dict[int, bytes]:
+    """Every id in decimal behind a space."""
+    return {i: b" %d" % i for i in _vocabulary(content)[2]}
+
+
 def pack_numbers(numbers: np.ndarray) -> bytes:
     """Numbers under 2**28 as one to four bytes of seven bits each, low bits first."""
     return b"".join(_packed(numbers[at : at + _AT_ONCE]) for at in range(0, len(numbers), _AT_ONCE))
@@ -159,52 +173,54 @@ def encode_decode(
                         [{"chunk": chunk, "bucket": b, "n": len(own), "packed": packed}], schema=_arrow(_LIST))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, pairs, _ = _vocabulary(vocabulary.value)
+        merger = _merger(vocabulary.value)
         splitter = _splitter(*split_by.value)
         cut = splitter.pattern.findall
 
-        def encoded(word: bytes) -> bytes:
-            some: list[int] = []
+        def pieces(word: bytes) -> list[bytes]:
             text = word.decode("utf-8")
-            pieces = cut(text) if word.isascii() else chain.from_iterable(splitter.pieces(text))
-            for piece in map(str.encode, pieces):
-                ids = merged.get(piece)
-                if ids is None:
-                    whole = ranks.get(piece)
-                    ids = merged[piece] = [whole] if whole is not None else [ranks[t] for t in bpe.merge(piece, pairs)]
-                some += ids
-            return np.array(some, "<u4").tobytes()
+            return list(map(str.encode, cut(text) if word.isascii() else chain.from_iterable(splitter.pieces(text))))
+
+        def learn(words: list[bytes]) -> None:
+            parted = list(map(pieces, words))
+            new = [piece for piece in dict.fromkeys(chain.from_iterable(parted)) if piece not in merged]
+            merged.update(zip(new, merger.ids(new)))
+            for word, own in zip(words, parted):
+                ids = merged[own[0]] if len(own) == 1 else list(chain.from_iterable(map(merged.__getitem__, own)))
+                known[word] = pack("<%dI" % len(ids), *ids)
+
+        def listed(row: dict) -> list[bytes]:
+            raw = zlib.decompress(row["packed"])
+            lengths, at = _head(raw, row["n"])
+            ends = (at + np.cumsum(lengths)).tolist()
+            return [raw[i:j] for i, j in zip([at, *ends], ends)]
 
         known: dict[bytes, bytes] = {}
         merged: dict[bytes, list[int]] = {}
         bucket = chunk = None
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] != bucket:
-                    known, bucket = {}, row["bucket"]
-                    merged.clear()
-                elif row["chunk"] == chunk:
-                    continue  # chunks of one name hold the same texts
-                if len(known) > REMEMBERED:
-                    known = {}
+            for bucket_of, rows in groupby(batch.to_pylist(), key=lambda row: row["bucket"]):
+                if bucket_of != bucket:
+                    known, bucket, chunk = {}, bucket_of, None
                     merged.clear()
-                chunk = row["chunk"]
-                raw = zlib.decompress(row["packed"])
-                lengths, at = _head(raw, row["n"])
-                out = []
-                for length in lengths.tolist():
-                    word = raw[at : at + length]
-                    at += length
-                    ids = known.get(word)
-                    if ids is None:
-                        ids = known[word] = encoded(word)
-                    out.append(ids)
-                sizes = np.fromiter((len(x) // 4 for x in out), np.int64, len(out))
-                ids = np.frombuffer(b"".join(out), "<u4")
-                packed = zlib.compress(pack_numbers(sizes) + pack_numbers(ids), 3)
-                yield pa.RecordBatch.from_pylist(
-                    [{"chunk": row["chunk"], "bucket": row["bucket"], "n": row["n"], "packed": packed}],
-                    schema=_arrow(_LIST))
+                for some in batched(rows, _LISTS):  # words of a few chunks are learned together
+                    if len(known) > REMEMBERED:
+                        known = {}
+                        merged.clear()
+                    held = []
+                    for row in some:
+                        if row["chunk"] != chunk:  # chunks of one name hold the same texts
+                            held.append((row, listed(row)))
+                        chunk = row["chunk"]
+                    learn([w for w in dict.fromkeys(chain.from_iterable(words for _, words in held)) if w not in known])
+                    for row, words in held:
+                        out = list(map(known.__getitem__, words))
+                        sizes = np.fromiter((len(x) // 4 for x in out), np.int64, len(out))
+                        ids = np.frombuffer(b"".join(out), "<u4")
+                        packed = zlib.compress(pack_numbers(sizes) + pack_numbers(ids), 3)
+                        yield pa.RecordBatch.from_pylist(
+                            [{"chunk": row["chunk"], "bucket": row["bucket"], "n": row["n"], "packed": packed}],
+                            schema=_arrow(_LIST))
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = _splitter(*split_by.value)
@@ -220,8 +236,7 @@ def encode_decode(
             }], schema=_arrow(_TEXTS))
 
     def reassemble(texts: pa.Table, lists: pa.Table) -> pa.Table:
-        of = _vocabulary(vocabulary.value)[2]
-        shown_as = {i: b"%d" % i for i in of}
+        of, shown_as = _vocabulary(vocabulary.value)[2], _spaced(vocabulary.value)
         by_bucket = {row["bucket"]: row for row in lists.to_pylist()}
         out = []
         for text in texts.to_pylist():  # chunks of one name hold the same texts
@@ -240,7 +255,7 @@ def encode_decode(
                 for place, length in zip(places.tolist(), lengths.tolist()):
                     own = tokens[start : start + length]
                     start += length
-                    shown[place] = b" ".join([shown_as[t] for t in own])
+                    shown[place] = b"".join([shown_as[t] for t in own])
                     decoded[place] = b"".join([of[t] for t in own])
             where = unpack_numbers(text["positions"])
             start = 0
@@ -251,8 +266,8 @@ def encode_decode(
                 out.append((
                     doc_id,
                     int(counts[own].sum()),
-                    hashlib.sha256(b" ".join([s for s in [shown[p] for p in places] if s])).hexdigest(),
-                    hashlib.sha256(b"".join([decoded[p] for p in places])).hexdigest(),
+                    hashlib.sha256(memoryview(b"".join(map(shown.__getitem__, places)))[1:]).hexdigest(),
+                    hashlib.sha256(b"".join(map(decoded.__getitem__, places))).hexdigest(),
                 ))
         return pa.Table.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*out) if out else [()] * 4, _arrow(_OUT))], schema=_arrow(_OUT))

@@ -104,3 +104,17 @@ def test_codepoint_classes_follow_the_library():
     splitter = bpe.Splitter(public_tokenizers.PATTERN, fixes)
     ids = [i for some in splitter.pieces(text) for p in some for i in ENCODING.encode_ordinary(p)]
     assert b"".join(ENCODING.decode_single_token_bytes(i) for i in ids).decode() == text
+
+
+def test_pieces_merged_side_by_side_as_one_by_one():
+    import random
+
+    from riskloom.llm import bpe
+
+    rng = random.Random(6)
+    tokens = [bytes([b]) for b in range(256)]
+    tokens += sorted({bytes(rng.choices(b"abc", k=rng.randint(2, 5))) for _ in range(150)}, key=lambda t: (rng.random(), t))
+    ranks = {t: i for i, t in enumerate(dict.fromkeys(tokens))}
+    pairs = bpe.pair_ranks(ranks)
+    pieces = [bytes(rng.choices(b"abcd\xff", weights=(5, 5, 5, 1, 1), k=rng.randint(1, 12))) for _ in range(3000)] + [b"", b"ab" * 300, b"a", b"\xfe"]
+    assert bpe.Merger(ranks, pairs).ids(pieces) == [[ranks[p]] if p in ranks else [ranks[t] for t in bpe.merge(p, pairs)] for p in pieces]
