@@ -25,14 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from riskloom.llm import bpe
-from riskloom.llm.arrow import text_columns
+from riskloom.llm.arrow import giving_back, text_columns
 
 #: Code points of text that make up a chunk; a longer text is a chunk of its own.
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 6_000_000
 #: Buckets for the words of a chunk, at least; as many as shuffle partitions if those are more.
 BUCKETS = 64
 #: Distinct words of a bucket that a task remembers; beyond, a word may be merged again.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Lists of one bucket whose new words are merged at once.
 _LISTS = 8
 _ENDINGS = ".,;:!?\"')"
@@ -129,18 +129,20 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[int |
         yield name.hexdigest(), ids, texts
 
 
-def _by_count(number: dict[str, int], codes: np.ndarray, buckets: int) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct words of a chunk by falling count, so that frequent ones have short numbers; their buckets; all places.
+def _distinct(splitter: bpe.Splitter, texts: list[str], buckets: int) -> tuple[list[int], list[str], np.ndarray, np.ndarray]:
+    """Number of words of each text; the chunk's distinct words by falling count, so that frequent ones have short numbers; their
+    buckets; the places of all words.
 
     Words that differ only in what ends them share a bucket, where their common pre-token is merged once.
     """
+    lengths, number, codes = splitter.units(texts)
     order = np.argsort(-np.bincount(codes, minlength=len(number)), kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
     own = list(number)
     words = [own[i] for i in order.tolist()]
-    bucket = np.fromiter((xxhash.xxh32_intdigest(w.rstrip(_ENDINGS)) % buckets for w in words), np.int64, len(words))
-    return words, bucket, place.astype(np.int32)[codes]
+    bucket = np.fromiter((xxhash.xxh32_intdigest(w.rstrip(_ENDINGS)) % buckets for w in words), np.int32, len(words))
+    return lengths, words, bucket, place[codes]
 
 
 def encode_decode(
@@ -159,11 +161,11 @@ def encode_decode(
     split_by = spark.sparkContext.broadcast((pattern, tuple(sorted(library_fixes(content).items()))))
     vocabulary = spark.sparkContext.broadcast(content)
 
+    @giving_back
     def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = _splitter(*split_by.value)
         for chunk, _, texts in _chunks(batches):
-            _, number, codes = splitter.units(texts)
-            words, bucket, _ = _by_count(number, codes, buckets)
+            _, words, bucket, _ = _distinct(splitter, texts, buckets)
             for b in range(buckets):
                 own = [words[i].encode("utf-8") for i in np.flatnonzero(bucket == b).tolist()]
                 if own:
@@ -171,7 +173,9 @@ def encode_decode(
                     packed = zlib.compress(lengths + b"".join(own), 3)
                     yield pa.RecordBatch.from_pylist(
                         [{"chunk": chunk, "bucket": b, "n": len(own), "packed": packed}], schema=_arrow(_LIST))
+            del texts, words, bucket  # before the next chunk is read
 
+    @giving_back
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = _merger(vocabulary.value)
         splitter = _splitter(*split_by.value)
@@ -184,10 +188,8 @@ def encode_decode(
         def learn(words: list[bytes]) -> None:
             parted = list(map(pieces, words))
             new = [piece for piece in dict.fromkeys(chain.from_iterable(parted)) if piece not in merged]
-            merged.update(zip(new, merger.ids(new)))
-            for word, own in zip(words, parted):
-                ids = merged[own[0]] if len(own) == 1 else list(chain.from_iterable(map(merged.__getitem__, own)))
-                known[word] = pack("<%dI" % len(ids), *ids)
+            merged.update((piece, pack("<%dI" % len(ids), *ids)) for piece, ids in zip(new, merger.ids(new)))
+            known.update((word, b"".join(map(merged.__getitem__, own))) for word, own in zip(words, parted))
 
         def listed(row: dict) -> list[bytes]:
             raw = zlib.decompress(row["packed"])
@@ -196,7 +198,7 @@ def encode_decode(
             return [raw[i:j] for i, j in zip([at, *ends], ends)]
 
         known: dict[bytes, bytes] = {}
-        merged: dict[bytes, list[int]] = {}
+        merged: dict[bytes, bytes] = {}
         bucket = chunk = None
         for batch in batches:
             for bucket_of, rows in groupby(batch.to_pylist(), key=lambda row: row["bucket"]):
@@ -222,11 +224,12 @@ def encode_decode(
                             [{"chunk": row["chunk"], "bucket": row["bucket"], "n": row["n"], "packed": packed}],
                             schema=_arrow(_LIST))
 
+    @giving_back
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = _splitter(*split_by.value)
         for chunk, ids, texts in _chunks(batches):
-            lengths, number, codes = splitter.units(texts)
-            _, bucket, where = _by_count(number, codes, buckets)
+            lengths, words, bucket, where = _distinct(splitter, texts, buckets)
+            del texts, words
             yield pa.RecordBatch.from_pylist([{
                 "chunk": chunk,
                 "ids": ids,
@@ -234,6 +237,7 @@ def encode_decode(
                 "positions": pack_numbers(where),
                 "buckets": pack_numbers(bucket),
             }], schema=_arrow(_TEXTS))
+            del ids, lengths, bucket, where  # before the next chunk is read
 
     def reassemble(texts: pa.Table, lists: pa.Table) -> pa.Table:
         of, shown_as = _vocabulary(vocabulary.value)[2], _spaced(vocabulary.value)

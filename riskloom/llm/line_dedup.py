@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riskloom.llm.arrow import batches_of, text_columns
+from riskloom.llm.arrow import batches_of, giving_back, text_columns
 from riskloom.llm.member import with_candidates
 from riskloom.session import stage
 
@@ -251,6 +251,7 @@ def _nearest(group: list[tuple], joints: list[int]) -> tuple[list[int], list[byt
     return units, least
 
 
+@giving_back
 def _sorted_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How far each place goes on like an earlier one of this partition, and what the neighbouring partitions need.
 
@@ -357,11 +358,13 @@ def repeated_runs(
 
     The order is that of ids (NULL last), then of text hashes, then of lines.
     """
+    @giving_back
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts, _ in _pieces(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(fingerprints(texts, gram_words, window_words).gram)], ["gram"])
 
+    @giving_back
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts, rows in _pieces(batch):
@@ -456,6 +459,7 @@ def dedup_lines(
         "nameless": own_id.isNull(), "id": F.coalesce(own_id, F.lit(0).cast("long")), "text_hash": F.xxhash64(F.coalesce(text_at, F.lit(""))),
     }).join(cuts, ["nameless", "id", "text_hash"], "left").select(*columns, "runs")
 
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, runs = batch.column(text_at), batch.column("runs")

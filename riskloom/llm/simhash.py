@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from riskloom.llm.arrow import text_columns
+from riskloom.llm.arrow import giving_back, text_columns
 from riskloom.llm.components import components
 from riskloom.llm.member import with_candidates
 from riskloom.session import stage
@@ -209,6 +209,7 @@ def simhash_groups(
     fingerprint zero and link like any other. Rows with a NULL id take part; the id of a component is NULL only
     if all its ids are. Repeated rows come back once each. An empty table gives an empty table.
     """
+    @giving_back
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = np.fromiter((fingerprint(t, shingle) for t in batch.column("text").to_pylist()), np.uint64, batch.num_rows)

@@ -118,3 +118,30 @@ def test_pieces_merged_side_by_side_as_one_by_one():
     pairs = bpe.pair_ranks(ranks)
     pieces = [bytes(rng.choices(b"abcd\xff", weights=(5, 5, 5, 1, 1), k=rng.randint(1, 12))) for _ in range(3000)] + [b"", b"ab" * 300, b"a", b"\xfe"]
     assert bpe.Merger(ranks, pairs).ids(pieces) == [[ranks[p]] if p in ranks else [ranks[t] for t in bpe.merge(p, pairs)] for p in pieces]
+
+
+def test_a_bounded_memory_of_words_changes_no_ids(spark, monkeypatch):
+    rows = [(i, f"word{i % 7} other{i}. word{i % 7}, naïve  gap\n{'x' * (i % 5)} don't " * 20) for i in range(60)] + [(None, None), (3, " ")]
+    monkeypatch.setattr(bpe_codec, "CHUNK_CHARS", 900)
+    monkeypatch.setattr(bpe_codec, "REMEMBERED", 5)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in bpe_codec.encode_decode(df.cache(), RANKS, public_tokenizers.PATTERN).fillna({"doc_id": -1}).collect())
+    df.unpersist()
+    assert got == sorted((-1 if i is None else i, *expected_code(t or "")) for i, t in rows)
+
+
+def test_chunks_of_a_task_are_not_held_together():
+    import tracemalloc
+
+    splitter = bpe.Splitter(public_tokenizers.PATTERN, {})
+
+    def peak(words):
+        texts = [" ".join(f"w{i}" for i in range(at, at + 1000)) for at in range(0, words, 1000)]
+        tracemalloc.start()
+        bpe_codec._distinct(splitter, texts, 64)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most / sum(map(len, texts))
+
+    # bytes for a code point of the least favourable text, only new words: a chunk's peak is bounded by its size
+    assert peak(50_000) * bpe_codec.CHUNK_CHARS < 250e6
