@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import explain, model
 from riskloom.operators.split import train_test
+from riskloom.plans.queries_model import model_comparison
 
 NAMES = ["a", "b", "d"]
 
@@ -38,6 +39,35 @@ def test_comparison(parts):
     assert all(0.7 < r["roc_auc"] < 0.99 and 0 < r["brier_score"] < 0.25 for r in rows)
 
 
+def test_the_comparison_query_fits_every_round_and_tree(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(9)
+    orders = [
+        (k, float(rng.uniform(1000, 500000)), f"199{k % 7}-0{1 + k % 9}-1{k % 10}", ("2-HIGH", "3-MEDIUM", "5-LOW", "4-NOT SPECIFIED")[k % 4], "FOP"[k % 3])
+        for k in range(600)
+    ]
+    lines = [(k, float(rng.integers(1, 50)), float(rng.integers(0, 10)) / 100, float(rng.uniform(900, 90000))) for k in range(600) for _ in range(3)]
+    schema = "o_orderkey long, o_totalprice double, o_orderdate string, o_orderpriority string, o_orderstatus string"
+    spark.createDataFrame(orders, schema).withColumn("o_orderdate", F.to_date("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    schema = "l_orderkey long, l_quantity double, l_discount double, l_extendedprice double"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    asked = {}
+
+    def quick(kind, size):  # notes what is asked of the engine, and fits two trees
+        def make(**settings):
+            asked[kind.__name__] = settings
+            return kind(**{**settings, size: 2})
+
+        return make
+
+    for kind, size in ((model.RandomForestClassifier, "numTrees"), (model.GBTClassifier, "maxIter")):
+        monkeypatch.setattr(model, kind.__name__, quick(kind, size))
+    rows = model_comparison(spark, str(tmp_path)).collect()
+    assert [r["model"] for r in rows] == ["Logistic Regression", "Random Forest", "Gradient Boosting"]
+    forest, booster = asked["RandomForestClassifier"], asked["GBTClassifier"]
+    assert forest["numTrees"] == 100
+    assert [booster[k] for k in ("maxIter", "stepSize", "maxDepth", "minInstancesPerNode", "subsamplingRate")] == [300, 0.1, 5, 20, 1.0]
+
+
 def test_logistic_matches_newton(parts):
     train = parts[0]
     fit = model.fit_logistic(train, "y", inverse_penalty=0.05, balanced=True)
